@@ -94,12 +94,16 @@ def with_halo(
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(-k, -1)
     halo = (
         tails.withColumn("__tail", F.flatten(F.collect_list("__tail").over(earlier)))
-        .withColumn("__row", F.explode(F.slice("__tail", -k, k) if k > 1 else F.slice("__tail", -1, 1)))
+        .withColumn("__row", F.explode(_last("__tail", k)))
         .select(*keys, BLOCK, F.lit(True).alias(HALO), "__row.*")
     )
     return cut.unionByName(halo, allowMissingColumns=True)
 
 
+def _last(array: str, k: int) -> Column:
+    return F.slice(array, F.greatest(F.size(array) - k + 1, F.lit(1)), k)
+
+
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(HALO, BLOCK)
 
