@@ -1,4 +1,4 @@
 """All registered queries; importing this package fills the registry."""
 
-from . import ordered  # noqa: F401
+from . import agreement, cleaning, explore, joins, ordered, schema, sources  # noqa: F401
 from .registry import QUERIES, SQL, query  # noqa: F401

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import literal_map
@@ -60,7 +60,7 @@ def history(
     item = F.struct(F.col(text).alias("text"), (F.col(label) if label else F.lit(None).cast("string")).alias("label"))
     needed = [c for c in (text, label, *run_keys) if c]
     if k <= 0:
-        block, frame_start = None, -(1 << 62)
+        block, frame_start = None, Window.unboundedPreceding
     else:
         frame_start = -k
     # one halo row more than k shows whether the oldest turn starts a run
@@ -69,7 +69,7 @@ def history(
     frame = w.rowsBetween(frame_start, -1)
     if not run_keys:
         return drop_halo(haloed.withColumn(out, F.collect_list(item).over(frame)))
-    local_run = F.sum("__start").over(w.rowsBetween(-(1 << 62), 0))
+    local_run = F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, 0))
     tagged = (
         haloed.withColumn("__start", _changed(run_keys, w))
         .withColumn("__run", local_run)
