@@ -1,4 +1,16 @@
 """All registered queries; importing this package fills the registry."""
 
-from . import agreement, cleaning, explore, joins, ordered, schema, sources  # noqa: F401
+from . import (
+    agreement,
+    cleaning,
+    explore,
+    features,
+    joins,
+    ordered,
+    prompts,
+    retrieval,
+    schema,
+    scoring,
+    sources,
+)  # noqa: F401
 from .registry import QUERIES, SQL, query  # noqa: F401

@@ -103,13 +103,14 @@ def boosted_classifier(
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
     ready = feature_frame(df, label, features, extra)
-    index = StringIndexer(inputCol="__label", outputCol="label", stringOrderType="alphabetAsc")
-    gather = VectorAssembler(inputCols=["__v", *extra], outputCol="features")
+    index = StringIndexer(inputCol="__label", outputCol="__y", stringOrderType="alphabetAsc")
+    gather = VectorAssembler(inputCols=["__v", *extra], outputCol="__x")
+    cols = {"labelCol": "__y", "featuresCol": "__x"}
     if method == "boosted":
-        tree = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed)
-        learner = OneVsRest(classifier=tree, parallelism=parallelism)
+        tree = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed, **cols)
+        learner = OneVsRest(classifier=tree, parallelism=parallelism, **cols)
     elif method == "forest":
-        learner = RandomForestClassifier(numTrees=rounds, maxDepth=depth, seed=seed)
+        learner = RandomForestClassifier(numTrees=rounds, maxDepth=depth, seed=seed, **cols)
     else:
         raise ValueError(f"method {method!r}")
     model = Pipeline(stages=[index, gather, learner]).fit(ready)
