@@ -5,6 +5,7 @@ from . import (
     cleaning,
     explore,
     features,
+    flows,
     joins,
     ordered,
     prompts,

@@ -78,7 +78,7 @@ _W = r"[^\p{L}\p{N}]"
     rf"""WITH c AS (SELECT doc_id, unnest({sql_list(NAMED + ['None'])}) AS name,
                           unnest(range({len(NAMED) + 1})) AS rank, ' ' || lower(text) || ' ' AS text FROM documents),
              h AS (SELECT doc_id, name, rank,
-                          length(string_split_regex(text, '{_W}' || name || '{_W}')[1]) AS pos
+                          length(regexp_extract(text, '(?s)^(.*?){_W}' || name || '{_W}', 1)) AS pos
                    FROM c WHERE regexp_matches(text, '{_W}' || name || '{_W}'))
         SELECT d.doc_id, coalesce(h.name, 'None') AS label FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id
         QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY pos, rank) = 1""",
