@@ -152,7 +152,7 @@ def tfidf_top(t):
         FROM s QUALIFY rank <= 20""",
 )
 def tfidf_top_per_document(t):
-    top = X.tfidf_top(t.documents, "text", 20, doc="doc_id", stop_words=ENGLISH)
+    top = X.tfidf_top(t.documents, "text", 20, doc="doc_id", stop_words=ENGLISH, doc_is_row=True)
     return top.withColumn("tfidf", F.round("tfidf", 6))
 
 

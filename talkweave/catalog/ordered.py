@@ -84,7 +84,7 @@ def history(t):
 @query(
     "label_history",
     f"""WITH {_RUNS}
-        SELECT event_id, run,
+        SELECT event_id,
                coalesce(array_to_string(list(props || '=' || coalesce(uptake, 'none')) OVER
                  (PARTITION BY user_id, run ORDER BY ts, event_id
                   ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), ','), '') AS history
@@ -92,12 +92,11 @@ def history(t):
 )
 def label_history(t):
     """Texts with aligned labels, within runs of one value band; missing labels keep their place."""
-    runs = O.conversation_runs(_posts(t), ["band"], ORDER, USER, block=EVENT_SPAN)
-    done = O.label_history(runs, "props", "uptake", ORDER, USER, k=4, run_keys=["band"], block=EVENT_SPAN)
+    done = O.label_history(_posts(t), "props", "uptake", ORDER, USER, k=4, run_keys=["band"], block=EVENT_SPAN)
     pair = F.transform(
         "history", lambda h: F.concat(h["text"], F.lit("="), F.coalesce(h["label"], F.lit("none")))
     )
-    return done.select("event_id", "run", F.array_join(pair, ",").alias("history"))
+    return done.select("event_id", F.array_join(pair, ",").alias("history"))
 
 
 @query(

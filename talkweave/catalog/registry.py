@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,6 +24,15 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
+    @property
+    def documents(self) -> DataFrame:
+        """Long texts: their row-local work should use every core."""
+        return spread(self.__getattr__("documents"), "doc_id")
+
+    @property
+    def pages(self) -> DataFrame:
+        return spread(self.__getattr__("pages"), "page_id")
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``name`` with its SQL twin."""

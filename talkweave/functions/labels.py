@@ -146,12 +146,18 @@ def find_first(
     found = []
     for i, name in enumerate(ranked):
         if whole_word:
-            hit = F.regexp_instr(c, F.lit(rf"(?<![\p{{L}}\p{{N}}])\Q{name}\E(?![\p{{L}}\p{{N}}])"))
+            edge = r"[\p{L}\p{N}]"
+            at = F.regexp_instr(c, F.lit(rf"(?<!{edge})\Q{name}\E(?!{edge})"))
         else:
-            hit = F.locate(name, c)
-        found.append(F.struct(hit.alias("at"), F.lit(i).alias("rank"), F.lit(name).alias("name")))
-    hits = F.filter(F.array(*found), lambda h: h["at"] > 0)
-    return F.coalesce(F.array_min(hits)["name"], F.lit(default))
+            at = F.locate(name, c)
+        found.append(
+            F.struct(
+                (at == 0).alias("missing"), at.alias("at"), F.lit(i).alias("rank"), F.lit(name).alias("name")
+            )
+        )
+    # the least struct; plain expressions, so all of it is compiled and c is computed once
+    first = F.least(*found) if len(found) > 1 else found[0]
+    return F.when(first["missing"], default).otherwise(F.coalesce(first["name"], F.lit(default)))
 
 
 def parse_delimited(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 # Whitespace as one class, with the no-break space that plain \s leaves out.
 SPACE = r"[ \t\n\r\f\x0B\x{A0}]"
 # A word is a run of letters, marks and digits; any other visible character stands alone.
-TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N} \t\n\r\f\x0B\x{A0}]"
+WORD_CHAR = r"\p{L}\p{M}\p{N}"
+TOKEN = rf"[{WORD_CHAR}]+|[^{WORD_CHAR} \t\n\r\f\x0B\x{{A0}}]"
 
 
 def _col(c: Column | str) -> Column:
@@ -36,6 +37,15 @@ def tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(TOKEN), F.lit(0))
 
 
+def words(c: Column | str, shortest: int = 1) -> Column:
+    """The word tokens alone, lower-cased, of at least ``shortest`` characters.
+
+    Taken from the text directly, which spares a test per token.
+    """
+    pattern = rf"[{WORD_CHAR}]{{{shortest},}}"
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(pattern), F.lit(0))
+
+
 def clean_token_array(
     c: Column | str, stop_words: Sequence[str] = (), alphabetic_only: bool = False
 ) -> Column:

@@ -124,16 +124,7 @@ def running_total(
     """Inclusive running sum of ``value`` per group, and optionally the whole group's sum."""
     cut = add_block(df, order, block).withColumn("__v", value.cast("bigint"))
     carry_cols = [CARRY, "__v", "__all"]
-    totals = cut.groupBy(*keys, BLOCK).agg(F.sum("__v").alias("__v"))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys,
-        BLOCK,
-        F.lit(0).alias(CARRY),
-        F.coalesce(F.sum("__v").over(before), F.lit(0)).alias("__v"),
-        F.sum("__v").over(group).alias("__all"),
-    )
+    carry = carry_rows(cut.groupBy(*keys, BLOCK).agg(F.sum("__v").alias("__v")), keys)
     rows = cut.withColumn(CARRY, F.lit(1)).withColumn("__all", F.lit(None).cast("bigint"))
     inside = Window.partitionBy(*keys, BLOCK)
     upto = inside.orderBy(CARRY, *order).rowsBetween(Window.unboundedPreceding, 0)
@@ -145,6 +136,22 @@ def running_total(
     return done.filter(F.col(CARRY) == 1).drop(BLOCK, *carry_cols)
 
 
+def carry_rows(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """From one total ``__v`` per block to the row that opens the block with what came before.
+
+    ``__v`` becomes the sum over the earlier blocks of the group, ``__all`` the group's sum.
+    """
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *keys,
+        BLOCK,
+        F.lit(0).alias(CARRY),
+        F.coalesce(F.sum("__v").over(before), F.lit(0)).alias("__v"),
+        F.sum("__v").over(group).alias("__all"),
+    )
+
+
 def row_position(
     df: DataFrame,
     keys: Sequence[str],

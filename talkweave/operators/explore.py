@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import NO_LABEL
-from ..functions.text import clean_token_array, tokens
+from ..functions.text import tokens, words
 from .schema import quoted
 
 
@@ -86,11 +86,45 @@ def term_frequencies(
     df: DataFrame, column: str, stop_words: Sequence[str] = (), n: int | None = None
 ) -> DataFrame:
     """Word counts without stop words, all or the ``n`` most frequent."""
-    words = F.filter(clean_token_array(column, stop_words), lambda w: w.rlike(r"[\p{L}\p{N}]"))
-    counts = df.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("count"))
+    terms = df.select(F.explode(words(column)).alias("term"))
+    counts = _without(terms, stop_words).groupBy("term").agg(F.count("*").alias("count"))
+    counts = counts.filter(F.col("term").rlike(r"[\p{L}\p{N}]"))
     return counts if n is None else counts.orderBy(F.desc("count"), "term").limit(n)
 
 
+def _without(terms: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    return terms.filter(~F.col("term").isin(*stop_words)) if stop_words else terms
+
+
+def row_term_counts(
+    df: DataFrame, column: str, keep: Sequence[str], terms: Column | None = None
+) -> DataFrame:
+    """``(*keep, term, n)``: terms of each row with their number in that row.
+
+    Equal terms are counted by sorting inside the row, so nothing is shuffled on (row, term).
+    """
+    ready = df.select(*keep, F.sort_array(words(column) if terms is None else terms).alias("__s"))
+    s, starts, n = F.col("__s"), F.col("__at"), F.size("__s")
+    # where a run of equal terms begins; a test on n as a filter would be pushed below this
+    # projection and compute the terms twice
+    ready = ready.withColumn(
+        "__at",
+        F.when(
+            n > 0,
+            F.filter(
+                F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
+            ),
+        ),
+    )
+    runs = F.transform(
+        starts,
+        lambda p, j: F.struct(
+            F.get(s, p).alias("term"), (F.coalesce(F.get(starts, j + 1), n) - p).cast("bigint").alias("n")
+        ),
+    )
+    return ready.select(*keep, F.inline_outer(runs)).filter(F.col("term").isNotNull())
+
+
 def first_n_per_class(
     df: DataFrame, label: str, order: Sequence[str], n: int = 5, missing: str = "NaN"
 ) -> DataFrame:
@@ -108,26 +142,30 @@ def first_n_per_class(
 
 
 def tfidf(
-    df: DataFrame, column: str, doc: str | None = None, stop_words: Sequence[str] = ()
+    df: DataFrame,
+    column: str,
+    doc: str | None = None,
+    stop_words: Sequence[str] = (),
+    doc_is_row: bool = False,
 ) -> DataFrame:
     """Smoothed, L2-normalised tf-idf per (document, term).
 
     idf = ln((1 + N) / (1 + df)) + 1. Without ``doc`` the whole table is one document, so idf
     is 1 for every term. Terms are alphanumeric tokens of two characters or more, unstemmed.
+    ``doc_is_row`` promises one row per document and saves the grouping by document.
     """
-    words = F.filter(
-        clean_token_array(column, stop_words), lambda w: w.rlike(r"\A[\p{L}\p{M}\p{N}]{2,}\z")
-    )
     if doc is None:
-        tf = df.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
+        terms = _without(df.select(F.explode(words(column, 2)).alias("term")), stop_words)
+        tf = terms.groupBy("term").agg(F.count("*").alias("tf"))
         norm = tf.agg(F.sqrt(F.sum(F.col("tf").cast("double") * F.col("tf")))).scalar()
         return tf.withColumn("tfidf", F.col("tf") / norm)
-    tf = (
-        df.select(F.col(doc), F.explode(words).alias("term"))
-        .groupBy(doc, "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    docs = df.agg(F.count_distinct(doc)).scalar()
+    tf = _without(row_term_counts(df, column, [doc], words(column, 2)), stop_words)
+    if doc_is_row:
+        tf = tf.withColumnRenamed("n", "tf")
+        docs = df.agg(F.count("*")).scalar()
+    else:
+        tf = tf.groupBy(doc, "term").agg(F.sum("n").alias("tf"))
+        docs = df.agg(F.count_distinct(doc)).scalar()
     seen = tf.groupBy("term").agg(F.count("*").alias("docs"))
     idf = seen.select("term", (F.log((docs + 1.0) / (F.col("docs") + 1.0)) + 1.0).alias("idf"))
     weighted = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
@@ -141,9 +179,10 @@ def tfidf_top(
     n: int = 20,
     doc: str | None = None,
     stop_words: Sequence[str] = (),
+    doc_is_row: bool = False,
 ) -> DataFrame:
     """The ``n`` heaviest terms of the table, or of each document."""
-    scored = tfidf(df, column, doc, stop_words)
+    scored = tfidf(df, column, doc, stop_words, doc_is_row)
     score = F.round("tfidf", 12)
     if doc is None:
         return scored.orderBy(score.desc(), "term").limit(n)

@@ -11,12 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import as_class
 from ..functions.text import clean_token_array
-
-
-def word_counts(df: DataFrame, text: str, key: str, stop_words: Sequence[str] = ()) -> DataFrame:
-    """(key, word, n): repeated words are counted before anything is shuffled on."""
-    words = df.select(F.col(key), F.explode(clean_token_array(text, stop_words)).alias("word"))
-    return words.groupBy(key, "word").agg(F.count("*").alias("n"))
+from .explore import row_term_counts
 
 
 def embedding_sum(
@@ -30,17 +25,18 @@ def embedding_sum(
 ) -> DataFrame:
     """Sum of the vectors of a text's in-vocabulary words, every occurrence counted.
 
-    ``vectors(word, vector)``. A text without known words gets the zero vector. Word counts
-    are joined, not tokens, and the vectors are added by a mergeable aggregate.
+    ``vectors(word, vector)``. A text without known words gets the zero vector. A word joins
+    once per row with its number, not once per occurrence, and the vectors are added by a
+    mergeable aggregate.
     """
-    counts = word_counts(df, text, key, stop_words)
-    known = counts.join(vectors, "word").select(
-        key,
-        "n",
-        array_to_vector(F.transform("vector", lambda x: x.cast("double") * F.col("n"))).alias("v"),
+    words = row_term_counts(df, text, [key], clean_token_array(text, stop_words))
+    vocabulary = vectors.select(
+        F.col("word").alias("term"), array_to_vector(F.col("vector").cast("array<double>")).alias("__v")
     )
+    known = words.join(vocabulary, "term")
     sums = known.groupBy(key).agg(
-        vector_to_array(Summarizer.sum(F.col("v"))).alias(out), F.sum("n").alias("known_words")
+        vector_to_array(Summarizer.sum(F.col("__v"), F.col("n").cast("double"))).alias(out),
+        F.sum("n").alias("known_words"),
     )
     zero = F.array_repeat(F.lit(0.0), dim)
     return df.join(sums, key, "left").withColumns(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import literal_map
-from .blocks import block_window, drop_halo, running_total, with_halo
+from .blocks import BLOCK, CARRY, HALO, block_window, carry_rows, drop_halo, with_halo
 
 Block = Column | float | None
 
@@ -33,11 +33,35 @@ def conversation_runs(
     block: Block = None,
     out: str = "run",
 ) -> DataFrame:
-    """Number the runs of equal adjacent keys, from 1 in each ``within`` group."""
+    """Number the runs of equal adjacent keys, from 1 in each ``within`` group.
+
+    A first pass over the key columns alone counts the starts of each block. In the second the
+    whole rows move once and meet their block's halo row and carry row.
+    """
     w = block_window(within, order)
-    haloed = with_halo(df, within, order, 1, block, needed=run_keys)
-    flagged = drop_halo(haloed.withColumn("__start", _changed(run_keys, w)))
-    return running_total(flagged, F.col("__start"), within, order, block, out).drop("__start")
+    if block is None:
+        cut = with_halo(df, within, order, 1, None)
+        starts = cut.withColumn("__start", _changed(run_keys, w))
+        running = F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        return drop_halo(starts.withColumn(out, running)).drop("__start")
+    keys = list(dict.fromkeys([*within, *order, *run_keys]))
+    flags = with_halo(df.select(*keys), within, order, 1, block)
+    flags = flags.withColumn("__start", _changed(run_keys, w)).filter(~F.col(HALO))
+    totals = flags.groupBy(*within, BLOCK).agg(F.sum("__start").alias("__v"))
+    carry = carry_rows(totals, within).drop("__all").withColumn(HALO, F.lit(True))
+    rows = with_halo(df, within, order, 1, block, needed=run_keys).withColumn(CARRY, F.lit(1))
+    w = Window.partitionBy(*within, BLOCK).orderBy(CARRY, *order)
+    # the carry row holds a count, a halo row adds nothing, a row adds 1 where its key is new
+    key = F.struct(CARRY, *run_keys)
+    new = (~F.coalesce(F.lag(key).over(w).eqNullSafe(key), F.lit(False))).cast("int")
+    adds = F.when(F.col(CARRY) == 0, F.col("__v")).when(~F.col(HALO), F.col("__new")).otherwise(0)
+    done = (
+        rows.unionByName(carry, allowMissingColumns=True)
+        .withColumn("__new", new)
+        .withColumn("__v", adds)
+        .withColumn(out, F.sum("__v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    return drop_halo(done).drop("__new", "__v", CARRY)
 
 
 def history(

@@ -100,12 +100,17 @@ def split_multilabel(
     """
     if mode not in ("change", "duplicate"):
         raise ValueError(f"mode {mode!r}")
-    labels = F.transform(F.split(column, ","), strip)
-    pieces = sentences(message)
     kinds = dict(df.dtypes)
     listed = F.coalesce(F.contains(F.col(column), F.lit(",")), F.lit(False))
-    is_split = listed & (F.size(pieces) == F.size(labels))
-    is_split = F.coalesce(is_split, F.lit(False))
+    # a projection of their own: computed once per row, and only where labels are listed
+    ready = df.withColumns(
+        {
+            "__labels": F.when(listed, F.transform(F.split(column, ","), strip)),
+            "__pieces": F.when(listed, sentences(message)),
+        }
+    )
+    labels, pieces = F.col("__labels"), F.col("__pieces")
+    is_split = F.coalesce(listed & (F.size(pieces) == F.size(labels)), F.lit(False))
     is_equal = F.size(F.array_distinct(labels)) == 1
     is_repeat = listed & ~is_equal if mode == "duplicate" else F.lit(False)
 
@@ -134,7 +139,7 @@ def split_multilabel(
     )
     single = F.array(row(one_label, F.col(message), None, None))
     rows = F.when(is_split, parted).when(is_repeat, repeated).otherwise(single)
-    return df.select(F.inline(rows))
+    return ready.select(F.inline(rows))
 
 
 def apply_corrections(

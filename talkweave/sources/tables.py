@@ -55,6 +55,16 @@ def read_messages(
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows over all cores when the scan alone gives fewer tasks than cores.
+
+    For costly row-local work on small files. A scan with enough splits is returned unchanged, so
+    large tables are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_table(
     df: DataFrame,
     path: str,
