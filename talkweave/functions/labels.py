@@ -157,7 +157,7 @@ def find_first(
         )
     # the least struct; plain expressions, so all of it is compiled and c is computed once
     first = F.least(*found) if len(found) > 1 else found[0]
-    return F.when(first["missing"], default).otherwise(F.coalesce(first["name"], F.lit(default)))
+    return F.when(~first["missing"], first["name"]).otherwise(default)  # also for a NULL text
 
 
 def parse_delimited(
