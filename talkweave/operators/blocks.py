@@ -12,8 +12,11 @@ Two results then need no more than one block at a time:
   block holding what all earlier blocks add up to.
 
 Only one row set per block (k rows, or one total) meets in a per-group window, so that window is
-smaller than the group by the block size. ``block=None`` keeps the plain window for groups known
-to be short.
+smaller than the group by the block size.
+
+``block`` is a width in units of the first order column (seconds for times), a column, or
+``AUTO``, which takes a default width; ``None`` keeps the plain window for groups known to be
+short.
 """
 
 from __future__ import annotations
@@ -25,6 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK, HALO, CARRY = "__block", "__halo", "__carry"
+AUTO = "auto"
+AUTO_TURNS, AUTO_DAYS = 100_000, 1
+Block = Column | float | str | None
 
 
 def order_block(df: DataFrame, order: str, width: float) -> Column:
@@ -36,7 +42,7 @@ def order_block(df: DataFrame, order: str, width: float) -> Column:
     elif isinstance(kind, T.DateType):
         c = F.unix_date(c)
     elif isinstance(kind, T.StringType):
-        raise TypeError(f"{order}: give a block column for text orders")
+        raise TypeError(f"{order}: a text order needs a block column, or None for short groups")
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
@@ -57,9 +63,18 @@ def fit_block_width(
     return max(1.0, (step or 1.0) * rows_per_block)
 
 
-def add_block(df: DataFrame, order: Sequence[str], block: Column | float | None) -> DataFrame:
+def add_block(df: DataFrame, order: Sequence[str], block: Block) -> DataFrame:
     if block is None:
         return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
+    if isinstance(block, str):
+        if block != AUTO:
+            raise ValueError(f"block {block!r}")
+        kind = df.schema[order[0]].dataType
+        block = AUTO_TURNS
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            block = AUTO_DAYS * 86_400
+        elif isinstance(kind, T.DateType):
+            block = AUTO_DAYS
     if isinstance(block, (int, float)):
         block = order_block(df, order[0], block)
     return df.withColumn(BLOCK, block)
@@ -70,7 +85,7 @@ def with_halo(
     keys: Sequence[str],
     order: Sequence[str],
     k: int,
-    block: Column | float | None,
+    block: Block,
     needed: Sequence[str] | None = None,
 ) -> DataFrame:
     """``df`` plus, in front of each block, the ``k`` rows that precede it in its group.
@@ -117,7 +132,7 @@ def running_total(
     value: Column,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column | float | None,
+    block: Block,
     out: str,
     group_total: str | None = None,
 ) -> DataFrame:
@@ -156,7 +171,7 @@ def row_position(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column | float | None,
+    block: Block,
     out: str,
     group_size: str | None = None,
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import as_class
 from ..functions.text import clean_token_array
+from .blocks import row_position
 from .explore import row_term_counts
 
 
@@ -56,11 +57,14 @@ def unknown_words(
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """(label, index): classes in sorted order from 0.
 
-    The ranking runs over the distinct labels only, never over rows.
+    Only distinct labels are ranked, in blocks by their first characters, so encoding names or
+    other columns with many values needs no single sort.
     """
     classes = df.select(as_class(label).alias("label")).distinct()
-    ordered = classes.agg(F.array_sort(F.collect_set("label")).alias("c"))
-    return ordered.select(F.posexplode("c").alias("index", "label")).select("label", "index")
+    block = F.substring("label", 1, 3)
+    return row_position(classes, [], ["label"], block, "index").select(
+        "label", (F.col("index") - 1).cast("int").alias("index")
+    )
 
 
 def with_label_index(df: DataFrame, label: str, out: str = "label_id") -> DataFrame:

@@ -13,9 +13,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import literal_map
-from .blocks import BLOCK, CARRY, HALO, block_window, carry_rows, drop_halo, with_halo
-
-Block = Column | float | None
+from .blocks import (
+    AUTO,
+    BLOCK,
+    CARRY,
+    HALO,
+    Block,
+    block_window,
+    carry_rows,
+    drop_halo,
+    with_halo,
+)
 
 
 def _changed(run_keys: Sequence[str], w) -> Column:
@@ -30,7 +38,7 @@ def conversation_runs(
     run_keys: Sequence[str],
     order: Sequence[str],
     within: Sequence[str],
-    block: Block = None,
+    block: Block = AUTO,
     out: str = "run",
 ) -> DataFrame:
     """Number the runs of equal adjacent keys, from 1 in each ``within`` group.
@@ -72,7 +80,7 @@ def history(
     k: int = 6,
     label: str | None = None,
     run_keys: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
     out: str = "history",
 ) -> DataFrame:
     """Up to ``k`` earlier turns of the same conversation as ``array<struct<text,label>>``.
@@ -136,7 +144,7 @@ def prev_message(
     order: Sequence[str],
     within: Sequence[str],
     run_keys: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
     out: str = "prev_message",
 ) -> DataFrame:
     """Text before this one in the conversation, '' at its start."""
@@ -151,7 +159,7 @@ def prev_categories(
     within: Sequence[str],
     k: int = 3,
     run_keys: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
     out: str = "prev_categories",
 ) -> DataFrame:
     """The last ``k`` ``a-b-c`` descriptions joined by bars, oldest first, '' at the start."""
@@ -172,7 +180,7 @@ def check_pivot(
     within: Sequence[str],
     collapse: Mapping[str, str] | None = None,
     run_keys: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
 ) -> DataFrame:
     """Compare a coded pivot with the previous and current type.
 
@@ -211,7 +219,7 @@ def check_pivot_contains(
     order: Sequence[str],
     within: Sequence[str],
     run_keys: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
 ) -> DataFrame:
     """Looser form: does the pivot text name both the previous and the current type?"""
     done = _look_back(df, {"__prev": F.col(kind)}, [kind], order, within, run_keys, block)
@@ -239,7 +247,7 @@ def derive_pivot(
     order: Sequence[str],
     within: Sequence[str],
     run_keys: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
 ) -> DataFrame:
     """Pivot guessed wherever the type changes inside a conversation, else NULL ends."""
     done = _look_back(df, {"__prev": F.col(kind)}, [kind], order, within, run_keys, block)

@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import sentences, strip
-from .blocks import row_position
-from .ordered import Block
+from .blocks import AUTO, Block, row_position
 
 
 def keep_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
     """Rows whose value starts with ``prefix``; NULL counts as ''. Pushed to the scan."""
-    return df.filter(F.coalesce(F.col(column).startswith(prefix), F.lit(prefix == "")))
+    return df.filter(F.col(column).startswith(prefix)) if prefix else df
 
 
 def filter_eq(df: DataFrame, column: str, value) -> DataFrame:
@@ -43,7 +42,7 @@ def with_row_id(
     df: DataFrame,
     order: Sequence[str],
     per: Sequence[str] = (),
-    block: Block = None,
+    block: Block = AUTO,
     out: str = "row_id",
 ) -> DataFrame:
     """0-based position in ``order``, per source; stable across runs for a unique order."""
@@ -180,7 +179,8 @@ def apply_corrections(
     chosen = F.when(same, parts).otherwise(kept)
     rest = [c for c in df.columns if c not in (message, label)]
     return (
-        tagged.join(first, "__which", "left")
+        # at most one row per prefix of the given list, hence safe to broadcast
+        tagged.join(F.broadcast(first), "__which", "left")
         .select(*rest, F.posexplode(chosen).alias(part, "__p"))
         .select(*rest, F.col("__p.t").alias(message), F.col("__p.l").alias(label), part)
         .select(*df.columns, part)

@@ -51,13 +51,13 @@ def vote(
 ) -> DataFrame:
     """Label with the largest (weighted) number of runs per row; smallest label on ties.
 
-    Votes are summed per (row, label) before the rows are compared, so both steps combine on the
-    map side. Rows without any label get NULL.
+    A row's votes are brought together once; summing them per label and picking the best both
+    use that partitioning. Rows without any label get NULL.
     """
     weight = F.lit(1.0)
     if weights:
         for name, w in weights.items():
             weight = F.when(F.col(run) == name, F.lit(float(w))).otherwise(weight)
-    per_label = preds.groupBy(key, label).agg(F.sum(weight).alias("__w"))
+    per_label = preds.repartition(F.col(key)).groupBy(key, label).agg(F.sum(weight).alias("__w"))
     rank = F.when(F.col(label).isNotNull(), F.struct((-F.round("__w", 9)).alias("w"), F.col(label).alias("l")))
     return per_label.groupBy(key).agg(F.min(rank)["l"].alias(out))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..operators import agreement, ordered, rows, schema
+from ..operators.blocks import AUTO, Block
 from ..operators.joins import stack_sources
 
 # Respelling of labels, groups a pivot may name, classes of questions
@@ -68,7 +69,7 @@ def clean_messages(
     df: DataFrame,
     order: Sequence[str],
     within: Sequence[str],
-    block: ordered.Block = None,
+    block: Block = AUTO,
     class_names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Scalar repair, multi-label rows, pivots; missing labels stay NULL.

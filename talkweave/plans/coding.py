@@ -11,6 +11,7 @@ from ..functions.labels import as_class, find_first
 from ..functions.text import combine_fields, retrieval_query
 from ..operators import ordered, prompts, retrieval, scoring, splits
 from ..operators.evaluate import classification_report
+from ..operators.blocks import AUTO, Block
 from ..operators.joins import attach_context
 
 
@@ -25,7 +26,7 @@ def retrieve_context(
     k: int = 5,
     history: int = 6,
     recursive: bool = True,
-    block: ordered.Block = None,
+    block: Block = AUTO,
 ) -> DataFrame:
     """Long context table ``(key, rank, distance, text)``: nearest passages of ``texts(doc_id,text)``.
 
@@ -65,9 +66,12 @@ def coding_prompts(
     num_docs: int = 2,
     drop_unlabelled: bool = False,
     seed: int = 42,
-    block: ordered.Block = None,
+    block: Block = AUTO,
 ) -> DataFrame:
     """``(key, prompt, label, split)``: one prompt per message and a stratified split."""
+    # on the narrow rows, before history and prompts widen them; unlabelled messages are a class
+    # of their own here and stay in the histories of others even if dropped below
+    messages = splits.stratified_split(messages, key, label, seed=seed)
     if fields:
         messages = messages.withColumn(text, combine_fields(fields, separator))
     if use_history:
@@ -92,8 +96,7 @@ def coding_prompts(
     )
     if drop_unlabelled:
         built = built.filter(F.col(label).isNotNull())
-    rows = built.select(key, "prompt", as_class(label).alias("label"))
-    return splits.stratified_split(rows, key, "label", seed=seed)
+    return built.select(key, "prompt", as_class(label).alias("label"), "split")
 
 
 def scored_labels(

@@ -34,11 +34,14 @@ MESSAGE_SCHEMA = T.StructType(
 
 
 def read_messages(
-    spark: SparkSession, path: str, schema: T.StructType | str = MESSAGE_SCHEMA, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str = MESSAGE_SCHEMA, columns: Sequence[str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Messages from Parquet, or from CSV with a header and quoted line breaks.
 
-    The schema is given, never inferred, so a scan starts without reading the data twice.
+    The schema is given, never inferred, so a scan starts without reading the data twice. An empty
+    CSV field is NULL. A CSV file with line breaks inside quotes is read by one task: give
+    many files, or ``multi_line=False`` where there are none, or Parquet.
     """
     if path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(path)
@@ -46,7 +49,7 @@ def read_messages(
         df = (
             spark.read.schema(schema)
             .option("header", True)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)

