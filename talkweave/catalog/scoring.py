@@ -70,18 +70,10 @@ def find_first(t):
     return t.documents.select("doc_id", first_named(F.lower("text"), NAMED).alias("label"))
 
 
-_W = r"[^\p{L}\p{N}]"
-
-
 @query(
     "find_first_whole_word",
-    rf"""WITH c AS (SELECT doc_id, unnest({sql_list(NAMED + ['None'])}) AS name,
-                          unnest(range({len(NAMED) + 1})) AS rank, ' ' || lower(text) || ' ' AS text FROM documents),
-             h AS (SELECT doc_id, name, rank,
-                          length(regexp_extract(text, '(?s)^(.*?){_W}' || name || '{_W}', 1)) AS pos
-                   FROM c WHERE regexp_matches(text, '{_W}' || name || '{_W}'))
-        SELECT d.doc_id, coalesce(h.name, 'None') AS label FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id
-        QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY pos, rank) = 1""",
+    rf"""SELECT doc_id, coalesce(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+'),
+                lambda w: list_contains({sql_list(NAMED)}, w))[1], 'None') AS label FROM documents""",
 )
 def find_first_whole_word(t):
     label = first_named(F.lower("text"), NAMED, whole_word=True)
