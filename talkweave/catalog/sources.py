@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators.rows import with_row_id
 from ..session import scratch_path
 from ..sources import codebook, predictions, story
-from ..sources.tables import read_messages, write_table
+from ..sources.tables import read_messages, spread, write_table
 from .derive import sql_strip
 from .registry import query
 
@@ -40,7 +40,7 @@ def _books(t):
         F.col("role"),
         F.lit("</text></state></page></book>"),
     )
-    return t.conversations.select("conv_id", "turn", xml.alias("xml"))
+    return spread(t.conversations, "conv_id").select("conv_id", "turn", xml.alias("xml"))
 
 
 _SAFE = r"regexp_replace(replace(replace(text, ']]>', ''), chr(13) || chr(10), chr(10)), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')"

@@ -94,7 +94,9 @@ def chunk_recursive(
 
     rest = [c for c in df.columns if c != text]
     chunks = batch_function(make, "array<string>")(F.col(text))
-    return df.select(*rest, chunks.alias("__c")).select(*rest, F.posexplode("__c").alias("chunk_no", out))
+    # outer: a plain explode would infer a filter on the array and cut every text twice for it
+    cut = df.select(*rest, chunks.alias("__c"))
+    return cut.select(*rest, F.posexplode_outer("__c").alias("chunk_no", out)).filter(F.col(out).isNotNull())
 
 
 # --- vectors ----------------------------------------------------------------

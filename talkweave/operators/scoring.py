@@ -16,7 +16,9 @@ def batch_function(make: Callable[[], Scorer], returns: T.DataType | str):
     """Column function around a batch model.
 
     ``make()`` runs once per Python worker task, not per batch, so a model is loaded lazily on the
-    executor. Only the input column crosses to Python, as Arrow batches; give retry-safe models.
+    executor. Only the input column crosses to Python, as Arrow batches. The call is declared
+    non-deterministic so that no optimizer rule repeats it, e.g. for a filter on its result;
+    give retry-safe models all the same.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -27,7 +29,7 @@ def batch_function(make: Callable[[], Scorer], returns: T.DataType | str):
             yield model(batch)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, returnType=returns)
+    return F.pandas_udf(run, returnType=returns).asNondeterministic()
 
 
 def score(

@@ -102,3 +102,8 @@ def test_whole_cleaning_of_two_sources(spark):
         (1, 1, "Ok?", "Seminar", None, None),
         (2, 2, "Hello", "UX", "Affirm", "1.0 (Ann)"),
     ]
+
+
+@pytest.mark.parametrize("name", ["chunk_recursive", "embed", "score", "argmax_label"])
+def test_python_runs_once_per_row(name, spark):
+    assert plan(queries()[name](spark, str(DATA / "sf0.001"))).count("ArrowEvalPython") == 1
