@@ -58,14 +58,14 @@ _COUNTS = ", ".join(
 @query(
     "embed",
     f"""WITH c AS (SELECT doc_id, [{_COUNTS}] AS c FROM documents)
-        SELECT doc_id, array_to_string(list_transform(c, lambda x:
-                 CAST(CAST(floor(1e4 * x / greatest(list_sum(c), 1) + 1e-3) AS BIGINT) AS VARCHAR)), ',') AS vector
-        FROM c""",
+        SELECT doc_id, array_to_string(list_transform(c, lambda x: CAST(x AS VARCHAR)), ',') AS letters FROM c""",
 )
 def embed(t):
+    """Letter shares times the number of letters, which must give back the letter counts."""
     done = R.embed(t.documents.select("doc_id", "text"), "text", letter_encoder)
-    units = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1e4 + 1e-3).cast("string"))
-    return done.select("doc_id", F.array_join(units, ",").alias("vector"))
+    total = F.length(F.regexp_replace("text", "[^a-z]", ""))
+    counts = F.transform("embedding", lambda x: F.round(x.cast("double") * total).cast("bigint").cast("string"))
+    return done.select("doc_id", F.array_join(counts, ",").alias("letters"))
 
 
 @query("embed_hashed")
