@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 BLOCK, HALO, CARRY = "__block", "__halo", "__carry"
 AUTO = "auto"
 AUTO_TURNS, AUTO_DAYS = 100_000, 1
+LONG_GROUPS = 256
 Block = Column | float | str | None
 
 
@@ -100,7 +101,7 @@ def with_halo(
     payload = [*order, *needed]
     in_block = Window.partitionBy(*keys, BLOCK)
     tails = (
-        cut.select(*keys, BLOCK, *payload)
+        _in_long_groups(cut.select(*keys, BLOCK, *payload), keys)
         .withColumn("__back", F.row_number().over(in_block.orderBy(*[F.desc(o) for o in order])))
         .filter(F.col("__back") <= k)
         .groupBy(*keys, BLOCK)
@@ -115,6 +116,26 @@ def with_halo(
     return cut.unionByName(halo, allowMissingColumns=True)
 
 
+def _in_long_groups(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Leave out rows of groups that lie within one block and need no halo.
+
+    Long groups are listed by hash, in one pass over the key columns. The list is cut off at
+    ``LONG_GROUPS``; where there are more, nothing is left out. A hash shared by chance keeps a
+    group that is not needed, which changes no result.
+    """
+    if not keys:
+        return cut
+    spans = cut.groupBy(*keys).agg(F.min(BLOCK).alias("a"), F.max(BLOCK).alias("b"))
+    listed = (
+        spans.filter(F.col("a") < F.col("b"))
+        .select(F.xxhash64(*keys).alias("h"))
+        .limit(LONG_GROUPS + 1)
+        .agg(F.collect_list("h").alias("h"))
+        .scalar()
+    )
+    return cut.filter((F.size(listed) > LONG_GROUPS) | F.array_contains(listed, F.xxhash64(*keys)))
+
+
 def _last(array: str, k: int) -> Column:
     return F.slice(array, F.greatest(F.size(array) - k + 1, F.lit(1)), k)
 

@@ -67,6 +67,11 @@ def test_history_any_block(spark, width, k):
     assert got == want
 
 
+def test_more_long_groups_than_listed(spark, monkeypatch):
+    monkeypatch.setattr(B, "LONG_GROUPS", 1)
+    test_history_any_block(spark, 7, 3)
+
+
 @pytest.mark.parametrize("width", [None, 7, 400])
 def test_runs_and_positions_any_block(spark, width):
     data = posts(2)
