@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import NO_LABEL
+from ..functions.labels import NO_LABEL, time_parts
 from ..functions.text import tokens, words
 from .schema import quoted
 
@@ -31,8 +31,6 @@ def top_n_counts(df: DataFrame, column: str, n: int = 30) -> DataFrame:
 
 def counts_over_time(df: DataFrame, ts: str, units: Sequence[str]) -> DataFrame:
     """Rows per combination of time parts, e.g. ('date',) or ('hour', 'minute')."""
-    from ..functions.labels import time_parts
-
     parts = time_parts(ts, units)
     return df.filter(F.col(ts).isNotNull()).groupBy(*parts).agg(F.count("*").alias("count"))
 
