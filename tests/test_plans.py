@@ -1,9 +1,12 @@
 """Shapes of physical plans: what reaches the scan, what is shuffled, what is not there."""
 
 import re
+import subprocess
+import sys
 
 import pytest
 from compare import DATA
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -107,3 +110,16 @@ def test_whole_cleaning_of_two_sources(spark):
 @pytest.mark.parametrize("name", ["chunk_recursive", "embed", "score", "argmax_label"])
 def test_python_runs_once_per_row(name, spark):
     assert plan(queries()[name](spark, str(DATA / "sf0.001"))).count("ArrowEvalPython") == 1
+
+
+def test_workers_need_no_installed_copy(tmp_path):
+    """Python functions run on workers that cannot import the package."""
+    code = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from talkweave.operators.retrieval import chunk_recursive\n"
+        "print(chunk_recursive(s.createDataFrame([('a b',)], 'text string'), 'text').count())\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip().endswith("1"), done.stderr[-500:]
