@@ -4,9 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from talkweave.llm import langid
 from talkweave.llm.common import load, written
+from talkweave.llm.decontaminate import drop_contaminated
 from talkweave.llm.mixing import mix
 from talkweave.llm.sharding import shard
+from talkweave.llm.simhash import drop_near
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones among them teach; those without letters or without a main language go."""
+    return langid.keep_identified(docs, langid.train(langid.learnt(docs)))
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: four-word shingles, four bits."""
+    return drop_near(docs, width=4, bits=4)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty stands in a benchmark window."""
+    return drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,10 +38,14 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("mixing", mixed),
+    ("language ID", identified),
+    ("SimHash near-dedup", deduplicated),
+    ("benchmark decontamination", decontaminated),
+    ("mixing sources to target weights", mixed),
     ("sharding", sharded),
 ]
 
+#: SQL has no Viterbi, no XXH64 and no draw of a communication matrix
 ORACLE_SQL = None
 
 
@@ -31,5 +53,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is written to the shared folder and read again."""
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
