@@ -137,6 +137,18 @@ def drop_tail(t):
     return R.drop_tail(df, 2, ["ts", "event_id"], ["user_id"]).drop("ts")
 
 
+@query(
+    "drop_tail_ties",
+    """SELECT event_type, day FROM (
+         SELECT event_type, CAST(ts AS DATE) AS day,
+                row_number() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE) DESC) AS back FROM events) WHERE back > 25""",
+)
+def drop_tail_ties(t):
+    """Rows alike in every column: exactly 25 go from each kind, however many share the last day."""
+    df = t.events.select("event_type", F.to_date("ts").alias("day"))
+    return R.drop_tail(df, 25, ["day"], ["event_type"])
+
+
 @query("filter_eq", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
 def filter_eq(t):
     return R.filter_eq(t.events, "event_type", "purchase").select("event_id", "value")
@@ -279,3 +291,16 @@ CORRECTIONS = [
 )
 def apply_corrections(t):
     return R.apply_corrections(t.conversations, CORRECTIONS, "text", "role", KEYS)
+
+
+@query(
+    "apply_corrections_ties",
+    """WITH n AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
+       SELECT event_type AS text, 'raw' AS label, 0 AS part_no FROM n, unnest(range(n - (event_type IN ('view', 'click'))::INT)) AS u(i)
+       UNION ALL SELECT * FROM (VALUES ('seen', 'A', 0), ('looked at', 'B', 1), ('pressed', 'C', 0)) AS x(t, l, p)""",
+)
+def apply_corrections_ties(t):
+    """All rows of a kind are alike; of each corrected kind one row is replaced."""
+    df = t.events.select(F.col("event_type").alias("text"), F.lit("raw").alias("label"))
+    fixes = [("view", 1, "seen", "A"), ("view", 2, "looked at", "B"), ("click", 1, "pressed", "C")]
+    return R.apply_corrections(df, fixes, "text", "label", ["text"])

@@ -104,10 +104,10 @@ WORDS = f"words AS (SELECT doc_id, unnest({sql_tokens('lower(text)')}) AS term F
     "term_frequencies",
     rf"""WITH {WORDS} SELECT term, count(*) AS "count" FROM words
         WHERE term NOT IN {STOP} AND regexp_matches(term, '[\p{{L}}\p{{N}}]')
-        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 200""",
+        GROUP BY 1""",
 )
 def term_frequencies(t):
-    return X.term_frequencies(t.documents, "text", ENGLISH, 200)
+    return X.term_frequencies(t.documents, "text", ENGLISH)
 
 
 @query(

@@ -7,6 +7,9 @@ from ..functions.stopwords import ENGLISH
 from ..functions.text import clean_tokens as clean
 from ..functions.text import normalise_text as normalise
 from ..operators import features as K
+from ..operators.evaluate import classification_report
+from ..operators.splits import merge_splits, stratified_split
+from ..session import written
 from .derive import KINDS, MESSAGES, messages, sql_list, sql_tokens
 from .explore import STOP, WORDS
 from .registry import query
@@ -57,7 +60,9 @@ _TOTALS = " + ".join(f"d{i} * d{i}" for i in range(DIM))
                round(sqrt({_TOTALS}), 4) AS norm FROM s""",
 )
 def embedding_sum(t):
-    done = K.embedding_sum(t.documents.select("doc_id", "text"), _vectors(t), "text", "doc_id", DIM)
+    # the vocabulary as a stored table, as a job would have it: its size is known before the join is planned
+    vocabulary = written(_vectors(t), "vocabulary")
+    done = K.embedding_sum(t.documents.select("doc_id", "text"), vocabulary, "text", "doc_id", DIM)
     squares = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
     return done.select(
         "doc_id",
@@ -112,14 +117,51 @@ def _parity(t):
     return t.embeddings.select("vec_id", "embedding", (F.col("label") % 3).alias("label"))
 
 
-@query("boosted_classifier")
+_SPLIT = """k AS (SELECT vec_id, CAST(label % 3 AS VARCHAR) AS label,
+         row_number() OVER (PARTITION BY label % 3 ORDER BY md5('42|' || vec_id), vec_id) AS pos,
+         count(*) OVER (PARTITION BY label % 3) AS n FROM embeddings),
+  test AS (SELECT vec_id, label FROM k WHERE pos > floor(n * 0.8::DOUBLE + 0.5))"""
+
+
+def _fitted(t):
+    """Boosted trees on vectors, time parts, page and response number, fitted on train and validation rows."""
+    at = F.timestamp_seconds(F.col("vec_id") * 3600)
+    df = _parity(t).withColumns(
+        {"hour": F.hour(at), "day": F.dayofmonth(at), "page": F.col("vec_id") % 7, "response_number": F.col("vec_id") % 3}
+    )
+    rows = merge_splits(stratified_split(df, "vec_id", "label"))
+    extra = ["hour", "day", "page", "response_number"]
+    model, names = K.boosted_classifier(rows.filter("split = 'train'"), "label", "embedding", extra, rounds=3, depth=3)
+    return rows.filter("split = 'test'"), extra, model, names
+
+
+@query("boosted_classifier", f"WITH {_SPLIT} SELECT vec_id, label, true AS known FROM test")
 def boosted_classifier(t):
-    df = _parity(t)
-    model, names = K.boosted_classifier(df, "label", "embedding", rounds=3, depth=3)
-    return K.predict(model, names, df, "label", "embedding").drop("embedding")
+    """Test rows, each with one of the classes of the training rows as its prediction."""
+    test, extra, model, names = _fitted(t)
+    done = K.predict(model, names, test, "label", "embedding", extra)
+    return done.select("vec_id", F.col("label").cast("string").alias("label"), F.col("predicted").isin(*names).alias("known"))
+
 
+@query("boosted_report", f"WITH {_SPLIT} SELECT label AS class, count(*) AS support, true AS better_than_chance FROM test GROUP BY 1")
+def boosted_report(t):
+    """Support of each class in the test report, and whether the model beats a guess of one class in three."""
+    test, extra, model, names = _fitted(t)
+    lines = classification_report(K.predict(model, names, test, "label", "embedding", extra), "label", "predicted")
+    accuracy = lines.filter("class = 'accuracy'").agg(F.max("f1")).scalar()
+    return lines.filter("kind = 'class' AND support > 0").select("class", "support", (accuracy > 0.34).alias("better_than_chance"))
 
-@query("feature_importance")
+
+@query("feature_importance", "SELECT 10 AS features, true AS named, true AS in_order, true AS shares")
 def feature_importance(t):
-    model, _ = K.boosted_classifier(_parity(t), "label", "embedding", method="forest", rounds=10)
-    return K.feature_importance(model, t.spark)
+    """What must hold of the ten most used features of the boosted model."""
+    test, extra, model, _ = _fitted(t)
+    names = [f"embedding_{i}" for i in range(DIM)] + extra
+    top = K.feature_importance(model, t.spark, names=names)
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("importance")).alias("i"), F.col("feature").alias("f"))))
+    return top.agg(
+        F.count("*").cast("int").alias("features"),
+        F.bool_and(F.col("feature").isin(*names)).alias("named"),
+        (F.size(ranked) == F.count_distinct("feature")).alias("in_order"),
+        ((F.sum("importance") <= 1 + 1e-9) & (F.min("importance") >= 0)).alias("shares"),
+    )

@@ -20,14 +20,14 @@ def _context(t):
 @query(
     "attach_context",
     f"""WITH {_CONTEXT}
-        SELECT c.conv_id AS row_id, c.role,
+        SELECT c.conv_id AS row_id, c.turn, c.role,
                coalesce((SELECT string_agg(x.text, ' || ' ORDER BY x.rank) FROM ctx x
                          WHERE x.row_id = c.conv_id AND x.rank <= 2), '') AS context
-        FROM conversations c WHERE turn = 0""",
+        FROM conversations c""",
 )
 def attach_context(t):
-    """Opening turns with the first two passages of their conversation; one in four has none."""
-    rows = t.conversations.filter("turn = 0").select(F.col("conv_id").alias("row_id"), "role")
+    """Every turn with the first two passages of its conversation; one conversation in four has none."""
+    rows = t.conversations.select(F.col("conv_id").alias("row_id"), "turn", "role")
     done = J.attach_context(rows, _context(t))
     return done.withColumn("context", F.array_join("context", " || "))
 

@@ -1,7 +1,7 @@
 """E: ordered windows. Posts are ``events`` (user = source, ts = order) or ``conversations``.
 
-Blocks are cut by 100,000 turns and by 30 days of events, so that no user or conversation has
-to fit one task.
+Blocks are cut by 3 turns and by one day of events, far narrower than any job would need, so
+that groups span blocks in tables of any size.
 """
 
 from pyspark.sql import functions as F
@@ -11,8 +11,8 @@ from ..operators import ordered as O
 from .derive import MESSAGES, messages, sql_blank
 from .registry import query
 
-TURNS = 100_000
-EVENT_SPAN = 30 * 86_400
+TURNS = 3
+EVENT_SPAN = 86_400
 
 
 @query(

@@ -50,7 +50,7 @@ def role_codebook(t):
 def _prompts(t, style, past_labels, with_context=False, use_history=True):
     blocks = P.codebook_block(role_codebook(t))
     df = t.conversations
-    df = O.history(df, "text", ["turn"], ["conv_id"], k=4, label="role", block=100_000)
+    df = O.history(df, "text", ["turn"], ["conv_id"], k=4, label="role", block=3)
     if with_context:
         passages = t.conversations.select("conv_id", (F.col("turn") + 1).alias("rank"), "text")
         df = attach_context(df, passages, key="conv_id")

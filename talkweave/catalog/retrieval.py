@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.text import retrieval_query as one_query
 from ..operators import ordered as O
 from ..operators import retrieval as R
+from .derive import sql_tokens
 from .registry import query
 
 _FIXED = """chunks AS (
@@ -19,8 +20,36 @@ def chunk_fixed(t):
     return R.chunk_fixed(t.documents.select("doc_id", "text"), "text")
 
 
-@query("chunk_recursive")
+@query(
+    "chunk_recursive",
+    r"""WITH d AS (SELECT doc_id, regexp_replace(text, '\s', '', 'g') AS seen FROM documents)
+        SELECT doc_id, md5(seen) AS visible, length(seen) AS letters, true AS repeats, true AS in_bounds, true AS found FROM d WHERE seen != ''""",
+)
 def chunk_recursive(t):
+    """Without overlap the chunks must hold every visible character once, in order. With overlap they hold no fewer,
+    none is longer than asked, and all are parts of the text."""
+    docs = t.documents.select("doc_id", "text")
+    seen = F.regexp_replace("chunk", r"\s", "")
+
+    def gathered(overlap, name):
+        item = F.struct("chunk_no", seen.alias("seen"), "chunk")
+        return R.chunk_recursive(docs, "text", overlap=overlap).groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias(name))
+
+    both = docs.join(gathered(0, "plain"), "doc_id").join(gathered(30, "lapped"), "doc_id")
+    visible = F.array_join(F.transform("plain", lambda c: c["seen"]), "")
+    letters = F.aggregate("lapped", F.lit(0), lambda n, c: n + F.length(c["seen"]))
+    return both.select(
+        "doc_id",
+        F.md5(visible).alias("visible"),
+        F.length(visible).cast("bigint").alias("letters"),
+        (letters >= F.length(visible)).alias("repeats"),
+        F.forall("lapped", lambda c: F.length(c["chunk"]) <= 500).alias("in_bounds"),
+        F.forall("lapped", lambda c: F.contains(F.col("text"), c["chunk"])).alias("found"),
+    )
+
+
+@query("chunk_recursive_rows")
+def chunk_recursive_rows(t):
     return R.chunk_recursive(t.documents.select("doc_id", "text"), "text")
 
 
@@ -32,20 +61,21 @@ def chunk_recursive(t):
        FROM conversations""",
 )
 def retrieval_query(t):
-    done = O.history(t.conversations.drop("role"), "text", ["turn"], ["conv_id"], k=6, block=100_000)
+    done = O.history(t.conversations.drop("role"), "text", ["turn"], ["conv_id"], k=6, block=3)
     lines = F.transform("history", lambda h: h["text"])
     return done.select("conv_id", "turn", one_query(lines, "text").alias("query"))
 
 
 def letter_encoder():
-    """A tiny stand-in for a sentence encoder: letter frequencies of a to z."""
+    """A tiny stand-in for a sentence encoder: shares of the letters a to z, and their number."""
 
     def encode(texts):
-        out = np.zeros((len(texts), 26))
-        for i, s in enumerate(texts):
-            raw = np.frombuffer((s or "").encode("ascii", "ignore"), dtype=np.uint8)
-            out[i] = np.bincount(raw, minlength=128)[97:123]
-        return out / np.maximum(out.sum(axis=1, keepdims=True), 1.0)
+        raw = [(s or "").encode("ascii", "ignore") for s in texts]
+        doc = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
+        cells = doc * 128 + np.frombuffer(b"".join(raw), dtype=np.uint8)
+        counts = np.bincount(cells, minlength=128 * len(raw)).reshape(-1, 128)[:, 97:123]
+        total = counts.sum(axis=1, keepdims=True)
+        return np.hstack([counts / np.maximum(total, 1), total])
 
     return encode
 
@@ -63,14 +93,34 @@ _COUNTS = ", ".join(
 def embed(t):
     """Letter shares times the number of letters, which must give back the letter counts."""
     done = R.embed(t.documents.select("doc_id", "text"), "text", letter_encoder)
-    total = F.length(F.regexp_replace("text", "[^a-z]", ""))
-    counts = F.transform("embedding", lambda x: F.round(x.cast("double") * total).cast("bigint").cast("string"))
+    total = F.get("embedding", F.lit(26)).cast("double")
+    shares = F.slice("embedding", 1, 26)
+    counts = F.transform(shares, lambda x: F.round(x.cast("double") * total).cast("bigint").cast("string"))
     return done.select("doc_id", F.array_join(counts, ",").alias("letters"))
 
 
-@query("embed_hashed")
+def _sql_hashed(source, dim):
+    """(id, embedding) of a relation (id, text): word counts by md5 bucket at unit length."""
+    unit = "coalesce(n[d], 0) / greatest(sqrt(list_sum(list_transform(map_values(n), lambda x: x * x))), 1)"
+    return f"""hashed AS (
+    SELECT id, list_transform(range({dim}), lambda d: CAST({unit} AS FLOAT)) AS embedding FROM (
+      SELECT id, coalesce(map_from_entries(list(struct_pack(k := b, v := c::DOUBLE)) FILTER (WHERE b IS NOT NULL)), MAP {{}}) AS n FROM (
+        SELECT id, b, count(*) AS c FROM (
+          SELECT id, unnest(CASE WHEN len(w) > 0 THEN list_transform(w, lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT) % {dim})
+                                 ELSE [NULL] END) AS b
+          FROM (SELECT id, {sql_tokens('lower(text)')} AS w FROM ({source}))) GROUP BY 1, 2) GROUP BY 1))"""
+
+
+@query(
+    "embed_hashed",
+    f"""WITH {_sql_hashed('SELECT doc_id AS id, text FROM documents', 256)}
+        SELECT id AS doc_id, array_to_string(list_transform(embedding, lambda x: CAST(CAST(round(x * 1e5) AS BIGINT) AS VARCHAR)), ',') AS embedding
+        FROM hashed""",
+)
 def embed_hashed(t):
-    return R.embed_hashed(t.documents.select("doc_id", "text"), "text").drop("text")
+    done = R.embed_hashed(t.documents.select("doc_id", "text"), "text")
+    digits = F.transform("embedding", lambda x: F.round(x.cast("double") * 1e5).cast("bigint").cast("string"))
+    return done.select("doc_id", F.array_join(digits, ",").alias("embedding"))
 
 
 def _sides(t):

@@ -62,12 +62,12 @@ NAMED = ["the", "of", "le", "der", "en", "que"]
     "find_first",
     f"""WITH c AS (SELECT doc_id, unnest({sql_list(NAMED + ['None'])}) AS name,
                           unnest(range({len(NAMED) + 1})) AS rank, lower(text) AS text FROM documents),
-             h AS (SELECT doc_id, name, rank, strpos(text, name) AS pos FROM c WHERE strpos(text, name) > 0)
-        SELECT d.doc_id, coalesce(h.name, 'None') AS label FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id
+             h AS (SELECT doc_id, name, rank, strpos(text, lower(name)) AS pos FROM c WHERE strpos(text, lower(name)) > 0)
+        SELECT d.doc_id, coalesce(upper(h.name[1]) || h.name[2:], 'None') AS label FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id
         QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY pos, rank) = 1""",
 )
 def find_first(t):
-    return t.documents.select("doc_id", first_named(F.lower("text"), NAMED).alias("label"))
+    return t.documents.select("doc_id", first_named("text", [n.title() for n in NAMED]).alias("label"))
 
 
 @query(
@@ -76,7 +76,7 @@ def find_first(t):
                 lambda w: list_contains({sql_list(NAMED)}, w))[1], 'None') AS label FROM documents""",
 )
 def find_first_whole_word(t):
-    label = first_named(F.lower("text"), NAMED, whole_word=True)
+    label = first_named("text", NAMED, whole_word=True)
     return t.documents.select("doc_id", label.alias("label"))
 
 
@@ -230,9 +230,25 @@ def sampled_energy_distance(t):
     return done.withColumn("distance", F.round("distance", 6))
 
 
+_DIRECTIONS = 16
+_SLICED = f"""side AS (SELECT vec_id % 2 AS side, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+  waves AS (SELECT d, [sin((i + 1) * (12.9898 * (d + 1))) for i in range(64)] AS u FROM range({_DIRECTIONS}) AS r(d)),
+  along AS (SELECT d, side, list_dot_product(v, u) / sqrt(list_dot_product(u, u)) AS x FROM side, waves),
+  steps AS (SELECT d, x, sum((side = 0)::INT) OVER w / sum((side = 0)::INT) OVER (PARTITION BY d) AS f,
+                   sum((side = 1)::INT) OVER w / sum((side = 1)::INT) OVER (PARTITION BY d) AS g,
+                   lead(x) OVER (PARTITION BY d ORDER BY x) AS y
+            FROM along WINDOW w AS (PARTITION BY d ORDER BY x)),
+  energy AS (SELECT 2 * sum((f - g) * (f - g) * (y - x)) / {_DIRECTIONS} AS distance FROM steps)"""
+
+
+@query("energy_distance", f"WITH {_SLICED} SELECT round(distance, 6) AS distance FROM energy")
+def energy_distance(t):
+    return D.energy_distance(*_halves(t), "embedding").withColumn("distance", F.round("distance", 6))
+
+
 @query(
     "compare_sets",
-    f"""WITH {_MEANS}, {_ENERGY}
+    f"""WITH {_MEANS}, {_SLICED}
         SELECT 'label' AS target, a.label AS label_a, b.label AS label_b,
                round(sqrt(sum((a.x - b.x) * (a.x - b.x))), 6) AS distance
         FROM means a JOIN means b ON a.dim = b.dim AND a.side = 0 AND b.side = 1 GROUP BY 1, 2, 3
@@ -240,5 +256,5 @@ def sampled_energy_distance(t):
 )
 def compare_sets(t):
     a, b = _halves(t)
-    done = D.compare_sets(a.withColumn("only_here", F.lit(1)), b, ["label"], "vec_id", "embedding")
+    done = D.compare_sets(a.withColumn("only_here", F.lit(1)), b, ["label"], "embedding")
     return done.withColumn("distance", F.round("distance", 6))

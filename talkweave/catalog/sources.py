@@ -6,7 +6,8 @@ from ..operators.rows import with_row_id
 from ..session import scratch_path
 from ..sources import codebook, predictions, story
 from ..sources.tables import read_messages, spread, write_table
-from .derive import sql_strip
+from ..functions.text import ENTITY_NAMES
+from .derive import pick, sql_list, sql_strip, sql_text
 from .registry import query
 
 ALL_MESSAGES = "SELECT conv_id, turn, role, text FROM conversations"
@@ -69,10 +70,24 @@ def story_text(t):
     return _books(t).select("conv_id", "turn", story.story_text(story.story_pages("xml")).alias("text"))
 
 
+_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_NAMED = "map {" + ", ".join(f"'{n}': {sql_text(c)}" for n, c in ENTITY_NAMES.items()) + "}"
+
+
 def _sql_unescape(x):
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        x = f"replace({x}, '{a}', '{b}')"
-    return x
+    """The text between references and what each reference stands for, in turn."""
+    number = (
+        "CASE WHEN starts_with(e, '&#x') OR starts_with(e, '&#X') THEN CAST('0x' || e[4:-2] AS BIGINT) "
+        "ELSE CAST(e[3:-2] AS BIGINT) END"
+    )
+    valid = f"({number}) BETWEEN 1 AND 1114111 AND NOT ({number}) BETWEEN 55296 AND 57343"
+    char = (
+        f"CASE WHEN starts_with(e, '&#') THEN CASE WHEN {valid} THEN chr(CAST({number} AS INTEGER)) ELSE chr(65533) END "
+        f"ELSE coalesce({_NAMED}[e], e) END"
+    )
+    return f"""(SELECT array_to_string(list_transform(range(1, len(g) + 1),
+                  lambda k: g[k] || CASE WHEN k <= len(m) THEN list_transform([m[k]], lambda e: {char})[1] ELSE '' END), '')
+                FROM (SELECT string_split_regex(y, '{_ENTITY}') AS g, regexp_extract_all(y, '{_ENTITY}') AS m FROM (SELECT {x} AS y)))"""
 
 
 _NO_TAGS = (
@@ -82,15 +97,22 @@ _NO_TAGS = (
 )
 
 
+# pages that name their characters in every way a page can
+_MARKED = ["&#160;", "&eacute;&apos;", "&#x27;&#X1F600;", "&mdash; &amp;lt;", "&unknown; & &;", "&#0;&#55296;"]
+_HTML = f"html || '<p>' || {sql_list(_MARKED)}[1 + page_id % {len(_MARKED)}] || '</p>'"
+
+
 @query(
     "html_text",
-    rf"""SELECT page_id, url,
+    rf"""WITH p AS (SELECT page_id, url, {_HTML} AS html FROM pages)
+        SELECT page_id, url,
                {_sql_unescape("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
                {sql_strip("regexp_replace(" + _sql_unescape(_NO_TAGS) + r", '[ \t\n\r\f\x0B\x{A0}]+', ' ', 'g')")} AS text
-        FROM pages""",
+        FROM p""",
 )
 def html_text(t):
-    return story.page_texts(t.pages)
+    marked = F.concat("html", F.lit("<p>"), pick(F.col("page_id"), _MARKED), F.lit("</p>"))
+    return story.page_texts(t.pages.withColumn("html", marked))
 
 
 def raw_codebook(t):
@@ -190,6 +212,21 @@ def load_predictions(t):
     return stored.select("event_id", "method", F.col("class"))
 
 
+@query(
+    "read_runs",
+    f"""WITH {RUN_ROWS}
+        SELECT event_id, 'method' AS method, lower(class) AS class, use_history, use_context, use_history AND use_past_labels AS use_past_labels
+        FROM run_rows WHERE use_history OR NOT use_past_labels""",
+)
+def read_runs(t):
+    """One folder per run; settings come back from the folders' names."""
+    suffix = predictions.run_suffix_col("class", "use_history", "use_past_labels", "use_context")
+    named = run_rows(t).filter(F.col("use_history") | ~F.col("use_past_labels"))
+    path = scratch_path(t.spark, "runs")
+    write_table(named.select("event_id", F.concat(F.lit("method"), suffix).alias("run")), path, ["run"])
+    return predictions.read_runs(t.spark, path)
+
+
 @query(
     "with_row_id",
     """SELECT conv_id, turn, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS row_id

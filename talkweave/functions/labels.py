@@ -138,18 +138,22 @@ def pivot_text(start: Column, end: Column) -> Column:
 
 
 def find_first(
-    c: Column | str, classes: Sequence[str], whole_word: bool = False, default: str = NO_LABEL
+    c: Column | str, classes: Sequence[str], whole_word: bool = False, default: str = NO_LABEL, ignore_case: bool = True
 ) -> Column:
-    """Class named earliest in the text; list order on ties; ``default`` if none is named."""
-    c = _col(c)
+    """Class named earliest in the text; list order on ties; ``default`` if none is named.
+
+    Letter case does not count unless ``ignore_case`` is off; the class is returned as listed.
+    """
+    c = F.lower(_col(c)) if ignore_case else _col(c)
     ranked = list(classes) + ([default] if default not in classes else [])
     found = []
     for i, name in enumerate(ranked):
+        wanted = name.lower() if ignore_case else name
         if whole_word:
             edge = r"[\p{L}\p{N}]"
-            at = F.regexp_instr(c, F.lit(rf"(?<!{edge})\Q{name}\E(?!{edge})"))
+            at = F.regexp_instr(c, F.lit(rf"(?<!{edge})\Q{wanted}\E(?!{edge})"))
         else:
-            at = F.locate(name, c)
+            at = F.locate(wanted, c)
         found.append(
             F.struct(
                 (at == 0).alias("missing"), at.alias("at"), F.lit(i).alias("rank"), F.lit(name).alias("name")

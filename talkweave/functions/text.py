@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,14 +107,29 @@ def html_text(c: Column | str) -> Column:
     return strip(F.regexp_replace(_unescape(out), f"{SPACE}+", " "))
 
 
+#: a character reference: decimal, hexadecimal, or by name
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: names and what they stand for, from the language's own table of the HTML standard
+ENTITY_NAMES = {f"&{name};": chr(point) for name, point in (*name2codepoint.items(), ("apos", 39))}
+
+
 def _unescape(c: Column) -> Column:
-    for entity, char in (
-        ("&nbsp;", " "),
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&amp;", "&"),
-    ):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Character references decoded once, left to right; unknown names stay as they are.
+
+    Numbers that are no characters become U+FFFD.
+    """
+    found = F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0))
+    names = F.create_map(*[F.lit(x) for pair in ENTITY_NAMES.items() for x in pair])
+
+    def decoded(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        point = F.when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        real = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(real, point).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.when(entity.startswith("&#"), char).otherwise(F.coalesce(F.try_element_at(names, entity), entity))
+
+    parts = F.arrays_zip(F.split(c, ENTITY, -1).alias("gap"), found.alias("entity"))
+    joined = F.array_join(
+        F.transform(parts, lambda p: F.concat(p["gap"], F.when(p["entity"].isNull(), "").otherwise(decoded(p["entity"])))), ""
+    )
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)

@@ -15,7 +15,7 @@ Only one row set per block (k rows, or one total) meets in a per-group window, s
 smaller than the group by the block size.
 
 ``block`` is a width in units of the first order column (seconds for times), a column, or
-``AUTO``, which takes a default width; ``None`` keeps the plain window for groups known to be
+``AUTO``, which takes boundaries from quantiles of the data; ``None`` keeps the plain window for groups known to be
 short.
 """
 
@@ -29,8 +29,7 @@ from pyspark.sql import types as T
 
 BLOCK, HALO, CARRY = "__block", "__halo", "__carry"
 AUTO = "auto"
-AUTO_TURNS, AUTO_DAYS = 100_000, 1
-LONG_GROUPS = 256
+SPLITS, STEP = 1024, 32
 Block = Column | float | str | None
 
 
@@ -47,21 +46,34 @@ def order_block(df: DataFrame, order: str, width: float) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def fit_block_width(
-    df: DataFrame, keys: Sequence[str], order: str, rows_per_block: int = 1_000_000
-) -> float:
-    """Width that cuts the largest group into blocks of about ``rows_per_block`` rows.
+def order_number(df: DataFrame, order: str) -> Column:
+    """A number that never decreases with the order column: times by microseconds, texts by their first seven bytes."""
+    kind, c = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(c), 1, 14), 14, "0"), 16, 10).cast("bigint")
+    return c
+
+
+def add_quantile_block(df: DataFrame, order: str) -> DataFrame:
+    """As block, how many of ``SPLITS`` - 1 approximate quantiles of the order column a row has reached.
 
-    One aggregation over the key and order columns; only a single number reaches the driver.
+    The quantiles are of all rows, so whatever group holds most rows is cut most finely, bursts in time too, and there are
+    never more than ``SPLITS`` blocks however sparse the values are. One aggregation to a single small row; a row is
+    placed by two short searches. Values that are equal (texts with seven equal bytes) stay in one block.
     """
-    c = order_block(df, order, 1.0)
-    stats = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("n"), (F.max(c) - F.min(c) + 1).alias("span"))
-        .agg(F.max_by(F.col("span") / F.col("n"), "n").alias("step"))
-    )
-    step = stats.first()["step"]
-    return max(1.0, (step or 1.0) * rows_per_block)
+    number = order_number(df, order)
+    shares = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
+    points = df.agg(F.percentile_approx(number, shares, F.lit(10_000)).alias("b"))
+    points = points.select(F.struct(F.filter("b", lambda _, i: i % STEP == STEP - 1).alias("few"), F.col("b").alias("all")).alias("s"))
+    found = F.col("__points")  # a column of its own: no subquery may stand inside a lambda
+    reached = STEP * F.size(F.filter(found["few"], lambda b: b <= number))
+    rest = F.size(F.filter(F.slice(found["all"], reached + 1, F.lit(STEP)), lambda b: b <= number))
+    block = F.coalesce(reached + rest, F.lit(0)).cast("bigint")
+    return df.withColumn("__points", points.scalar()).withColumn(BLOCK, block).drop("__points")
 
 
 def add_block(df: DataFrame, order: Sequence[str], block: Block) -> DataFrame:
@@ -70,12 +82,7 @@ def add_block(df: DataFrame, order: Sequence[str], block: Block) -> DataFrame:
     if isinstance(block, str):
         if block != AUTO:
             raise ValueError(f"block {block!r}")
-        kind = df.schema[order[0]].dataType
-        block = AUTO_TURNS
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            block = AUTO_DAYS * 86_400
-        elif isinstance(kind, T.DateType):
-            block = AUTO_DAYS
+        return add_quantile_block(df, order[0])
     if isinstance(block, (int, float)):
         block = order_block(df, order[0], block)
     return df.withColumn(BLOCK, block)
@@ -119,21 +126,17 @@ def with_halo(
 def _in_long_groups(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Leave out rows of groups that lie within one block and need no halo.
 
-    Long groups are listed by hash, in one pass over the key columns. The list is cut off at
-    ``LONG_GROUPS``; where there are more, nothing is left out. A hash shared by chance keeps a
-    group that is not needed, which changes no result.
+    Only groups that span blocks stay in the table of spans, one row each; rows meet it in a
+    semi-join, broadcast or skew-split at run time.
     """
     if not keys:
         return cut
-    spans = cut.groupBy(*keys).agg(F.min(BLOCK).alias("a"), F.max(BLOCK).alias("b"))
-    listed = (
-        spans.filter(F.col("a") < F.col("b"))
-        .select(F.xxhash64(*keys).alias("h"))
-        .limit(LONG_GROUPS + 1)
-        .agg(F.collect_list("h").alias("h"))
-        .scalar()
-    )
-    return cut.filter((F.size(listed) > LONG_GROUPS) | F.array_contains(listed, F.xxhash64(*keys)))
+    named = [F.col(k).alias(f"__span_{i}") for i, k in enumerate(keys)]
+    spans = cut.groupBy(*named).agg(F.min(BLOCK).alias("__a"), F.max(BLOCK).alias("__b"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__span_{i}"))
+    return cut.join(spans.filter("__a < __b"), same, "left_semi")
 
 
 def _last(array: str, k: int) -> Column:

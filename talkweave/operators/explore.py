@@ -20,8 +20,8 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
     """Count and share of all rows per value, the missing value included."""
-    total = df.agg(F.count("*")).scalar()
-    return value_counts(df, column, dropna=False).withColumn("share", F.col("count") / total)
+    counts = value_counts(df, column, dropna=False)
+    return counts.withColumn("share", F.col("count") / counts.agg(F.sum("count")).scalar())
 
 
 def top_n_counts(df: DataFrame, column: str, n: int = 30) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import as_class
 from ..functions.text import clean_token_array
-from .blocks import row_position
+from .blocks import AUTO, row_position
 from .explore import row_term_counts
 
 
@@ -57,12 +57,11 @@ def unknown_words(
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """(label, index): classes in sorted order from 0.
 
-    Only distinct labels are ranked, in blocks by their first characters, so encoding names or
+    Only distinct labels are ranked, in blocks between quantiles of the labels, so encoding names or
     other columns with many values needs no single sort.
     """
     classes = df.select(as_class(label).alias("label")).distinct()
-    block = F.substring("label", 1, 3)
-    return row_position(classes, [], ["label"], block, "index").select(
+    return row_position(classes, [], ["label"], AUTO, "index").select(
         "label", (F.col("index") - 1).cast("int").alias("index")
     )
 
@@ -75,9 +74,8 @@ def with_label_index(df: DataFrame, label: str, out: str = "label_id") -> DataFr
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights: rows / (classes * rows of the class)."""
     counts = df.groupBy(as_class(label).alias("label")).agg(F.count("*").alias("count"))
-    rows = df.agg(F.count("*")).scalar()
-    classes = df.agg(F.count_distinct(as_class(label))).scalar()
-    return counts.withColumn("weight", rows / (classes * F.col("count")))
+    mean = counts.agg(F.avg("count")).scalar()  # rows / classes, from the same counts
+    return counts.withColumn("weight", mean / F.col("count"))
 
 
 def boosted_classifier(
@@ -135,17 +133,23 @@ def predict(model, labels: Sequence[str], df: DataFrame, label: str, features: s
     return scored.withColumn(out, F.get(names, F.col("prediction").cast("int"))).select(*df.columns, out)
 
 
-def feature_importance(model, spark, n: int = 10) -> DataFrame:
-    """The ``n`` most used features: (feature, importance), averaged over per-class models."""
+def feature_importance(model, spark, n: int = 10, names: Sequence[str] | None = None) -> DataFrame:
+    """The ``n`` most used features: (feature, importance), averaged over per-class models.
+
+    ``names`` in the order of the features (vector places, then extra columns); without them, their numbers as text.
+    """
     last = model.stages[-1]
     models = getattr(last, "models", [last])
     total: dict[int, float] = {}
     for m in models:
         for i, x in enumerate(m.featureImportances.toArray()):
             total[i] = total.get(i, 0.0) + float(x) / len(models)
-    rows = [(i, x) for i, x in total.items()]
+    width = max(total, default=-1) + 1
+    names = [str(i) for i in range(width)] if names is None else list(names)
+    rows = [(names[i], total.get(i, 0.0), i) for i in range(min(width, len(names)))]
     return (
-        spark.createDataFrame(rows, "feature int, importance double")
-        .orderBy(F.desc("importance"), "feature")
+        spark.createDataFrame(rows, "feature string, importance double, place int")
+        .orderBy(F.desc("importance"), "place")
+        .drop("place")
         .limit(n)
     )

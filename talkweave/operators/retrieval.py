@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_token_array
@@ -118,30 +118,27 @@ def embed(
 
 
 def embed_hashed(df: DataFrame, text: str, dim: int = 256, out: str = "embedding") -> DataFrame:
-    """Offline default: L2-normalised hashed word counts, computed in the JVM."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
+    """Offline default: L2-normalised word counts by md5 bucket, computed in the JVM.
 
-    words = df.withColumn("__t", clean_token_array(text))
-    counted = HashingTF(inputCol="__t", outputCol="__tf", numFeatures=dim).transform(words)
-    unit = Normalizer(inputCol="__tf", outputCol="__v", p=2.0).transform(counted)
-    return unit.withColumn(out, vector_to_array("__v", "float32")).drop("__t", "__tf", "__v")
-
-
-def vector_distance(a: Column | str, b: Column | str, metric: str = "l2") -> Column:
-    """Distance of two array columns in double precision, inside codegen."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-
-    def total(x: Column, y: Column, f) -> Column:
-        terms = F.zip_with(x, y, lambda p, q: f(p.cast("double"), q.cast("double")))
-        return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
-
-    if metric == "l2":
-        return F.sqrt(total(a, b, lambda p, q: (p - q) * (p - q)))
-    dot = total(a, b, lambda p, q: p * q)
-    norms = F.sqrt(total(a, a, lambda p, q: p * q)) * F.sqrt(total(b, b, lambda p, q: p * q))
-    return 1 - dot / norms
+    A word's bucket is the number in the first eight digits of its md5, modulo ``dim``. Buckets are sorted inside the row and
+    counted by run length. A text without words, or none at all, has the zero vector.
+    """
+    bucket = F.transform(clean_token_array(text), lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int"))
+    rows = df.withColumn("__b", F.coalesce(F.array_sort(bucket), F.array().cast("array<int>")))
+    places = F.sequence(F.lit(0), F.size("__b") - 1)
+    ends = F.filter(places, lambda i: ~F.get("__b", i).eqNullSafe(F.get("__b", i + 1)))
+    rows = rows.withColumn("__e", F.when(F.size("__b") > 0, ends).otherwise(F.array().cast("array<int>")))
+    values = F.transform("__e", lambda e: F.get("__b", e))
+    counts = F.transform("__e", lambda e, j: (e - F.coalesce(F.get("__e", j - 1), F.lit(-1))).cast("double"))
+    rows = rows.withColumn("__n", F.map_from_arrays(values, counts))
+    norm = F.sqrt(F.aggregate(F.map_values("__n"), F.lit(0.0), lambda s, n: s + n * n))
+    rows = rows.withColumn("__norm", norm)
+    length = F.col("__norm")  # named twice below: a column used once would be computed anew for each element
+    unit = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.when(length > 0, F.coalesce(F.try_element_at("__n", i), F.lit(0.0)) / length).otherwise(0.0).cast("float"),
+    )
+    return rows.withColumn(out, unit).drop("__b", "__e", "__n", "__norm")
 
 
 def _stack(s: pd.Series, metric: str) -> np.ndarray:
@@ -151,29 +148,40 @@ def _stack(s: pd.Series, metric: str) -> np.ndarray:
     return m
 
 
+def best_of(ids: np.ndarray, hits: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` nearest hits of each id, by id, distance, hit."""
+    order = np.lexsort((hits, dist, ids))
+    if not len(order):
+        return order
+    ranked = ids[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    start = np.flatnonzero(new)
+    return order[np.arange(len(order)) - start[np.cumsum(new) - 1] < k]
+
+
 def nearest(qid, q, vid, v, k: int, step: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` rows of ``v`` nearest to each row of ``q`` (squared distance, id on ties).
 
     A matrix product screens, a direct difference decides, so equal vectors tie exactly.
     """
     vv = (v * v).sum(axis=1)
-    ids, hits, dist = [], [], []
+    found = []
     take = min(k, len(v))
     for i in range(0, len(q), step):
         part = q[i : i + step]
-        rough = (part * part).sum(axis=1)[:, None] + vv - 2.0 * (part @ v.T)
+        own = (part * part).sum(axis=1)
+        rough = own[:, None] + vv - 2.0 * (part @ v.T)
         edge = np.partition(rough, take - 1, axis=1)[:, take - 1]
-        slack = 1e-9 * (1.0 + vv.max(initial=0.0) + (part * part).sum(axis=1))
-        for j in range(len(part)):
-            cand = np.flatnonzero(rough[j] <= edge[j] + slack[j])
-            exact = ((v[cand] - part[j]) ** 2).sum(axis=1)
-            best = np.lexsort((vid[cand], exact))[:take]
-            ids.append(np.full(len(best), qid[i + j]))
-            hits.append(vid[cand][best])
-            dist.append(exact[best])
-    if not ids:
+        slack = 1e-9 * (1.0 + vv.max(initial=0.0) + own)
+        row, at = np.nonzero(rough <= (edge + slack)[:, None])
+        exact = np.concatenate(
+            [((v[at[j : j + 65_536]] - part[row[j : j + 65_536]]) ** 2).sum(axis=1) for j in range(0, len(at), 65_536)]
+        )
+        best = best_of(row, vid[at], exact, take)
+        found.append((qid[i + row[best]], vid[at[best]], exact[best]))
+    if not found:
         return np.array([]), np.array([]), np.array([])
-    return np.concatenate(ids), np.concatenate(hits), np.concatenate(dist)
+    return tuple(map(np.concatenate, zip(*found)))
 
 
 def _frame(found) -> pd.DataFrame:
@@ -194,7 +202,7 @@ def top_k(
 
     * the vectors fit ``limit`` (a story's passages): they are broadcast, queries stream past
       them, nothing is shuffled;
-    * the queries fit ``limit``: they are broadcast, each task keeps ``k`` per query and batch;
+    * the queries fit ``limit``: they are broadcast, each task returns ``k`` per query at its end;
     * neither fits: both are cut into hash blocks below ``limit``; a block of queries meets each
       block of vectors in a group of its own.
     """
@@ -246,16 +254,23 @@ def _against_small(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, m = shared.value
+        held = None
         for b in batches:
             if m is None or b.empty:
                 continue
             mine, mat = b[stream_id].to_numpy(), _stack(b["embedding"], metric)
-            if not by_query:
-                yield _frame(nearest(ids, m, mine, mat, k))
+            if by_query:
+                out = _frame(nearest(mine, mat, ids, m, k))
+                out["rank"] = (out.groupby("query_id").cumcount() + 1).astype("int32")
+                yield out
                 continue
-            out = _frame(nearest(mine, mat, ids, m, k))
-            out["rank"] = (out.groupby("query_id").cumcount() + 1).astype("int32")
-            yield out
+            found = nearest(ids, m, mine, mat, k)
+            if held is not None:
+                found = tuple(map(np.concatenate, zip(held, found)))
+            best = best_of(*found, k)
+            held = tuple(x[best] for x in found)
+        if held is not None:
+            yield _frame(held)
 
     if by_query:
         schema += ", rank int"

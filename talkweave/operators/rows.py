@@ -52,29 +52,40 @@ def with_row_id(
 def drop_tail(
     df: DataFrame, n: int, order: Sequence[str], per: Sequence[str] = ()
 ) -> DataFrame:
-    """Drop the last ``n`` rows of each source.
+    """Drop exactly the last ``n`` rows of each source, or all of a shorter one.
 
-    The row_number filter is pushed below the shuffle as a group limit, so at most ``n`` key
-    rows per source and task are moved to find the cut; the rows themselves meet only the cut,
-    in an equi-join that is broadcast or skew-split at run time.
+    Rows with equal ``order`` are told apart by a hash of the whole row; of rows alike in every
+    column it does not matter which go, so they are counted. The row_number filter is pushed
+    below the shuffle as a group limit: at most ``n`` key rows per source and task are moved to find the
+    cut. The rows meet only the cut, one per source, in an equi-join that is broadcast or
+    skew-split at run time.
     """
     if n <= 0:
         return df
-    last = Window.partitionBy(*per).orderBy(*[F.desc(o) for o in order])
+    at = F.struct(*order, F.xxhash64(*df.columns).alias("__hash"))
+    keyed = df.withColumn("__at", at)
+    last = Window.partitionBy(*per).orderBy(F.desc("__at"))
+    tail = keyed.select(*per, "__at").withColumn("__back", F.row_number().over(last)).filter(F.col("__back") <= n)
+    named = [F.col(p).alias(f"__{p}") for p in per]
     cut = (
-        df.select(*per, *order)
-        .withColumn("__back", F.row_number().over(last))
-        .filter(F.col("__back") <= n)
-        .groupBy(*[F.col(p).alias(f"__{p}") for p in per])
-        .agg(F.min(F.struct(*order)).alias("__cut"))
+        tail.groupBy(*per, "__at")
+        .agg(F.count("*").alias("__n"))
+        .groupBy(*named)
+        .agg(F.min(F.struct(F.col("__at"), F.col("__n"))).alias("__cut"))
     )
-    same = [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in per]
-    on = same[0] if same else F.lit(True)
-    for s in same[1:]:
-        on = on & s
-    if not per:
-        return df.filter(F.struct(*order) < cut.scalar())
-    return df.join(cut, on, "left").filter(F.struct(*order) < F.col("__cut")).select(*df.columns)
+    if per:
+        same = F.lit(True)
+        for p in per:
+            same = same & F.col(p).eqNullSafe(F.col(f"__{p}"))
+        met = keyed.join(cut, same)
+    else:
+        met = keyed.withColumn("__cut", cut.select("__cut").scalar())
+    before = met.filter(F.col("__at") < F.col("__cut.__at")).select(*df.columns)
+    # of the rows at the cut, alike in every column, those beyond the tail's stay
+    level = met.filter(F.col("__at") == F.col("__cut.__at")).groupBy(*df.columns)
+    left = level.agg((F.count("*") - F.max("__cut.__n")).alias("__left")).filter("__left > 0")
+    again = left.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__left")))).select(*df.columns)
+    return before.unionByName(again)
 
 
 def split_multilabel(
@@ -152,8 +163,8 @@ def apply_corrections(
     """Replace hand-picked messages by hand-made labelled parts.
 
     ``corrections`` is a hand-written list ``(prefix, seq, new_text, new_label)``. Of all rows
-    whose message starts with a prefix, only the first in ``order`` is replaced. The list is
-    literal, so matching is a row-local expression, not a join on a condition.
+    whose message starts with a prefix, only the first in ``order`` is replaced; ties are broken by
+    a hash of the row, and of rows alike in every column one is replaced. The list is literal, so matching is a row-local expression, not a join on a condition.
     """
     prefixes = list(dict.fromkeys(p for p, *_ in corrections))
     if not prefixes:
@@ -168,20 +179,21 @@ def apply_corrections(
         ]
         which = F.when(hit, F.lit(i)).otherwise(which)
         parts = F.when(F.col("__which") == i, F.array(*new)).otherwise(parts)
-    tagged = df.withColumn("__which", which)
-    first = (
-        tagged.filter(F.col("__which").isNotNull())
-        .groupBy("__which")
-        .agg(F.min(F.struct(*order)).alias("__first"))
-    )
-    same = F.struct(*order) == F.col("__first")
+    tagged = df.withColumn("__which", which).withColumn("__at", F.struct(*order, F.xxhash64(*df.columns).alias("__hash")))
+    hit = F.col("__which").isNotNull()
+    first = tagged.filter(hit).groupBy("__which").agg(F.min("__at").alias("__first"))
+    # at most one row per prefix of the given list, hence safe to broadcast
+    met = tagged.join(F.broadcast(first), "__which", "left")
+    is_first = F.coalesce(F.col("__at") == F.col("__first"), F.lit(False))
+    # of rows alike in every column one is replaced: only those are numbered
+    alike = Window.partitionBy("__which").orderBy("__at")
+    numbered = met.filter(is_first).withColumn("__i", F.row_number().over(alike))
+    rows = met.filter(~is_first).withColumn("__i", F.lit(0)).unionByName(numbered)
     kept = F.array(F.struct(F.col(message).alias("t"), F.col(label).alias("l")))
-    chosen = F.when(same, parts).otherwise(kept)
+    chosen = F.when(F.col("__i") == 1, parts).otherwise(kept)
     rest = [c for c in df.columns if c not in (message, label)]
     return (
-        # at most one row per prefix of the given list, hence safe to broadcast
-        tagged.join(F.broadcast(first), "__which", "left")
-        .select(*rest, F.posexplode(chosen).alias(part, "__p"))
+        rows.select(*rest, F.posexplode(chosen).alias(part, "__p"))
         .select(*rest, F.col("__p.t").alias(message), F.col("__p.l").alias(label), part)
         .select(*df.columns, part)
     )

@@ -15,9 +15,6 @@ HOLD_OUT = {"train": 0.6, "validation": 0.2, "test": 0.2}
 TWO_STEP = {"train": 0.56, "validation": 0.24, "test": 0.2}
 
 
-MAX_CLASSES = 1000
-
-
 def _edges(total: Column, fractions: Mapping[str, float]) -> list[tuple[str, Column]]:
     """Last rank of each split but the final one."""
     out, upto = [], 0.0
@@ -34,14 +31,12 @@ def stratified_split(
     fractions: Mapping[str, float] = HOLD_OUT,
     seed: int = 42,
     out: str = "split",
-    many_labels: bool = False,
 ) -> DataFrame:
     """Exact shares per label: rows are ranked by a seeded hash inside their label.
 
     Only keys and labels are ranked, in 4096 hash blocks per label, so one label holding most
-    rows is ranked by many tasks. What comes back is the last hash of each split per label; the
-    rows compare their own hash with it where they are and are not moved. More than
-    ``MAX_CLASSES`` labels raise an error; ``many_labels`` then ranks and moves the rows themselves.
+    rows is ranked by many tasks. What comes back is the last hash of each split per label, one row
+    per label; the rows meet it in a join that is broadcast or skew-split at run time.
     """
     if abs(sum(fractions.values()) - 1) > 1e-9:
         raise ValueError("fractions must add up to 1")
@@ -49,15 +44,8 @@ def stratified_split(
     hashed = df.withColumn("__h", h).withColumn("__l", as_class(label))
     block = F.conv(F.substring("__h", 1, 3), 16, 10).cast("bigint")
     pos, n = F.col("__pos"), F.col("__n")
-    slim = hashed if many_labels else hashed.select("__l", "__h", F.col(key))
-    ranked = row_position(slim, ["__l"], ["__h", key], block, "__pos", group_size="__n")
+    ranked = row_position(hashed.select("__l", "__h", F.col(key)), ["__l"], ["__h", key], block, "__pos", group_size="__n")
     edges = _edges(n, fractions)
-    if many_labels:
-        split = F.lit(last_name)
-        for name, edge in reversed(edges):
-            split = F.when(pos <= edge, name).otherwise(split)
-        return ranked.withColumn(out, split).drop("__h", "__l", "__pos", "__n")
-
     at_edge = F.lit(False)
     for _, edge in edges:
         at_edge = at_edge | (pos == edge)
@@ -65,20 +53,13 @@ def stratified_split(
     cuts = (
         ranked.filter(at_edge)
         .groupBy("__l")
-        .agg(F.struct(*[F.max(F.when(pos == e, me)).alias(f"c{i}") for i, (_, e) in enumerate(edges)]).alias("c"))
-        .limit(MAX_CLASSES + 1)
-        .agg(F.collect_list(F.struct("__l", "c")).alias("e"))
-        .select(
-            F.when(F.size("e") <= MAX_CLASSES, F.map_from_entries("e")).otherwise(
-                F.raise_error(F.lit("too many labels to stratify by: set many_labels"))
-            )
-        )
+        .agg(*[F.max(F.when(pos == e, me)).alias(f"__c{i}") for i, (_, e) in enumerate(edges)])
     )
-    placed = hashed.withColumn("__c", F.try_element_at(cuts.scalar(), F.col("__l")))
     split = F.lit(last_name)
     for i, (name, _) in reversed(list(enumerate(edges))):
-        split = F.when(me <= F.col(f"__c.c{i}"), name).otherwise(split)
-    return placed.withColumn(out, split).drop("__h", "__l", "__c")
+        split = F.when(me <= F.col(f"__c{i}"), name).otherwise(split)
+    placed = hashed.join(cuts, "__l", "left").withColumn(out, split)
+    return placed.select(*[c for c in df.columns if c != out], out)
 
 
 def random_split(

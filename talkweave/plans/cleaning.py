@@ -40,7 +40,6 @@ CLASS_NAMES = {
     "question": "Question",
     "pivot": "Pivot",
 }
-RATERS = ("SS", "MG", "ZH")
 
 
 def two_rater_source(df: DataFrame, names: Mapping[str, str], drop: Sequence[str] = ()) -> DataFrame:
@@ -52,12 +51,12 @@ def two_rater_source(df: DataFrame, names: Mapping[str, str], drop: Sequence[str
 
 def many_rater_source(
     df: DataFrame, names: Mapping[str, str], drop: Sequence[str] = (), drop_last: int = 0,
-    order: Sequence[str] = (),
+    order: Sequence[str] = (), raters: Sequence[str] = (), drop_prefixes: Sequence[str] = ("Unnamed",),
 ) -> DataFrame:
-    """Second kind of source: vote over the raters, build the pseudonym, drop the tail, rename."""
-    kept = schema.drop_prefixed(df, ["Unnamed", "NT"])
+    """Second kind of source: vote over the ``raters`` (column prefixes), build the pseudonym, drop the tail, rename."""
+    kept = schema.drop_prefixed(df, drop_prefixes)
     for label in ("Discussion Type", "Uptake"):
-        kept = agreement.majority_label(kept, [f"{r} {label}" for r in RATERS], label)
+        kept = agreement.majority_label(kept, [f"{r} {label}" for r in raters], label)
     if drop_last:
         kept = rows.drop_tail(kept, drop_last, order)
     kept = kept.withColumn("Pseudonym", id_with_name("User ID", "Name"))

@@ -7,12 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import as_class, find_first
+from ..functions.labels import argmax_label, as_class, find_first, parse_delimited
 from ..functions.text import combine_fields, retrieval_query
 from ..operators import ordered, prompts, retrieval, scoring, splits
 from ..operators.evaluate import classification_report
 from ..operators.blocks import AUTO, Block
-from ..operators.joins import attach_context
+from ..operators.explore import first_n_per_class
+from ..operators.joins import attach_context, exclude_examples
+from ..session import written
 
 
 def retrieve_context(
@@ -30,16 +32,17 @@ def retrieve_context(
 ) -> DataFrame:
     """Long context table ``(key, rank, distance, text)``: nearest passages of ``texts(doc_id,text)``.
 
-    ``embed(df, column)`` adds an ``embedding`` column and is used for queries and passages.
+    ``embed(df, column)`` adds an ``embedding`` column and is used once for queries and once for passages:
+    both are written to the shared folder before they are measured and searched.
     """
     cut = retrieval.chunk_recursive if recursive else retrieval.chunk_fixed
     chunks = cut(texts.select("doc_id", "text"), "text")
     ident = F.concat_ws(":", "doc_id", "chunk_no")
-    passages = embed(chunks.select(ident.alias("vec_id"), "chunk"), "chunk")
+    passages = written(embed(chunks.select(ident.alias("vec_id"), "chunk"), "chunk"), "passages")
     asked = ordered.history(messages, text, order, within, history, block=block)
     lines = F.transform("history", lambda h: h["text"])
     asked = asked.select(F.col(key).alias("query_id"), retrieval_query(lines, text).alias("query"))
-    queries = embed(asked, "query")
+    queries = written(embed(asked, "query").drop("query"), "queries")
     found = retrieval.top_k(queries, passages, k)
     return found.join(passages.select("vec_id", "chunk"), "vec_id").select(
         F.col("query_id").alias(key), "rank", "distance", F.col("chunk").alias("text")
@@ -111,5 +114,37 @@ def scored_labels(
     return answered.withColumn(out, find_first("response", classes))
 
 
+def zero_shot(
+    df: DataFrame, text: Column | str, make: Callable[[], scoring.Scorer], classes: Sequence[str], out: str = "predicted"
+) -> DataFrame:
+    """The class that a model scoring all ``classes`` at once puts first."""
+    scored = scoring.score(df, text, make, "array<double>", "__scores")
+    return scored.withColumn(out, argmax_label("__scores", classes)).drop("__scores")
+
+
+def few_shot(
+    df: DataFrame,
+    text: str,
+    label: str,
+    order: Sequence[str],
+    make: Callable[[], scoring.Scorer],
+    classes: Sequence[str],
+    n: int = 2,
+    between: str = "",
+    out: str = "predicted",
+) -> DataFrame:
+    """Ask a model about every message after ``n`` labelled examples of each class.
+
+    The examples, a few rows, become one text in front of each request and are not asked about themselves.
+    Answers are read at their mark. ``between`` stands between examples and request.
+    """
+    examples = first_n_per_class(df, label, order, n)
+    shown = prompts.fewshot_block(examples, text, label, order).select("examples").scalar()
+    asked = exclude_examples(df, examples, text)
+    asked = asked.withColumn("__prompt", F.concat(shown, F.lit(between), F.col(text)))
+    answered = scoring.score(asked, "__prompt", make, out="response").drop("__prompt")
+    return answered.withColumn(out, parse_delimited("response", classes))
+
+
 def report(df: DataFrame, truth: str = "label", predicted: str = "predicted") -> DataFrame:
     return classification_report(df, truth, predicted)

@@ -72,3 +72,16 @@ def read_predictions(spark: SparkSession, path: str, class_name: str | None = No
 def write_predictions(preds: DataFrame, path: str, mode: str = "append") -> None:
     """Long predictions in folders by class and settings instead of settings in file names."""
     write_table(preds, path, RUN_COLUMNS[1:], mode=mode)
+
+
+def read_runs(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """One table per run, each in a file or folder named by the run: its rows with what the name says.
+
+    A run's name is the last part of the path that is not a writer's own part file; a ``name=`` in front of
+    a folder's value is left off. Names are read from the files' metadata, so any number of runs is one scan.
+    """
+    reader = spark.read.format(fmt).option("recursiveFileLookup", True).option("header", True)
+    rows = (reader.schema(schema) if schema else reader).load(path)
+    whole = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    named = F.regexp_replace(whole, r"/part-[^/]*$", "")
+    return rows.select("*", *parse_run_name(F.regexp_extract(named, r"/(?:[^/=]+=)?([^/]+)$", 1)))

@@ -35,16 +35,19 @@ MESSAGE_SCHEMA = T.StructType(
 
 def read_messages(
     spark: SparkSession, path: str, schema: T.StructType | str = MESSAGE_SCHEMA, columns: Sequence[str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = True, fmt: str = "csv",
 ) -> DataFrame:
-    """Messages from Parquet, or from CSV with a header and quoted line breaks.
+    """Messages from CSV with a header and quoted line breaks (``fmt='csv'``), or from Parquet (``fmt='parquet'``).
 
     The schema is given, never inferred, so a scan starts without reading the data twice. An empty
     CSV field is NULL. A CSV file with line breaks inside quotes is read by one task: give
-    many files, or ``multi_line=False`` where there are none, or Parquet.
+    many files, or ``multi_line=False`` where there are none, or Parquet. Parquet brings its own schema;
+    columns it lacks are an error as soon as ``columns`` names them.
     """
-    if path.rstrip("/").endswith(".parquet"):
+    if fmt == "parquet":
         df = spark.read.parquet(path)
+    elif fmt != "csv":
+        raise ValueError(f"fmt {fmt!r}")
     else:
         df = (
             spark.read.schema(schema)

@@ -47,6 +47,12 @@ def apply(spark, values, fn, kind="string"):
             ["Class: Social or Seminar", "None of Seminar", "nothing", "", None, "Seminar"],
             ["Social", "None", "None", "None", "None", "Seminar"],
         ),
+        (
+            lambda c: L.find_first(c, ["Seminar", "Social"]),
+            ["the class is seminar", "SOCIAL, not Seminar", "none"],
+            ["Seminar", "Social", "None"],
+        ),
+        (lambda c: L.find_first(c, ["Seminar"], ignore_case=False), ["seminar", "Seminar"], ["None", "Seminar"]),
         (
             lambda c: L.find_first(c, ["art", "start"], whole_word=True),
             ["start art", "cart", "art."],

@@ -49,7 +49,7 @@ def by_source(data):
     return groups.values()
 
 
-@pytest.mark.parametrize("width", [None, 7, 40, 400, 100_000])
+@pytest.mark.parametrize("width", [None, 7, 40, 400, 100_000, "auto"])
 @pytest.mark.parametrize("k", [1, 3, 6])
 def test_history_any_block(spark, width, k):
     data = posts()
@@ -67,12 +67,7 @@ def test_history_any_block(spark, width, k):
     assert got == want
 
 
-def test_more_long_groups_than_listed(spark, monkeypatch):
-    monkeypatch.setattr(B, "LONG_GROUPS", 1)
-    test_history_any_block(spark, 7, 3)
-
-
-@pytest.mark.parametrize("width", [None, 7, 400])
+@pytest.mark.parametrize("width", [None, 7, 400, "auto"])
 def test_runs_and_positions_any_block(spark, width):
     data = posts(2)
     df = spark.createDataFrame(data, SCHEMA)
@@ -92,7 +87,7 @@ def test_runs_and_positions_any_block(spark, width):
     assert {r.id: r.pos - 1 for r in sized} == want_seat
 
 
-@pytest.mark.parametrize("width", [None, 25])
+@pytest.mark.parametrize("width", [None, 25, "auto"])
 def test_previous_row_values(spark, width):
     data = posts(3)
     df = spark.createDataFrame(data, SCHEMA)
@@ -123,11 +118,18 @@ def test_unbounded_history_and_errors(spark):
         B.order_block(df, "text", 3)
 
 
-def test_fit_block_width(spark):
-    df = spark.range(10_000).select((F.col("id") % 2).alias("g"), (F.col("id") * 10).alias("at"))
-    width = B.fit_block_width(df, ["g"], "at", 100)
-    largest = df.withColumn("b", B.order_block(df, "at", width)).groupBy("g", "b").count().agg(F.max("count"))
-    assert 50 <= largest.first()[0] <= 200
+def test_quantile_blocks(spark):
+    # a burst that holds most rows, and values spread thinly over a wide range
+    df = spark.range(20_000).select("id", F.when(F.col("id") < 15_000, F.col("id")).otherwise(F.col("id") * 1_000_003).alias("at"))
+    cut = B.add_block(df, ["at"], B.AUTO)
+    sizes = cut.groupBy(B.BLOCK).agg(F.count("*").alias("n"), F.min("at").alias("a"), F.max("at").alias("b")).orderBy(B.BLOCK).collect()
+    assert max(r.n for r in sizes) < 200 and len(sizes) <= B.SPLITS
+    assert all(x.b < y.a for x, y in zip(sizes, sizes[1:]))
+    words = df.select(F.concat(F.lit("w"), F.md5(F.col("id").cast("string"))).alias("w"))
+    texts = B.add_block(words, ["w"], B.AUTO).groupBy(B.BLOCK).agg(F.count("*").alias("n"), F.min("w").alias("a"), F.max("w").alias("b"))
+    sizes = texts.orderBy(B.BLOCK).collect()
+    assert max(r.n for r in sizes) < 200 and all(x.b < y.a for x, y in zip(sizes, sizes[1:]))
+    assert B.add_block(df.limit(0), ["at"], B.AUTO).count() == 0
 
 
 def test_check_pivot(spark):
@@ -189,6 +191,15 @@ def test_drop_tail(spark):
     assert {r[0] for r in posts(5)} - {r.id for r in rows.drop_tail(df, 2, ["at"]).collect()} == {r[0] for r in last}
 
 
+def test_drop_tail_with_ties(spark):
+    data = [(1, "a", 5), (2, "a", 5), (3, "a", 5), (4, "a", 1), (4, "a", 1), (5, None, 7), (5, None, 7), (5, None, 7)]
+    df = spark.createDataFrame(data, "id int, src string, at int")
+    for n, left in ((1, {"a": 4, None: 2}), (2, {"a": 3, None: 1}), (4, {"a": 1}), (9, {})):
+        got = rows.drop_tail(df, n, ["at"], ["src"]).groupBy("src").count().collect()
+        assert {r.src: r["count"] for r in got} == left
+        assert rows.drop_tail(df, n, ["at"]).count() == max(0, len(data) - n)
+
+
 def test_filters(spark):
     df = spark.createDataFrame([("Book a",), ("Other",), (None,)], "c string")
     assert [r.c for r in rows.keep_prefix(df, "c", "Book").collect()] == ["Book a"]
@@ -204,6 +215,12 @@ def test_corrections_replace_first_match_only(spark):
     ]
 
 
+def test_corrections_with_ties(spark):
+    df = spark.createDataFrame([(1, "Hi a", "x"), (1, "Hi b", "x"), (1, "Hi b", "x"), (1, "Bye", "x"), (1, "Bye", "x")], "i int, m string, l string")
+    got = rows.apply_corrections(df, [("Hi", 1, "new", "A"), ("Bye", 1, "old", "B")], "m", "l", ["i"]).collect()
+    assert sorted(r.m for r in got if r.m in ("new", "old")) == ["new", "old"] and len(got) == 5
+
+
 # --- schema -----------------------------------------------------------------
 
 
@@ -293,6 +310,12 @@ def test_stratified_split(spark):
         H.stratified_split(df, "id", "label", {"a": 0.5, "b": 0.4})
 
 
+def test_stratified_split_with_many_labels(spark):
+    df = spark.range(12_000).select("id", F.concat(F.lit("label "), (F.col("id") % 1200).cast("string")).alias("label"))
+    sizes = H.stratified_split(df, "id", "label").groupBy("label", "split").count().groupBy("split", "count").count().collect()
+    assert {(r.split, r[1], r[2]) for r in sizes} == {("train", 6, 1200), ("validation", 2, 1200), ("test", 2, 1200)}
+
+
 def test_random_split_is_stable(spark):
     df = spark.range(2000)
     split = H.random_split(df, "id")
@@ -376,12 +399,6 @@ def test_embed_hashed_unit_length(spark):
     assert got[0] == pytest.approx(1, abs=1e-6) and got[1] == 0
 
 
-def test_vector_distance_column(spark):
-    df = spark.createDataFrame([([1.0, 2.0], [4.0, 6.0])], "a array<double>, b array<double>")
-    assert df.select(R.vector_distance("a", "b")).first()[0] == 5.0
-    assert df.select(R.vector_distance("a", "a", "cosine")).first()[0] == pytest.approx(0)
-
-
 # --- features, prompts, scoring ----------------------------------------------
 
 
@@ -459,6 +476,20 @@ def test_set_distance(spark):
     far_d = D.sampled_energy_distance(a, far, "id", "v").first().distance
     assert D.sampled_energy_distance(a, a, "id", "v").first().distance == pytest.approx(0, abs=1e-9)
     assert abs(near_d) < 0.3 < far_d
-    assert D.compare_sets(a, far, ["label"], "id", "v").count() == 5
-    with pytest.raises(ValueError):
-        D.sampled_energy_distance(a, b, "id", "v", max_rows=20_000)
+    assert D.compare_sets(a, far, ["label"], "v").count() == 5
+
+
+def test_energy_distance_over_all_rows(spark):
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(0, 1, (70, 3)).round(1), rng.normal(0.7, 2, (50, 3)).round(1)
+    y[:20] = y[0]  # ties
+    frame = lambda m: spark.createDataFrame([(r.tolist(),) for r in m] + [(None,)], "v array<double>").repartition(5)
+    total = 0.0
+    for d in range(16):
+        u = np.sin((np.arange(3) + 1) * (12.9898 * (d + 1)))
+        p, q = x @ u / np.linalg.norm(u), y @ u / np.linalg.norm(u)
+        mean = lambda s, t: np.abs(s[:, None] - t[None, :]).mean()
+        total += 2 * mean(p, q) - mean(p, p) - mean(q, q)
+    assert D.energy_distance(frame(x), frame(y), "v").first().distance == pytest.approx(total / 16)
+    assert D.energy_distance(frame(x), frame(x), "v").first().distance == pytest.approx(0, abs=1e-12)
+    assert D.energy_distance(frame(x), frame(x[:0]), "v").first().distance is None

@@ -9,7 +9,7 @@ from compare import DATA
 from conftest import ROOT
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from talkweave.catalog import QUERIES
 from talkweave.operators import explore, ordered, rows
 from talkweave.plans import cleaning
 from talkweave.sources.tables import read_messages, spread, write_table
@@ -27,9 +27,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER - TOTALS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - TOTALS_ONLY))
 def test_no_cartesian_or_single_task_window(name, spark):
-    text = plan(queries()[name](spark, str(DATA / "sf0.001")))
+    text = plan(QUERIES[name](spark, str(DATA / "sf0.001")))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     for window in re.findall(r"Window \[.*\], \[(.*?)\](?:,|\n)", text):
@@ -37,7 +37,7 @@ def test_no_cartesian_or_single_task_window(name, spark):
 
 
 def test_filter_and_columns_reach_the_scan(spark):
-    docs = read_messages(spark, str(DATA / "sf0.001" / "documents.parquet"))
+    docs = read_messages(spark, str(DATA / "sf0.001" / "documents.parquet"), fmt="parquet")
     text = plan(rows.keep_prefix(docs, "source", "src1").select("doc_id"))
     assert "StringStartsWith(source,src1)" in text
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in text
@@ -93,7 +93,7 @@ def test_whole_cleaning_of_two_sources(spark):
              "R2DiscussionType": "discussion_type", "R2 Question": "question", "Message Time": "time",
              "Discussion Type": "discussion_type", "Uptake": "uptake", "Pseudonym": "pseudonym"}
     a = cleaning.two_rater_source(one, names, drop=["Memo"])
-    b = cleaning.many_rater_source(two, names, drop_last=1, order=["Message Time"])
+    b = cleaning.many_rater_source(two, names, drop_last=1, order=["Message Time"], raters=["SS", "MG", "ZH"], drop_prefixes=["Unnamed", "NT"])
     both = cleaning.combined(a, b)
     for c in ("dialogic_spell", "pivot", "uptake", "question", "is_answer"):
         if c not in both.columns:
@@ -107,9 +107,9 @@ def test_whole_cleaning_of_two_sources(spark):
     ]
 
 
-@pytest.mark.parametrize("name", ["chunk_recursive", "embed", "score", "argmax_label"])
+@pytest.mark.parametrize("name", ["chunk_recursive_rows", "embed", "score", "argmax_label"])
 def test_python_runs_once_per_row(name, spark):
-    assert plan(queries()[name](spark, str(DATA / "sf0.001"))).count("ArrowEvalPython") == 1
+    assert plan(QUERIES[name](spark, str(DATA / "sf0.001"))).count("ArrowEvalPython") == 1
 
 
 def test_workers_need_no_installed_copy(tmp_path):
