@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import written  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,20 +25,10 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, kept when an executor is lost.
-
-    The planner knows the size of what it reads back, so it broadcasts a small table and sorts and
-    merges a large one, whose skewed keys adaptive execution splits.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(text: Column) -> Column:
-    """A-Z in lower case; every other character as it is."""
-    return F.translate(text, UPPER, LOWER)
+    """A-Z in lower case; every other character as it is. A text of ASCII alone takes the short way."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def remainder(key: str | Column, n: int) -> Column:

@@ -15,7 +15,7 @@ BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words_of(text: Column) -> Column:
     """Lower-cased (A-Z) runs of letters, digits and everything beyond ASCII; null has none."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BREAK), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BREAK), "")
 
 
 def shingles(words: Column, width: int) -> Column:
@@ -29,8 +29,9 @@ def item_windows(items: DataFrame, key: str, text: str, window: int) -> DataFram
     """Distinct windows: words, n, and the sorted item ids (as text) that hold them."""
     rows = items.select(F.col(f"`{key}`").cast("string").alias("item"), words_of(F.col(f"`{text}`")).alias("words")).filter("size(words) > 0")
     n = F.least(F.size("words"), F.lit(window))
-    places = F.sequence(F.lit(1), F.size("words") - n + 1)
-    cut = rows.select("item", n.alias("n"), F.explode(F.transform(places, lambda i: F.slice("words", i, n))).alias("words"))
+    places = F.sequence(F.lit(0), F.size("words") - n)
+    run = F.transform(places, lambda i: F.transform(F.sequence(i, i + n - 1), lambda j: F.get("words", j)))
+    cut = rows.select("item", n.alias("n"), F.explode(run).alias("words"))
     return cut.groupBy("n", "words").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
@@ -55,7 +56,7 @@ def contamination(
        a window with a shingle that never occurs has no candidate at all.
     3. Matches of the prefix, less the prefix' offset, are the places where the window may start. Length and position
        bounds drop those that would begin before or end after the document.
-    4. The document's words at that place are compared with the window's words, all of them.
+    4. The words of documents with candidates are compared at that place with the window's words, all of them.
 
     Hashes only propose; step 4 decides on words. Benchmark tables are written first, so that the planner broadcasts them when they are
     small and otherwise sorts and merges, with skewed shingles split. Hits are counted as the union of the verified windows. An
@@ -68,10 +69,10 @@ def contamination(
     windows = written(windows, "bench-windows")
     lengths = sorted(r[0] for r in windows.select(F.least("n", F.lit(width)).alias("w")).distinct().collect())
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    rows = rows.select("key", F.xxhash64("text").alias("print"), words_of(F.col("text")).alias("words"))
-    out = rows.select("key", "print", F.size("words").cast("long").alias("n_words"))
+    rows = rows.withColumn("print", F.xxhash64("text"))
     if not lengths:
-        return out.select(F.col("key").alias(key), "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
+        words = F.size(words_of(F.col("text"))).cast("long").alias("n_words")
+        return rows.select(F.col("key").alias(key), words, F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
 
     parts = None
     for w in lengths:
@@ -79,14 +80,24 @@ def contamination(
         part = some.select("a", "b", "n", F.lit(w).alias("w"), F.posexplode(shingles(F.col("words"), w)).alias("offset", "shingle"))
         parts = part if parts is None else parts.union(part)
     parts = written(parts, "bench-shingles")
-    wanted = written(parts.select("w", "shingle").distinct(), "bench-wanted")
+    # one place more than a document has shingles, marked, carries the number of its words through the same join
+    mark, first = F.lit(0).cast("long"), lengths[0]
+    marked = docs.sparkSession.range(1).select(F.lit(first).alias("w"), mark.alias("shingle"))
+    wanted = written(parts.select("w", "shingle").union(marked).distinct(), "bench-wanted")
 
-    found = None
+    worded = rows.select("key", "print", words_of(F.col("text")).alias("words"))
+    met = None
     for w in lengths:
-        placed = rows.select("key", "print", F.size("words").alias("size"), F.posexplode(shingles(F.col("words"), w)).alias("place", "shingle"))
-        hit = placed.join(wanted.filter(F.col("w") == w).select("shingle"), "shingle").withColumn("w", F.lit(w))
-        found = hit if found is None else found.union(hit)
-    found = written(found, "bench-matches")
+        hashes, known = shingles(F.col("words"), w), wanted.filter(F.col("w") == w).select("shingle")
+        if w == first:
+            hashes = F.concat(hashes, F.array(mark))
+        placed = worded.select("key", "print", F.size("words").alias("size"), F.posexplode(hashes).alias("place", "shingle"))
+        met_w = placed.join(known, "shingle").withColumn("w", F.lit(w))
+        met = met_w if met is None else met.union(met_w)
+    met = written(met, "bench-matches")
+    last = F.greatest(F.col("size") - F.col("w") + 1, F.lit(0))
+    counted = met.filter((F.col("w") == first) & (F.col("place") == last)).select("key", "print", F.col("size").cast("long").alias("n_words"))
+    found = met.filter(F.col("place") < last)
 
     counts = found.groupBy("w", "shingle").agg(F.count(F.lit(1)).alias("count"))
     ranked = parts.join(counts, ["w", "shingle"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
@@ -102,13 +113,20 @@ def contamination(
     )
     tries = written(tries.select(F.col("key").alias("try_key"), F.col("print").alias("try_print"), "tries"), "bench-candidates")
 
+    def held(t: Column) -> Column:
+        # word by word, as a slice would copy the document for each candidate; words is named twice: a column
+        # used once would be computed anew for each candidate
+        inside = t["start"] + t["n"] <= F.size("words")
+        places = F.sequence(F.lit(0), t["n"] - 1)
+        return inside & F.forall(places, lambda k: F.get("words", t["start"] + k) == F.get(t["text"], k))
+
     same = (F.col("print") == F.col("try_print")) & F.col("key").eqNullSafe(F.col("try_key"))
-    checked = rows.join(tries, same, "left").select(
+    checked = rows.join(tries, same).withColumn("words", words_of(F.col("text"))).select(
         "key",
-        F.size("words").cast("long").alias("n_words"),
-        F.filter("tries", lambda t: F.slice(F.col("words"), t["start"] + 1, t["n"]) == t["text"]).alias("real"),
+        "print",
+        F.filter("tries", held).alias("real"),
     )
-    real = F.array_sort(F.coalesce(F.transform("real", lambda t: F.struct(t["start"].alias("start"), t["n"].alias("n"))), F.array().cast("array<struct<start:int,n:int>>")))
+    spans = F.array_sort(F.transform("real", lambda t: F.struct(t["start"].alias("start"), t["n"].alias("n"))))
     state = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("hit"))
 
     def cover(state: Column, span: Column) -> Column:
@@ -118,8 +136,19 @@ def contamination(
             (state["hit"] + F.greatest(end - F.greatest(state["end"], span["start"]), F.lit(0))).alias("hit"),
         )
 
-    ids = F.array_sort(F.array_distinct(F.flatten(F.coalesce(F.transform("real", lambda t: t["items"]), F.array().cast("array<array<string>>")))))
-    return checked.select(F.col("key").alias(key), "n_words", F.aggregate(real, state, cover, lambda s: s["hit"]).alias("n_hit"), ids.alias("items"))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.transform("real", lambda t: t["items"]))))
+    # candidates without a hit stay: a filter on ``real`` would be pushed below and compute it, and the words, again
+    hits = checked.select(
+        F.col("key").alias("hit_key"), F.col("print").alias("hit_print"), F.aggregate(spans, state, cover, lambda s: s["hit"]).alias("hit"), ids.alias("ids")
+    )
+    hits = written(hits.dropDuplicates(["hit_key", "hit_print"]), "bench-hits")
+    mine = (F.col("print") == F.col("hit_print")) & F.col("key").eqNullSafe(F.col("hit_key"))
+    return counted.join(hits, mine, "left").select(
+        F.col("key").alias(key),
+        "n_words",
+        F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("ids", F.array().cast("array<string>")).alias("items"),
+    )
 
 
 def is_contaminated() -> Column:

@@ -254,7 +254,9 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: fl
             found = label_words(batch.column(column), shared.value, is_letter, penalty)
             yield batch.filter(pa.array(found.known & (found.score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    # by number: a column's name may hold a dot
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
 
 
 def learnt(docs: DataFrame) -> DataFrame:

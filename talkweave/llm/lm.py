@@ -246,7 +246,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         for batch in pieces(batches, 1):
             t = tokens_of(batch.column(1))
             n = len(t.counts)
-            known = pc.fill_null(pc.index_in(pa.concat_arrays([t.words, pa.array([""], pa.string())]), names), -1).to_numpy()
+            distinct = pa.concat_arrays([t.words, pa.array([""], pa.string())])
+            known = pc.fill_null(pc.index_in(distinct, names), -1).to_numpy()
             count = np.where(known >= 0, exact[known] if len(exact) else 0, 0)
             here = known[t.codes] >= 0
             base = np.bincount(t.doc, np.log10(count[t.codes] + 1.0), n)
@@ -270,8 +271,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             )
             rest = t.doc[~here] * len(t.hashes) + t.codes[~here]
             rest, times = np.unique(rest, return_counts=True)
-            words = t.words.take(pa.array(rest % len(t.hashes))) if len(t.words) else pa.nulls(len(rest), pa.string())
-            words = pc.fill_null(words, "")
+            words = distinct.take(pa.array(rest % len(t.hashes)))
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(rest), batch.column(0).type), pa.array(rows[rest // len(t.hashes)]), words]
                 + [pa.array(times, k) if c == "times" else pa.nulls(len(rest), k) for c, k in columns.items()],
