@@ -54,8 +54,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in slices of about ``most`` bytes of text, one row at least."""
+def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``most`` bytes of text, one row at least.
+
+    Small slices keep what a worker builds around them small; memory that a slice leaves unused goes back.
+    """
+    pool = pa.default_memory_pool()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -65,6 +69,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 3_000_000
             stop = max(start + 1, int(np.searchsorted(ends, base + most, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pool.release_unused()
 
 
 def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Array]:

@@ -139,7 +139,7 @@ def count_tokens(docs: DataFrame, text: str) -> DataFrame:
     """(token, c) with the end of a text as the empty string; tasks add up before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 0, 8_000_000):
+        for batch in pieces(batches, 0, 3_000_000):
             t = tokens_of(batch.column(0))
             n = np.bincount(t.codes, minlength=len(t.hashes))
             words = pa.concat_arrays([t.words, pa.array([""], pa.string())])
@@ -162,7 +162,7 @@ def build_filter(docs: DataFrame, text: str, tokens: int, most_bits: int, per_se
     bits = bits_total // segments // 8 * 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 0, 8_000_000):
+        for batch in pieces(batches, 0, 3_000_000):
             t = tokens_of(batch.column(0))
             single = np.bincount(t.codes, minlength=len(t.hashes))
             pairs, times = np.unique(pairs_of(t), return_counts=True)

@@ -77,7 +77,7 @@ def word_vectors(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, total = index_vectors(), np.zeros((WORDS + SHAPES, DIM))
-        for batch in pieces(batches, 0, 1_000_000):
+        for batch in pieces(batches, 0):
             counts, cell, shape = symbols(batch, 0)
             if not len(cell):
                 continue
