@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import NO_LABEL, time_parts
 from ..functions.text import tokens, words
+from ..session import written
 from .schema import quoted
 
 
@@ -150,7 +151,8 @@ def tfidf(
 
     idf = ln((1 + N) / (1 + df)) + 1. Without ``doc`` the whole table is one document, so idf
     is 1 for every term. Terms are alphanumeric tokens of two characters or more, unstemmed.
-    ``doc_is_row`` promises one row per document and saves the grouping by document.
+    ``doc_is_row`` promises one row per document and saves the grouping by document. Texts are cut into terms
+    once: the counts are written to the shared folder, where both the document frequencies and the weights read them.
     """
     if doc is None:
         terms = _without(df.select(F.explode(words(column, 2)).alias("term")), stop_words)
@@ -164,6 +166,7 @@ def tfidf(
     else:
         tf = tf.groupBy(doc, "term").agg(F.sum("n").alias("tf"))
         docs = df.agg(F.count_distinct(doc)).scalar()
+    tf = written(tf.select(doc, "term", "tf"), "term-counts")
     seen = tf.groupBy("term").agg(F.count("*").alias("docs"))
     idf = seen.select("term", (F.log((docs + 1.0) / (F.col("docs") + 1.0)) + 1.0).alias("idf"))
     weighted = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))

@@ -15,7 +15,7 @@ from talkweave.plans import cleaning
 from talkweave.sources.tables import read_messages, spread, write_table
 
 # these fit models or broadcast a measured side while the plan is made
-EAGER = {"boosted_classifier", "feature_importance", "retrieve_context", "top_k", "top_k_cosine", "retrieved_wide",
+EAGER = {"boosted_classifier", "boosted_report", "tfidf_top_per_document", "feature_importance", "retrieve_context", "top_k", "top_k_cosine", "retrieved_wide",
          "sampled_energy_distance", "compare_sets", "read_messages", "write_table", "load_predictions"}
 
 
