@@ -54,6 +54,18 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def map_texts(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` over rows that hold whole texts.
+
+    Where the session leaves Spark's default of 10,000 rows to a batch, it is set to 1,000 for the session: the JVM and
+    the worker each hold a batch several times over.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, "1000")
+    return df.mapInArrow(run, schema)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``most`` bytes of text, one row at least.
 

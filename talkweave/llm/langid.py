@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, pieces, remainder, split_words
+from .common import load, map_texts, pieces, remainder, split_words
 from .registry import query
 
 #: first code point of each stretch and the script it belongs to; 0 is everything else
@@ -124,7 +124,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
         yield from flush(tables)
 
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
-    counted = rows.filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(run, "lang string, cell long, n long")
+    known = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
+    counted = map_texts(known, run, "lang string, cell long, n long")
     total = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(total["lang"].unique())
     counts = np.zeros((len(langs), 2 * CELLS + N_SCRIPTS))
@@ -237,7 +238,7 @@ def detect(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, schema).select(F.col("key").alias(key), "lang", "score", "spans")
+    return map_texts(rows, run, schema).select(F.col("key").alias(key), "lang", "score", "spans")
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5, penalty: float = 15.0) -> DataFrame:
@@ -256,7 +257,7 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: fl
 
     # by number: a column's name may hold a dot
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+    return map_texts(numbered, run, numbered.schema).toDF(*docs.columns)
 
 
 def learnt(docs: DataFrame) -> DataFrame:

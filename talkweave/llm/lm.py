@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, pieces, remainder, split_words, written
+from .common import load, map_texts, pieces, remainder, split_words, written
 from .quality import byte_hash
 from .registry import query
 
@@ -145,7 +145,7 @@ def count_tokens(docs: DataFrame, text: str) -> DataFrame:
             words = pa.concat_arrays([t.words, pa.array([""], pa.string())])
             yield pa.RecordBatch.from_arrays([words, pa.array(n)], names=["token", "c"])
 
-    partial = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "token string, c long")
+    partial = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "token string, c long")
     return partial.groupBy("token").agg(F.sum("c").alias("c"))
 
 
@@ -188,7 +188,7 @@ def build_filter(docs: DataFrame, text: str, tokens: int, most_bits: int, per_se
                 on[cells(some, q, probe, bits)] = True
         return pd.DataFrame({"segment": group["segment"].iloc[:1], "bits": [np.packbits(on, bitorder="little").tobytes()]})
 
-    packed = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "segment long, blob binary")
+    packed = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "segment long, blob binary")
     done = packed.groupBy("segment").applyInPandas(fill, "segment long, bits binary").toArrow()
     data = np.zeros(segments * bits // 8, np.uint8)
     for number, part in zip(done["segment"].to_pylist(), done["bits"]):
@@ -279,7 +279,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             )
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    scored = written(rows.mapInArrow(run, schema), "lm-scored")
+    scored = written(map_texts(rows, run, schema), "lm-scored")
     rare = scored.filter("token IS NOT NULL").select("row", "token", "times").join(model.counts, "token")
     rare = rare.groupBy("row").agg(
         F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more")

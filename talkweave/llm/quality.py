@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, pieces, remainder, split_words
+from .common import load, map_texts, pieces, remainder, split_words
 from .registry import query
 
 #: cells for words by hash, cells for word shapes, and length of a vector
@@ -97,7 +97,7 @@ def word_vectors(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndar
         vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(cells) + 1, dtype=np.int32) * DIM), pa.array(total[cells].ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(cells), vectors], names=["cell", "v"])
 
-    tables = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "cell long, v array<double>")
+    tables = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "cell long, v array<double>")
     total = tables.groupBy("cell").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(DIM)]).toPandas()
     out = np.zeros((WORDS + SHAPES, DIM))
     out[total["cell"].to_numpy(np.int64)] = total[[f"v{i}" for i in range(DIM)]].to_numpy()
@@ -199,7 +199,7 @@ def train(
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["y", "x"])
 
-    found = rows.mapInArrow(run, "y double, x array<double>").toPandas()
+    found = map_texts(rows, run, "y double, x array<double>").toPandas()
     x = np.array(found["x"].tolist()).reshape(len(found), 2 * DIM)
     order = np.lexsort((x[:, 0], x[:, -1])) if len(x) else np.zeros(0, int)  # the same rows in the same order on each run
     return Classifier(vectors, fit(x[order], found["y"].to_numpy(np.float64)[order]))
@@ -220,7 +220,7 @@ def score(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.astype(np.float64))], names=["key", "score"])
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, schema).select(F.col("key").alias(key), "score")
+    return map_texts(rows, run, schema).select(F.col("key").alias(key), "score")
 
 
 @query("op4_quality")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, pieces
+from .common import load, map_texts, pieces
 from .pii import listed, of_kind
 from .registry import query
 
@@ -207,7 +207,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["key", "spans"])
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, schema).select(F.col("key").alias(key), "spans")
+    return map_texts(rows, run, schema).select(F.col("key").alias(key), "spans")
 
 
 @query("op10_secrets")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, pieces, written
+from .common import load, map_texts, pieces, written
 from .registry import query
 
 #: h of shingles are kept this many at a time while their bits are counted
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
             found = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["key", "fp"])
 
-    return docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return map_texts(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), run, schema)
 
 
 class BKTree:
