@@ -21,6 +21,8 @@ from .registry import query
 END, START = np.uint64(0x51ED270B8D2C3F11), np.uint64(0xA24BAED4963EE407)
 #: probes per key, and the bits of an n-gram's hash that choose its cells
 PROBES, KEY_BITS = 4, 40
+#: bits of a segment for each key put in: about 22 in 100 are set, and four probes all hit a set one by chance in 0.24 of 100
+KEY_ROOM = 16
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -34,7 +36,7 @@ class Tokens:
     """The texts of a batch as numbers of distinct words; the last number is the end that closes each text."""
 
     counts: np.ndarray
-    words: pa.Array
+    words: pa.Array | None
     hashes: np.ndarray
     codes: np.ndarray
     before: np.ndarray
@@ -52,11 +54,14 @@ def tokens_of(texts: pa.Array) -> Tokens:
     inside = np.ones(len(codes), bool)
     inside[last] = False
     codes[inside] = coded.indices.to_numpy()
-    hashes = np.append(byte_hash(distinct)[0], END)
+    return placed(total, distinct, np.append(byte_hash(distinct)[0], END), codes)
+
+
+def placed(counts: np.ndarray, words: pa.Array | None, hashes: np.ndarray, codes: np.ndarray) -> Tokens:
     before = np.empty(len(codes), np.uint64)
     before[1:] = hashes[codes[:-1]]
-    before[last - counts] = START
-    return Tokens(total, distinct, hashes, codes, before, np.repeat(np.arange(len(total)), total))
+    before[np.cumsum(counts) - counts] = START
+    return Tokens(counts, words, hashes, codes, before, np.repeat(np.arange(len(counts)), counts))
 
 
 def pairs_of(t: Tokens) -> np.ndarray:
@@ -64,6 +69,76 @@ def pairs_of(t: Tokens) -> np.ndarray:
     return mixed(t.before * np.uint64(0x9E3779B97F4A7C15) + t.hashes[t.codes])
 
 
+def hold(t: Tokens) -> bytes:
+    """What :func:`held` needs to give ``t`` back, less the words themselves."""
+    small = "<u2" if len(t.hashes) <= 1 << 16 else "<u4"
+    parts = [t.counts.astype("<u4"), t.codes.astype(small), t.hashes.astype("<u8")]
+    raw = b"".join([np.array([len(p) for p in parts], "<u8").tobytes(), *[p.tobytes() for p in parts]])
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def held(blob: bytes) -> Tokens:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
+    n, m, words = np.frombuffer(raw, "<u8", 3).astype(np.int64).tolist()
+    small = "<u2" if words <= 1 << 16 else "<u4"
+    counts = np.frombuffer(raw, "<u4", n, 24).astype(np.int64)
+    codes = np.frombuffer(raw, small, m, 24 + 4 * n).astype(np.int64)
+    hashes = np.frombuffer(raw, "<u8", words, len(raw) - 8 * words)
+    return placed(counts, None, hashes, codes)
+
+
+@dataclass
+class Grams:
+    """The distinct n-grams of a batch, sorted by segment: those of each word, of the start, and of each pair.
+
+    ``order`` has their places before they were sorted, ``pair`` the place of each token's pair, ``times`` the pairs' numbers.
+    """
+
+    segment: np.ndarray
+    keys: np.ndarray
+    order: np.ndarray
+    pair: np.ndarray
+    times: np.ndarray
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each segment begins and ends."""
+        starts = np.flatnonzero(np.diff(self.segment, prepend=-1))
+        return starts, np.append(starts[1:], len(self.segment))
+
+
+def grams_of(t: Tokens, segments: int) -> Grams:
+    pairs, pair, times = np.unique(pairs_of(t), return_inverse=True, return_counts=True)
+    hashes = np.concatenate([mixed(t.hashes), mixed(np.array([START])), pairs])
+    segment = (hashes >> np.uint64(KEY_BITS)).astype(np.int64) % segments
+    order = np.argsort(segment, kind="stable")
+    return Grams(segment[order], (hashes & np.uint64((1 << KEY_BITS) - 1))[order], order, pair, times)
+
+
+def five_bytes(keys: np.ndarray) -> np.ndarray:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def from_five(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = raw.reshape(-1, 5)
+    return out.view("<u8")[:, 0]
+
+
+def blobs_of(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """``data`` (bytes) cut at ``ends``, as binary values."""
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def bytes_in(blobs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary values side by side, and where each begins, with the end of the last."""
+    if not len(blobs):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset : blobs.offset + len(blobs) + 1].astype(np.int64)
+    data = blobs.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
+
+
 def quantum(count: np.ndarray) -> np.ndarray:
     """1 + floor(log2(count))."""
     return np.frexp(count.astype(np.float64))[1]
@@ -80,28 +155,34 @@ def cells(keys: np.ndarray, level: int, probe: int, bits: int) -> np.ndarray:
     return (h % np.uint64(bits)).astype(np.int64)
 
 
-@dataclass
-class LogFilter:
-    """Segments of bits in a row. An n-gram of level q was put in as the q keys (n-gram, 1) to (n-gram, q)."""
+def levels_in(data: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The level of each n-gram of one segment: probed upwards until a key is missing. Never too low, seldom too high.
 
-    data: np.ndarray
-    segments: int
-    bits: int
-
-    def levels(self, hashes: np.ndarray) -> np.ndarray:
-        """The level of each n-gram: probed upwards until a key is missing. Never too low, seldom too high."""
-        out = np.zeros(len(hashes), np.int64)
-        segment = (hashes >> np.uint64(KEY_BITS)).astype(np.int64) % self.segments
-        keys = hashes & np.uint64((1 << KEY_BITS) - 1)
-        live = np.arange(len(hashes))
-        level = 0
-        while len(live) and level < 64:
-            level += 1
-            for probe in range(PROBES):
-                at = segment[live] * self.bits + cells(keys[live], level, probe, self.bits)
-                live = live[(self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-            out[live] = level
-        return out
+    ``data`` are the segment's bits; an n-gram of level q was put in as the q keys (n-gram, 1) to (n-gram, q).
+    """
+    out = np.zeros(len(keys), np.uint8)
+    live = np.arange(len(keys) if len(data) else 0)
+    level = 0
+    while len(live) and level < 64:
+        level += 1
+        for probe in range(PROBES):
+            at = cells(keys[live], level, probe, 8 * len(data))
+            live = live[(data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        out[live] = level
+    return out
+
+
+def segment_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """The bits of one segment, as many as its distinct keys need; a key's counts are added up."""
+    distinct, owner = np.unique(keys, return_inverse=True)
+    level = quantum(np.bincount(owner, counts))
+    bits = max(64, 8 * -(-KEY_ROOM * int(level.sum()) // 8))
+    on = np.zeros(bits, bool)
+    for q in range(1, int(level.max()) + 1):
+        some = distinct[level >= q]
+        for probe in range(PROBES):
+            on[cells(some, q, probe, bits)] = True
+    return np.packbits(on, bitorder="little").tobytes()
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -125,14 +206,19 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """``counts``: the table of exact token counts. ``frequent``: the part of it that every worker holds."""
+    """``counts``: the table of exact token counts. ``frequent``: the part of it that every worker holds.
+
+    ``filter``: all counts as a log-frequency Bloom filter, cut into ``segments``, of which no worker holds more than one.
+    """
 
     counts: DataFrame
     frequent: pd.DataFrame
     least: int
     tokens: int
     types: int
-    filter: LogFilter
+    #: (segment, bits): a table in the shared folder that grows with the distinct n-grams
+    filter: DataFrame
+    segments: int
 
 
 def count_tokens(docs: DataFrame, text: str) -> DataFrame:
@@ -149,58 +235,35 @@ def count_tokens(docs: DataFrame, text: str) -> DataFrame:
     return partial.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def build_filter(docs: DataFrame, text: str, tokens: int, most_bits: int, per_segment: int) -> LogFilter:
-    """Tokens and pairs of all ``docs``, counted by hash in segments and put into one filter.
+def build_filter(docs: DataFrame, text: str, segments: int) -> DataFrame:
+    """(segment, bits): tokens and pairs of all ``docs``, counted by hash in segments.
 
-    A segment gets all hashes that fall into it, as packed bytes from each task; it counts them, and returns its own
-    bits. There are as many segments as give each about ``per_segment`` occurrences, so a segment's work does
-    not grow with the corpus. The filter has 16 bits per occurrence up to ``most_bits``: that bounds the
-    broadcast, and every n-gram still goes in. Beyond it the share of wrong levels grows; nothing is left out.
+    A segment gets all hashes that fall into it, as packed bytes from each task; it counts them, and gives each distinct
+    one its bits (:func:`segment_bits`). So every segment has the same load whatever the corpus.
     """
-    bits_total = min(most_bits, 1 << max(16, (16 * tokens).bit_length()))
-    segments = max(1, min(2 * tokens // per_segment, bits_total // 512))
-    bits = bits_total // segments // 8 * 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 0, 3_000_000):
             t = tokens_of(batch.column(0))
+            g = grams_of(t, segments)
             single = np.bincount(t.codes, minlength=len(t.hashes))
-            pairs, times = np.unique(pairs_of(t), return_counts=True)
-            hashes = np.concatenate([mixed(t.hashes), mixed(np.array([START])), pairs])
-            n = np.concatenate([single, [len(t.counts)], times])
-            segment = (hashes >> np.uint64(KEY_BITS)).astype(np.int64) % segments
-            keys = hashes & np.uint64((1 << KEY_BITS) - 1)
-            order = np.argsort(segment, kind="stable")
-            segment, keys, n = segment[order], keys[order], n[order]
-            starts = np.flatnonzero(np.diff(segment, prepend=-1))
-            ends = np.append(starts[1:], len(segment))
-            blobs = [pack(keys[a:b], n[a:b]) for a, b in zip(starts, ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(segment[starts]), pa.array(blobs, pa.binary())], names=["segment", "blob"])
+            n = np.concatenate([single, [len(t.counts)], g.times])[g.order]
+            starts, ends = g.parts()
+            blobs = [pack(g.keys[a:b], n[a:b]) for a, b in zip(starts, ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(g.segment[starts]), pa.array(blobs, pa.binary())], names=["segment", "blob"])
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         keys, counts = (np.concatenate(x) for x in zip(*map(unpack, group["blob"])))
-        distinct, owner = np.unique(keys, return_inverse=True)
-        level = quantum(np.bincount(owner, counts))
-        on = np.zeros(bits, bool)
-        for q in range(1, int(level.max()) + 1):
-            some = distinct[level >= q]
-            for probe in range(PROBES):
-                on[cells(some, q, probe, bits)] = True
-        return pd.DataFrame({"segment": group["segment"].iloc[:1], "bits": [np.packbits(on, bitorder="little").tobytes()]})
+        return pd.DataFrame({"segment": group["segment"].iloc[:1], "bits": [segment_bits(keys, counts)]})
 
     packed = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "segment long, blob binary")
-    done = packed.groupBy("segment").applyInPandas(fill, "segment long, bits binary").toArrow()
-    data = np.zeros(segments * bits // 8, np.uint8)
-    for number, part in zip(done["segment"].to_pylist(), done["bits"]):
-        at = number * bits // 8
-        data[at : at + bits // 8] = np.frombuffer(part.as_buffer(), np.uint8)
-    return LogFilter(data, segments, bits)
+    return written(packed.groupBy("segment").applyInPandas(fill, "segment long, bits binary"), "lm-filter")
 
 
-def train(docs: DataFrame, text: str = "text", frequent: int = 50_000, most_bits: int = 1 << 29, per_segment: int = 500_000) -> Model:
+def train(docs: DataFrame, text: str = "text", frequent: int = 50_000, per_segment: int = 500_000) -> Model:
     """Exact token counts as a table, and the filter. ``frequent`` bounds how many tokens every worker holds with their count.
 
-    Null texts are empty ones. An empty table gives a model that has seen nothing.
+    There are as many segments as give each about ``per_segment`` occurrences: a segment's work does not grow with the corpus. Null texts are empty ones. An empty table gives a model that has seen nothing.
     """
     counts = written(count_tokens(docs, text), "lm-counts")
     level = F.floor(F.log2(F.col("c")) * 8)
@@ -212,38 +275,120 @@ def train(docs: DataFrame, text: str = "text", frequent: int = 50_000, most_bits
     least = int(fits["least"].min()) if len(fits) else 2**62
     top = counts.filter(F.col("c") >= least).toPandas()
     tokens, types = int(steps["tokens"].sum()), int(steps["n"].sum())
-    return Model(counts, top, least, tokens, types, build_filter(docs, text, tokens, most_bits, per_segment))
+    segments = max(1, min(2 * tokens // per_segment, 1 << 24))
+    return Model(counts, top, least, tokens, types, build_filter(docs, text, segments), segments)
+
+
+def levels_of(states: DataFrame, model: Model) -> DataFrame:
+    """(piece, segment, blob): for each segment that a piece (piece, blob) asks, the levels of its n-grams in their order.
+
+    The n-grams go to the segment's own bits, which come first in its rows; what a task holds is one segment and one batch.
+    """
+    segments = model.segments
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                g = grams_of(held(blob.as_py()), segments)
+                starts, ends = g.parts()
+                columns = [pa.array(g.segment[starts]), pa.array(np.full(len(starts), piece)), blobs_of(five_bytes(g.keys), 5 * ends)]
+                yield pa.RecordBatch.from_arrays(columns, names=["segment", "piece", "blob"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bits = -1, np.zeros(0, np.uint8)
+        for batch in batches:
+            segment, piece = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            data, at = bytes_in(batch.column(2))
+            new = np.ones(len(segment), bool)
+            new[1:] = segment[1:] != segment[:-1]
+            starts = np.flatnonzero(new)
+            for a, b in zip(starts, np.append(starts[1:], len(segment))):
+                if segment[a] != now:
+                    now, bits = segment[a], np.zeros(0, np.uint8)
+                if piece[a] < 0:
+                    bits, a = data[at[a] : at[a + 1]].copy(), a + 1
+                if a < b:
+                    found = levels_in(bits, from_five(data[at[a] : at[b]]))
+                    columns = [pa.array(piece[a:b]), pa.array(segment[a:b]), blobs_of(found, (at[a + 1 : b + 1] - at[a]) // 5)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["piece", "segment", "blob"])
+
+    asked = states.mapInArrow(ask, "segment long, piece long, blob binary")
+    bits = model.filter.select("segment", F.lit(-1).cast("long").alias("piece"), F.col("bits").alias("blob"))
+    met = bits.union(asked).repartition("segment").sortWithinPartitions("segment", "piece")
+    return met.mapInArrow(answer, "piece long, segment long, blob binary")
+
+
+def filter_scores(states: DataFrame, model: Model, weight: float) -> DataFrame:
+    """(row, score) of the texts in ``states`` (piece, blob); a piece's rows are numbered from its own number."""
+    total, segments = model.tokens + model.types + 1, model.segments
+
+    def scored(piece: int, t: Tokens, levels: np.ndarray) -> pa.RecordBatch:
+        g = grams_of(t, segments)
+        level = np.empty(len(levels), np.int64)
+        level[g.order] = levels
+        counts = count_of(level)
+        words = len(t.hashes)
+        single, start, pair = counts[:words], counts[words], counts[words + 1 :][g.pair]
+        past = np.empty(len(t.codes))
+        past[1:] = single[t.codes[:-1]]
+        past[np.cumsum(t.counts) - t.counts] = start
+        after = np.minimum(1.0, np.divide(pair, past, out=np.zeros(len(pair)), where=past > 0))
+        chance = weight * after + (1 - weight) * np.minimum(1.0, (single[t.codes] + 1) / total)
+        value = np.bincount(t.doc, np.log10(chance), len(t.counts))
+        return pa.RecordBatch.from_arrays([pa.array(piece + np.arange(len(t.counts))), pa.array(value)], names=["row", "score"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tokens, levels = None, None, []
+        for batch in batches:
+            piece, segment = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            data, at = bytes_in(batch.column(2))
+            new = np.ones(len(piece), bool)
+            new[1:] = piece[1:] != piece[:-1]
+            starts = np.flatnonzero(new)
+            for a, b in zip(starts, np.append(starts[1:], len(piece))):
+                if segment[a] < 0:
+                    if tokens is not None:
+                        yield scored(now, tokens, np.concatenate(levels))
+                    now, tokens, levels, a = int(piece[a]), held(data[at[a] : at[a + 1]].tobytes()), [], a + 1
+                levels.append(data[at[a] : at[b]].copy())
+        if tokens is not None:
+            yield scored(now, tokens, np.concatenate(levels))
+
+    rows = states.select("piece", F.lit(-1).cast("long").alias("segment"), "blob").union(levels_of(states, model))
+    return rows.repartition("piece").sortWithinPartitions("piece", "segment").mapInArrow(finish, "row long, score double")
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", weight: float = 0.6) -> DataFrame:
     """For each row: key, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10 probabilities of the text).
 
     ``score`` mixes the relative frequency of a token after the one before it (``weight``) with its add-one frequency; all
-    counts in it come from the filter, which every worker holds. ``base_score`` needs the exact count of every token. Frequent tokens, which make up most
+    counts in it come from the filter: pieces of about 3 MB of text are kept as word numbers and hashes, their distinct n-grams
+    meet the segments of the filter in Spark, and the levels come back to the piece. ``base_score`` needs the exact count of every token. Frequent tokens, which make up most
     of all text, are looked up in place; the others leave as (row, token, times) and meet the table of counts in
     one join, where no token is common. The rows are numbered once, in a table in the shared folder, so rows repeated
     with their key keep apart and each has its result. A null or empty text is one end token. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.frequent, model.filter))
+    shared = spark.sparkContext.broadcast(model.frequent)
     total = model.tokens + model.types + 1
-    columns = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64(), "times": pa.int64()}
+    columns = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "times": pa.int64()}
     schema = T.StructType(
         [
             T.StructField("key", docs.schema[key].dataType),
             T.StructField("row", T.LongType()),
             T.StructField("token", T.StringType()),
             *[T.StructField(n, T.LongType() if k == pa.int64() else T.DoubleType()) for n, k in columns.items()],
+            T.StructField("blob", T.BinaryType()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        frequent, found = shared.value
+        frequent = shared.value
         names, exact = pa.array(frequent["token"], pa.string()), frequent["c"].to_numpy(np.int64)
         row = TaskContext.get().partitionId() << 40
-        for batch in pieces(batches, 1):
+        for batch in pieces(batches, 1, 3_000_000):
             t = tokens_of(batch.column(1))
             n = len(t.counts)
             distinct = pa.concat_arrays([t.words, pa.array([""], pa.string())])
@@ -252,21 +397,13 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             here = known[t.codes] >= 0
             base = np.bincount(t.doc, np.log10(count[t.codes] + 1.0), n)
             n_known = np.bincount(t.doc, here, n).astype(np.int64)
-            single = count_of(found.levels(mixed(t.hashes)))
-            pair = count_of(found.levels(pairs_of(t)))
-            start = count_of(found.levels(mixed(np.array([START]))))[0]
-            past = np.empty(len(t.codes))
-            past[1:] = single[t.codes[:-1]]
-            past[np.cumsum(t.counts) - t.counts] = start
-            after = np.minimum(1.0, np.divide(pair, past, out=np.zeros(len(pair)), where=past > 0))
-            chance = weight * after + (1 - weight) * (single[t.codes] + 1) / total
-            value = np.bincount(t.doc, np.log10(chance), n)
             rows = row + np.arange(n)
             row += n
-            result = {"n_tokens": t.counts, "n_known": n_known, "base": base, "score": value}
+            result = {"n_tokens": t.counts, "n_known": n_known, "base": base}
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows), pa.nulls(n, pa.string())]
-                + [pa.array(result[c], k) if c in result else pa.nulls(n, k) for c, k in columns.items()],
+                + [pa.array(result[c], k) if c in result else pa.nulls(n, k) for c, k in columns.items()]
+                + [pa.array([hold(t)] + [None] * (n - 1), pa.binary())],
                 names=schema.names,
             )
             rest = t.doc[~here] * len(t.hashes) + t.codes[~here]
@@ -274,7 +411,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             words = distinct.take(pa.array(rest % len(t.hashes)))
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(rest), batch.column(0).type), pa.array(rows[rest // len(t.hashes)]), words]
-                + [pa.array(times, k) if c == "times" else pa.nulls(len(rest), k) for c, k in columns.items()],
+                + [pa.array(times, k) if c == "times" else pa.nulls(len(rest), k) for c, k in columns.items()]
+                + [pa.nulls(len(rest), pa.binary())],
                 names=schema.names,
             )
 
@@ -284,7 +422,9 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     rare = rare.groupBy("row").agg(
         F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more")
     )
-    texts = scored.filter("token IS NULL").drop("token", "times")
+    texts = scored.filter("token IS NULL").drop("token", "times", "blob")
+    states = scored.filter("blob IS NOT NULL").select(F.col("row").alias("piece"), "blob")
+    texts = texts.join(filter_scores(states, model, weight), "row")
     base = F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(total)))
     return texts.join(rare, "row", "left").select(
         F.col("key").alias(key),

@@ -387,3 +387,29 @@ def test_decontamination_of_random_texts(spark):
 
 def test_schemas_hold_types(odd):
     assert isinstance(langid.detect(odd, langid.train(odd)).schema["doc_id"].dataType, T.LongType)
+
+
+def test_filter_grows_with_the_ngrams(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(200))) for i in range(300)], "doc_id int, text string")
+    sizes = []
+    for part in (docs.filter("doc_id < 75"), docs):
+        model = lm.train(part, per_segment=5_000)
+        loads = [np.unpackbits(np.frombuffer(r.bits, np.uint8)).mean() for r in model.filter.collect()]
+        assert len(loads) == model.segments > 5 and max(loads) < 0.3
+        sizes.append(model.filter.agg(F.sum(F.octet_length("bits"))).first()[0])
+    assert sizes[1] > 3 * sizes[0]
+    singles, pairs, total = {}, {}, 0
+    texts = {r.doc_id: [*r.text.split(), ""] for r in docs.collect()}
+    for words in texts.values():
+        total += len(words)
+        for a, b in zip([None, *words], words):
+            singles[b], pairs[a, b] = singles.get(b, 0) + 1, pairs.get((a, b), 0) + 1
+    singles[None] = len(texts)
+    middle = lambda n: float(lm.count_of(lm.quantum(np.array([n])))[0])
+    chance = lambda a, b: 0.6 * min(1, middle(pairs[a, b]) / middle(singles[a])) + 0.4 * (middle(singles[b]) + 1) / (total + len(singles))
+    scores = {r.doc_id: r.score for r in lm.score(docs.repartition(7), model).collect()}
+    want = {k: sum(np.log10(chance(a, b)) for a, b in zip([None, *words], words)) for k, words in texts.items()}
+    # one level in some 400 is too high
+    assert scores == pytest.approx(want, rel=2e-2) and max(scores.values()) < 0
+    assert sum(scores.values()) == pytest.approx(sum(want.values()), rel=2e-3)
