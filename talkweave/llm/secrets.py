@@ -28,7 +28,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{32}")
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----)[\s\S])*)-----END \1-----")
 BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{64,}={0,2}")
 
 #: kinds in the order in which spans with one start are listed; the first three are the base
@@ -135,7 +135,11 @@ def is_key(data: bytes | None) -> bool:
 
 
 def is_pem(body: str) -> bool:
-    """The lines between the marks, less header lines, are a key; an encrypted one is whole cipher blocks."""
+    """The lines between the marks, less header lines, are a key; an encrypted one is whole cipher blocks.
+
+    Line breaks and slashes may be escaped with backslashes, as in JSON.
+    """
+    body = re.sub(r"\\+([rn/])", lambda m: "/" if m[1] == "/" else "\n", body)
     lines = [line.strip() for line in body.splitlines()]
     headers = [line for line in lines if ":" in line]
     data = unbase64("".join(line for line in lines if ":" not in line))

@@ -413,3 +413,25 @@ def test_filter_grows_with_the_ngrams(spark):
     # one level in some 400 is too high
     assert scores == pytest.approx(want, rel=2e-2) and max(scores.values()) < 0
     assert sum(scores.values()) == pytest.approx(sum(want.values()), rel=2e-3)
+
+
+def test_pem_with_headers_or_escaped_lines():
+    text = base64.b64encode(rsa_key()).decode()
+    lines = [text[i : i + 64] for i in range(0, len(text), 64)]
+    block = lambda body, sep: sep.join(["-----BEGIN RSA PRIVATE KEY-----", *body, "-----END RSA PRIVATE KEY-----"])
+    cipher = base64.b64encode(bytes(range(64))).decode()
+    head = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", ""]
+    cases = {
+        block([*head, cipher], "\n"): 1,
+        block([*head, cipher[:-4]], "\n"): 0,
+        json.dumps({"private_key": block(lines, "\n") + "\n"}): 1,
+        json.dumps(json.dumps(block(lines, "\r\n"))): 1,
+        "KEY=" + block([*head, cipher], "\\n"): 1,
+        "KEY=" + block(lines, "\\n").replace("/", "\\/"): 1,
+        block([line[:-8] for line in lines], "\\n"): 0,
+        "-----BEGIN RSA PRIVATE KEY-----\nno end\n" + block(lines, "\n"): 1,
+    }
+    for text, n in cases.items():
+        found = [s for s in secrets.scan(text) if s[0] == "pem"]
+        assert len(found) == n, text[:60]
+        assert all(text[a:b] == v for _, a, b, v in found)
