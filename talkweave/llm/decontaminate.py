@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, load, written
+from .common import ascii_lower, fresh, load, written
 from .registry import query
 
 #: what stands between words: every ASCII character but letters and digits
@@ -157,10 +157,15 @@ def is_contaminated() -> Column:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` less the contaminated ones, found by key (null keys too); all rows of a key go with it."""
-    bad = contamination(docs, items, key, text, **options).filter(is_contaminated()).select(F.col(key).alias("bad_key")).distinct()
+    """``docs`` less the contaminated ones. Rows are told apart by key (null keys too) and text, of which alone the decision depends."""
+    print_of = F.coalesce(F.xxhash64(F.col(f"`{text}`")), F.lit(0))
+    who = F.struct(F.col(f"`{key}`").alias("key"), print_of.alias("print"))
+    found = contamination(docs.select(who.alias("who"), F.col(f"`{text}`").alias("text")), items, "who", "text", **options)
+    bad_key, bad_print = fresh(docs, "bad_key", "bad_print")
+    bad = found.filter(is_contaminated()).select(F.col("who.key").alias(bad_key), F.col("who.print").alias(bad_print)).distinct()
     bad = written(bad, "contaminated")
-    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("bad_key")), "left_anti")
+    same = (print_of == F.col(bad_print)) & F.col(f"`{key}`").eqNullSafe(F.col(bad_key))
+    return docs.join(bad, same, "left_anti")
 
 
 @query("op9_decontamination")

@@ -86,13 +86,14 @@ def mix_copies(
     return joined.withColumn("copies", copies)
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: each row of ``docs`` as often as :func:`mix_copies` takes it, with ``docs``' own columns."""
-    taken = mix_copies(docs, **options).filter("copies > 0")
-    (copy,) = fresh(taken, "mix_copy")
-    out = taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    left = {c.lower() for c in out.columns}
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() in left])
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+    """The mixed corpus: each row of ``docs`` as often as :func:`mix_copies` takes it, with all of ``docs``' own columns."""
+    # by number: no column of ``docs`` meets one of mix_copies' own
+    names = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
+    own = [names[c.lower()] for c in (key, source, text)]
+    taken = mix_copies(docs.toDF(*names.values()), key=own[0], source=own[1], text=own[2], **options).filter("copies > 0")
+    out = taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return out.select(*names.values()).toDF(*docs.columns)
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, map_texts, pieces, written
+from .common import fresh, load, map_texts, pieces, written
 from .registry import query
 
 #: h of shingles are kept this many at a time while their bits are counted
@@ -260,11 +260,18 @@ def near_duplicates(
 
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest key. Keys are taken to be unique; rows repeated with it stay together."""
-    found = near_duplicates(docs, key, text, **options)
-    gone = found.filter(~F.col(key).eqNullSafe(F.col("component"))).select(F.col(key).alias("gone_key")).distinct()
+    """``docs`` with one row of each component: the one with the smallest key, null last; of equal keys, the first.
+
+    The rows are numbered once, in a table in the shared folder, and told apart by that number.
+    """
+    row, gone_row = fresh(docs, "near_row", "gone_row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    name = F.col(f"`{key}`")
+    who = F.struct(name.isNull().alias("none"), name.alias("key"), F.col(row).alias("row"))
+    found = near_duplicates(numbered.select(who.alias("who"), F.col(f"`{text}`").alias("text")), "who", "text", **options)
+    gone = found.filter(F.col("who.row") != F.col("component.row")).select(F.col("who.row").alias(gone_row))
     gone = written(gone, "simhash-gone")
-    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("gone_key")), "left_anti")
+    return numbered.join(gone, F.col(row) == F.col(gone_row), "left_anti").drop(row)
 
 
 @query("op8_simhash")

@@ -435,3 +435,19 @@ def test_pem_with_headers_or_escaped_lines():
         found = [s for s in secrets.scan(text) if s[0] == "pem"]
         assert len(found) == n, text[:60]
         assert all(text[a:b] == v for _, a, b, v in found)
+
+
+def test_rows_with_null_or_repeated_keys_are_told_apart(spark):
+    words = lambda n: " ".join(f"{chr(97 + n)}{i}" for i in range(40))
+    rows = [(1, words(0)), (None, words(0)), (None, words(1)), (2, words(2)), (2, words(2)), (1, words(3)), (2, words(0))]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    want = [(1, words(0)), (None, words(1)), (2, words(2)), (1, words(3))]
+    assert sorted(map(str, map(tuple, simhash.drop_near(df).collect()))) == sorted(map(str, want))
+    items = spark.createDataFrame([(1, words(1)), (2, words(3))], "item_id int, text string")
+    left = [r for r in rows if r[1] not in (words(1), words(3))]
+    assert sorted(map(str, map(tuple, decontaminate.drop_contaminated(df, items).collect()))) == sorted(map(str, left))
+
+
+def test_mixing_keeps_all_columns(odd):
+    mixed = mixing.mix(odd)
+    assert mixed.columns == odd.columns and {r.size for r in mixed.collect()} == {1}
