@@ -13,7 +13,7 @@ from talkweave.llm.simhash import drop_near
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones among them teach; those without letters or without a main language go."""
+    """Documents in a language that the labelled ones among them teach; those without letters go."""
     return langid.keep_identified(docs, langid.train(langid.learnt(docs)))
 
 

@@ -241,8 +241,8 @@ def detect(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     return map_texts(rows, run, schema).select(F.col("key").alias(key), "lang", "score", "spans")
 
 
-def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5, penalty: float = 15.0) -> DataFrame:
-    """The rows of ``docs`` with a language that covers at least ``least`` of their letters; rows stay where they are read.
+def keep_identified(docs: DataFrame, model: Model, text: str = "text", penalty: float = 15.0) -> DataFrame:
+    """The rows of ``docs`` to which :func:`detect` gives a language, mixed texts too; rows stay where they are read.
 
     Null texts and texts without letters go. A model that knows no language rejects every row.
     """
@@ -253,7 +253,7 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: fl
         is_letter = letter_table()
         for batch in pieces(batches, column):
             found = label_words(batch.column(column), shared.value, is_letter, penalty)
-            yield batch.filter(pa.array(found.known & (found.score >= least)))
+            yield batch.filter(pa.array(found.known))
 
     # by number: a column's name may hold a dot
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])

@@ -451,3 +451,12 @@ def test_rows_with_null_or_repeated_keys_are_told_apart(spark):
 def test_mixing_keeps_all_columns(odd):
     mixed = mixing.mix(odd)
     assert mixed.columns == odd.columns and {r.size for r in mixed.collect()} == {1}
+
+
+def test_mixed_languages_are_kept(spark):
+    words = {"en": "house water river", "el": "σπίτι λόγος μήλος", "ru": "слово книга весна"}
+    model = langid.train(spark.createDataFrame([(k, f"{w} " * 20, k) for k, w in words.items()], "doc_id string, text string, lang string"))
+    text = " ".join(f"{w} " * n for w, n in zip(words.values(), (12, 9, 9)))
+    df = spark.createDataFrame([(1, text), (2, "12 --"), (3, None)], "doc_id int, text string")
+    assert langid.detect(df.filter("doc_id = 1"), model).first().score < 0.5
+    assert [r.doc_id for r in langid.keep_identified(df, model).collect()] == [1]
