@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Callable, Iterable
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,24 +78,24 @@ class Encoder:
 
     def __init__(self, encode: Callable[[list[str]], Iterable], most: int = 300_000, longest: int = 200):
         self.encode, self.most, self.longest = encode, most, longest
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def distinct(self, stretches: list[str]) -> list:
+    def distinct(self, stretches: list[str]) -> list[bytes]:
         found = [self.known.get(s) for s in stretches]
         new = [i for i, ids in enumerate(found) if ids is None]
         if len(self.known) + len(new) > self.most:
             self.known.clear()
         for i, ids in zip(new, self.encode([stretches[i] for i in new])):
-            found[i] = ids
+            found[i] = array("I", ids).tobytes()
             if len(stretches[i]) <= self.longest:
-                self.known[stretches[i]] = ids
+                self.known[stretches[i]] = found[i]
         return found
 
     def ids(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each stretch has, and all of them in a row."""
         found = self.distinct(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
         codes = coded.indices.to_numpy()
         return sizes[codes], flat[gather((np.cumsum(sizes) - sizes)[codes], sizes[codes])]
 
@@ -141,7 +142,8 @@ def byte_entries(vocabulary) -> list[bytes]:
 def byte_encoder(path: str, plain: bool = False) -> tuple[Encoder, list[bytes]]:
     """An encoder with the byte-level vocabulary at ``path``, and the bytes of each id.
 
-    Stretches of printable ASCII take a faster reader of the same merges; the others, and names of special tokens, the vocabulary's own.
+    Stretches of printable Latin characters up to U+024F take a faster reader of the same merges; the others, and names of special
+    tokens, the vocabulary's own.
     """
     import tiktoken
     from public_tokenizers import PATTERN
@@ -152,8 +154,10 @@ def byte_encoder(path: str, plain: bool = False) -> tuple[Encoder, list[bytes]]:
     ranks = {b: i for i, b in enumerate(entries) if b.decode("latin-1") not in special}
     fast = tiktoken.Encoding("same", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    simple = re.compile("[\n -{}~¡-¬®-ɏ]*").fullmatch
+
     def encode(texts: list[str]) -> list:
-        out = [fast(t) if t.isascii() and t.strip("\n").isprintable() and "<|" not in t else None for t in texts]
+        out = [fast(t) if simple(t) else None for t in texts]
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, found in zip(rest, vocabulary.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False) if rest else []):
             out[i] = found.ids
