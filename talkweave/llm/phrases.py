@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import load, written
+from .common import load, map_texts, written
 from .registry import query
 from .tokens import clean, from_bytes, text_bytes
 
@@ -88,10 +88,10 @@ def words_of(texts: pa.Array, langs: pa.Array) -> Words:
     starts = offsets[:-1][np.diff(offsets) > 0]
     opens[starts] = inside[starts]
     first = np.flatnonzero(opens)
-    kept = np.concatenate([[0], np.cumsum(inside)])
+    kept = np.concatenate([[0], np.cumsum(inside, dtype=np.int32)])
     coded = from_bytes(data[inside], np.append(kept[first], kept[-1]), pa.string()).dictionary_encode()
     doc = np.searchsorted(offsets, first, "right") - 1
-    breaks = np.cumsum(kinds == 2)[first] if len(first) else np.zeros(0, np.int64)
+    breaks = np.cumsum(kinds == 2, dtype=np.int32)[first] if len(first) else np.zeros(0, np.int64)
     new = np.ones(len(first), bool)
     new[1:] = (np.diff(doc) > 0) | (np.diff(breaks) > 0)
     spoken = pc.fill_null(langs.cast(pa.string()), UNKNOWN).dictionary_encode()
@@ -132,17 +132,18 @@ def grams_of(w: Words, longest: int, segments: int) -> Grams:
         here = np.flatnonzero(w.piece[: n - k + 1] == w.piece[k - 1 :]) if n >= k else np.zeros(0, np.int64)
         rolled = (sums[here + k] - sums[here]) * shift[here]
         prints.append(spread(rolled + spoken[w.lang[here]] * np.uint64(2 * k + 1)))
-        at.append(here)
+        at.append(here.astype(np.int32))
         size.append(np.full(len(here), k, np.int8))
     prints, at, size = map(np.concatenate, (prints, at, size))
-    segment = (prints >> np.uint64(32)) % np.uint64(segments)
-    key = (segment << np.uint64(32)) | (prints & np.uint64(0xFFFFFFFF))
-    order = np.argsort(key, kind="stable")
+    key = ((prints >> np.uint64(32)) % np.uint64(segments) << np.uint64(32)) | (prints & np.uint64(0xFFFFFFFF))
+    del prints
+    order = np.argsort(key, kind="stable").astype(np.int32)
     ranked = key[order]
+    del key
     new = np.ones(len(ranked), bool)
     new[1:] = ranked[1:] != ranked[:-1]
     first = np.flatnonzero(new)
-    owner = np.empty(len(order), np.int64)
+    owner = np.empty(len(order), np.int32)
     owner[order] = np.cumsum(new) - 1
     lead = order[first]
     times = np.diff(np.append(first, len(order)))
@@ -197,7 +198,7 @@ def cut_words(docs: DataFrame, text: str, lang: str, slice_bytes: int) -> DataFr
             pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
-    return rows.mapInArrow(run, "slice long, blob binary, langs array<string>, sizes array<long>")
+    return map_texts(rows, run, "slice long, blob binary, langs array<string>, sizes array<long>")
 
 
 def frequent_marks(slices: DataFrame, longest: int, least: int, segments: int) -> DataFrame:
@@ -267,7 +268,7 @@ def phrase_rows(w: Words, at: np.ndarray, size: np.ndarray, times: np.ndarray) -
     return [pa.concat_arrays(x) for x in zip(*out)]
 
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 4, least: int = 30, slice_bytes: int = 6_000_000, segment_grams: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 4, least: int = 30, slice_bytes: int = 4_000_000, segment_grams: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all n-grams up to ``longest`` words that occur ``least`` times, and (lang, n) of the languages.
 
     Slices of text are cut into words once and kept in the shared folder. Their n-grams' fingerprints, each once per slice with
