@@ -9,18 +9,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import load, map_texts, pieces, remainder, split_words, written
 from .quality import byte_hash
 from .registry import query
+from .tokens import from_bytes, text_bytes
 
 #: hashes of the end of a text and of what stands before its first token; as a token, the end is the empty string
 END, START = np.uint64(0x51ED270B8D2C3F11), np.uint64(0xA24BAED4963EE407)
-#: probes per key, and the bits of an n-gram's hash that choose its cells
-PROBES, KEY_BITS = 4, 40
+#: probes per key, the bits of a word's hash that are kept, and the bits of an n-gram's hash that choose its cells inside its segment
+PROBES, WORD_BITS, KEY_BITS = 4, 40, 32
 #: bits of a segment for each key put in: about 22 in 100 are set, and four probes all hit a set one by chance in 0.24 of 100
 KEY_ROOM = 16
 
@@ -54,7 +55,8 @@ def tokens_of(texts: pa.Array) -> Tokens:
     inside = np.ones(len(codes), bool)
     inside[last] = False
     codes[inside] = coded.indices.to_numpy()
-    return placed(total, distinct, np.append(byte_hash(distinct)[0], END), codes)
+    hashes = np.append(byte_hash(distinct)[0], END) & np.uint64((1 << WORD_BITS) - 1)
+    return placed(total, distinct, hashes, codes)
 
 
 def placed(counts: np.ndarray, words: pa.Array | None, hashes: np.ndarray, codes: np.ndarray) -> Tokens:
@@ -69,29 +71,39 @@ def pairs_of(t: Tokens) -> np.ndarray:
     return mixed(t.before * np.uint64(0x9E3779B97F4A7C15) + t.hashes[t.codes])
 
 
-def hold(t: Tokens) -> bytes:
-    """What :func:`held` needs to give ``t`` back, less the words themselves."""
+def low_bytes(values: np.ndarray, n: int) -> np.ndarray:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
+
+
+def from_low_bytes(raw: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros((len(raw) // n, 8), np.uint8)
+    out[:, :n] = raw.reshape(-1, n)
+    return out.view("<u8")[:, 0]
+
+
+def hold(t: Tokens, learns: np.ndarray) -> bytes:
+    """What :func:`held` needs to give ``t`` and ``learns`` (of each text) back, less the words themselves."""
     small = "<u2" if len(t.hashes) <= 1 << 16 else "<u4"
-    parts = [t.counts.astype("<u4"), t.codes.astype(small), t.hashes.astype("<u8")]
-    raw = b"".join([np.array([len(p) for p in parts], "<u8").tobytes(), *[p.tobytes() for p in parts]])
+    parts = [t.counts.astype("<u4"), np.packbits(learns), t.codes.astype(small), low_bytes(t.hashes, WORD_BITS // 8)]
+    raw = b"".join([np.array([len(t.counts), len(t.codes), len(t.hashes)], "<u8").tobytes(), *[p.tobytes() for p in parts]])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def held(blob: bytes) -> Tokens:
-    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
-    n, m, words = np.frombuffer(raw, "<u8", 3).astype(np.int64).tolist()
-    small = "<u2" if words <= 1 << 16 else "<u4"
-    counts = np.frombuffer(raw, "<u4", n, 24).astype(np.int64)
-    codes = np.frombuffer(raw, small, m, 24 + 4 * n).astype(np.int64)
-    hashes = np.frombuffer(raw, "<u8", words, len(raw) - 8 * words)
-    return placed(counts, None, hashes, codes)
+def held(blob: bytes) -> tuple[Tokens, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True), np.uint8)
+    n, m, words = raw[:24].view("<u8").astype(np.int64).tolist()
+    small = 2 if words <= 1 << 16 else 4
+    cuts = np.cumsum([24, 4 * n, -(-n // 8), small * m])
+    counts, learns, codes, hashes = np.split(raw, cuts)[1:]
+    tokens = placed(counts.copy().view("<u4").astype(np.int64), None, from_low_bytes(hashes, WORD_BITS // 8), codes.copy().view(f"<u{small}").astype(np.int64))
+    return tokens, np.unpackbits(learns, count=n).astype(bool)
 
 
 @dataclass
 class Grams:
-    """The distinct n-grams of a batch, sorted by segment: those of each word, of the start, and of each pair.
+    """The distinct n-grams of a batch, sorted by segment and key: those of each word, of the start, and of each pair.
 
-    ``order`` has their places before they were sorted, ``pair`` the place of each token's pair, ``times`` the pairs' numbers.
+    ``order`` has their places before they were sorted, ``pair`` the place of each token's pair, ``times`` how often each is learnt from.
     """
 
     segment: np.ndarray
@@ -106,37 +118,37 @@ class Grams:
         return starts, np.append(starts[1:], len(self.segment))
 
 
-def grams_of(t: Tokens, segments: int) -> Grams:
-    pairs, pair, times = np.unique(pairs_of(t), return_inverse=True, return_counts=True)
+def grams_of(t: Tokens, learns: np.ndarray, segments: int) -> Grams:
+    """``learns``: of each text, whether its n-grams count."""
+    pairs, pair = np.unique(pairs_of(t), return_inverse=True)
     hashes = np.concatenate([mixed(t.hashes), mixed(np.array([START])), pairs])
+    mine = learns[t.doc]
+    times = np.concatenate([np.bincount(t.codes[mine], minlength=len(t.hashes)), [int(learns.sum())], np.bincount(pair[mine], minlength=len(pairs))])
     segment = (hashes >> np.uint64(KEY_BITS)).astype(np.int64) % segments
-    order = np.argsort(segment, kind="stable")
-    return Grams(segment[order], (hashes & np.uint64((1 << KEY_BITS) - 1))[order], order, pair, times)
+    keys = (hashes & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
+    order = np.lexsort((keys, segment))
+    return Grams(segment[order], keys[order], order, pair, times[order])
 
 
-def five_bytes(keys: np.ndarray) -> np.ndarray:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+def pack(keys: np.ndarray, times: np.ndarray, width: int = 5) -> bytes:
+    """Keys of ``width`` bytes, bits that say which occur more than once or never, and how often the former do."""
+    parts = [np.uint32(len(keys)), low_bytes(keys, width), np.packbits(times > 1), np.packbits(times == 0), np.minimum(times[times > 1], 2**32 - 1).astype("<u4")]
+    return b"".join(p.tobytes() for p in parts)
 
 
-def from_five(raw: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = raw.reshape(-1, 5)
-    return out.view("<u8")[:, 0]
+def unpack(blob: bytes, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(blob, np.uint8)
+    n = int(raw[:4].view("<u4")[0])
+    _, keys, more, never, counts = np.split(raw, np.cumsum([4, width * n, -(-n // 8), -(-n // 8)]))
+    times = np.ones(n, np.int64)
+    times[np.unpackbits(never, count=n).astype(bool)] = 0
+    times[np.unpackbits(more, count=n).astype(bool)] = counts.copy().view("<u4")
+    return from_low_bytes(keys, width), times
 
 
 def blobs_of(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     """``data`` (bytes) cut at ``ends``, as binary values."""
-    offsets = np.append(0, ends).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
-
-
-def bytes_in(blobs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of binary values side by side, and where each begins, with the end of the last."""
-    if not len(blobs):
-        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offsets = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset : blobs.offset + len(blobs) + 1].astype(np.int64)
-    data = blobs.buffers()[2]
-    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
+    return from_bytes(data, np.append(0, ends), pa.binary())
 
 
 def quantum(count: np.ndarray) -> np.ndarray:
@@ -174,6 +186,9 @@ def levels_in(data: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def segment_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """The bits of one segment, as many as its distinct keys need; a key's counts are added up."""
+    keys, counts = keys[counts > 0], counts[counts > 0]
+    if not len(keys):
+        return b""
     distinct, owner = np.unique(keys, return_inverse=True)
     level = quantum(np.bincount(owner, counts))
     bits = max(64, 8 * -(-KEY_ROOM * int(level.sum()) // 8))
@@ -185,25 +200,6 @@ def segment_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
     return np.packbits(on, bitorder="little").tobytes()
 
 
-def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Keys as five bytes each: those counted once, then the others with four bytes of count."""
-    once = counts == 1
-    short = keys[once].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    more = keys[~once].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    times = np.minimum(counts[~once], 2**32 - 1).astype("<u4")
-    return np.uint32(len(short)).tobytes() + short.tobytes() + more.tobytes() + times.tobytes()
-
-
-def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(blob, "<u4", 1)[0])
-    more = (len(blob) - 4 - 5 * n) // 9
-    raw = np.zeros((n + more, 8), np.uint8)
-    raw[:, :5] = np.frombuffer(blob, np.uint8, 5 * (n + more), 4).reshape(-1, 5)
-    counts = np.ones(n + more, np.int64)
-    counts[n:] = np.frombuffer(blob, "<u4", more, 4 + 5 * (n + more))
-    return raw.view("<u8")[:, 0], counts
-
-
 @dataclass
 class Model:
     """``counts``: the table of exact token counts. ``frequent``: the part of it that every worker holds.
@@ -216,8 +212,8 @@ class Model:
     least: int
     tokens: int
     types: int
-    #: (segment, bits): a table in the shared folder that grows with the distinct n-grams
-    filter: DataFrame
+    #: (segment, bits): a table in the shared folder that grows with the distinct n-grams; none where it is made while scoring
+    filter: DataFrame | None
     segments: int
 
 
@@ -235,6 +231,31 @@ def count_tokens(docs: DataFrame, text: str) -> DataFrame:
     return partial.groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def keys_by_segment(t: Tokens, learns: np.ndarray, piece: int, segments: int) -> pa.RecordBatch:
+    """(segment, piece, blob): the n-grams of a piece for each segment, with their numbers."""
+    g = grams_of(t, learns, segments)
+    starts, ends = g.parts()
+    blobs = [pack(g.keys[a:b], g.times[a:b], KEY_BITS // 8) for a, b in zip(starts, ends)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(g.segment[starts]), pa.array(np.full(len(starts), piece, np.int64)), pa.array(blobs, pa.binary())], names=["segment", "piece", "blob"]
+    )
+
+
+def by_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[bytes]]]:
+    """The rows (segment, piece, blob) of each segment; rows of a segment follow each other."""
+    now, numbers, blobs = None, [], []
+    for batch in batches:
+        for segment, piece, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if segment != now and now is not None:
+                yield now, numbers, blobs
+                numbers, blobs = [], []
+            now = segment
+            numbers.append(piece)
+            blobs.append(blob)
+    if now is not None:
+        yield now, numbers, blobs
+
+
 def build_filter(docs: DataFrame, text: str, segments: int) -> DataFrame:
     """(segment, bits): tokens and pairs of all ``docs``, counted by hash in segments.
 
@@ -245,23 +266,19 @@ def build_filter(docs: DataFrame, text: str, segments: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 0, 3_000_000):
             t = tokens_of(batch.column(0))
-            g = grams_of(t, segments)
-            single = np.bincount(t.codes, minlength=len(t.hashes))
-            n = np.concatenate([single, [len(t.counts)], g.times])[g.order]
-            starts, ends = g.parts()
-            blobs = [pack(g.keys[a:b], n[a:b]) for a, b in zip(starts, ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(g.segment[starts]), pa.array(blobs, pa.binary())], names=["segment", "blob"])
+            yield keys_by_segment(t, np.ones(len(t.counts), bool), 0, segments)
 
-    def fill(group: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = (np.concatenate(x) for x in zip(*map(unpack, group["blob"])))
-        return pd.DataFrame({"segment": group["segment"].iloc[:1], "bits": [segment_bits(keys, counts)]})
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment, _, blobs in by_segment(batches):
+            bits = segment_bits(*map(np.concatenate, zip(*(unpack(b, KEY_BITS // 8) for b in blobs))))
+            yield pa.RecordBatch.from_arrays([pa.array([segment]), pa.array([bits], pa.binary())], names=["segment", "bits"])
 
-    packed = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "segment long, blob binary")
-    return written(packed.groupBy("segment").applyInPandas(fill, "segment long, bits binary"), "lm-filter")
+    packed = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "segment long, piece long, blob binary")
+    return written(packed.repartition("segment").sortWithinPartitions("segment").mapInArrow(fill, "segment long, bits binary"), "lm-filter")
 
 
-def train(docs: DataFrame, text: str = "text", frequent: int = 50_000, per_segment: int = 500_000) -> Model:
-    """Exact token counts as a table, and the filter. ``frequent`` bounds how many tokens every worker holds with their count.
+def train(docs: DataFrame, text: str = "text", frequent: int = 200_000, per_segment: int = 500_000, build: bool = True) -> Model:
+    """Exact token counts as a table, and, unless it is to be made while scoring, the filter. ``frequent`` bounds how many tokens every worker holds with their count.
 
     There are as many segments as give each about ``per_segment`` occurrences: a segment's work does not grow with the corpus. Null texts are empty ones. An empty table gives a model that has seen nothing.
     """
@@ -275,55 +292,50 @@ def train(docs: DataFrame, text: str = "text", frequent: int = 50_000, per_segme
     least = int(fits["least"].min()) if len(fits) else 2**62
     top = counts.filter(F.col("c") >= least).toPandas()
     tokens, types = int(steps["tokens"].sum()), int(steps["n"].sum())
-    segments = max(1, min(2 * tokens // per_segment, 1 << 24))
-    return Model(counts, top, least, tokens, types, build_filter(docs, text, segments), segments)
+    segments = max(1, 2 * tokens // per_segment)
+    return Model(counts, top, least, tokens, types, build_filter(docs, text, segments) if build else None, segments)
 
 
 def levels_of(states: DataFrame, model: Model) -> DataFrame:
     """(piece, segment, blob): for each segment that a piece (piece, blob) asks, the levels of its n-grams in their order.
 
-    The n-grams go to the segment's own bits, which come first in its rows; what a task holds is one segment and one batch.
+    Pieces go to a segment once, with what is learnt from them. Where the model has a filter, its bits come to the segment too, first in its rows; else
+    the segment sets its bits from its rows before it probes them. A task holds one segment at a time, whose size does not grow with the corpus.
     """
-    segments = model.segments
+    segments, ready = model.segments, model.filter is not None
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                g = grams_of(held(blob.as_py()), segments)
-                starts, ends = g.parts()
-                columns = [pa.array(g.segment[starts]), pa.array(np.full(len(starts), piece)), blobs_of(five_bytes(g.keys), 5 * ends)]
-                yield pa.RecordBatch.from_arrays(columns, names=["segment", "piece", "blob"])
+                yield keys_by_segment(*held(blob.as_py()), piece, segments)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bits = -1, np.zeros(0, np.uint8)
-        for batch in batches:
-            segment, piece = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, at = bytes_in(batch.column(2))
-            new = np.ones(len(segment), bool)
-            new[1:] = segment[1:] != segment[:-1]
-            starts = np.flatnonzero(new)
-            for a, b in zip(starts, np.append(starts[1:], len(segment))):
-                if segment[a] != now:
-                    now, bits = segment[a], np.zeros(0, np.uint8)
-                if piece[a] < 0:
-                    bits, a = data[at[a] : at[a + 1]].copy(), a + 1
-                if a < b:
-                    found = levels_in(bits, from_five(data[at[a] : at[b]]))
-                    columns = [pa.array(piece[a:b]), pa.array(segment[a:b]), blobs_of(found, (at[a + 1 : b + 1] - at[a]) // 5)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["piece", "segment", "blob"])
-
-    asked = states.mapInArrow(ask, "segment long, piece long, blob binary")
-    bits = model.filter.select("segment", F.lit(-1).cast("long").alias("piece"), F.col("bits").alias("blob"))
-    met = bits.union(asked).repartition("segment").sortWithinPartitions("segment", "piece")
-    return met.mapInArrow(answer, "piece long, segment long, blob binary")
+        for segment, numbers, blobs in by_segment(batches):
+            bits = b""
+            if numbers[0] < 0:
+                bits, numbers, blobs = blobs[0], numbers[1:], blobs[1:]
+            if not blobs:
+                continue
+            keys, times = zip(*(unpack(b, KEY_BITS // 8) for b in blobs))
+            every = np.concatenate(keys)
+            if not ready:
+                bits = segment_bits(every, np.concatenate(times))
+            ends = np.cumsum([len(k) for k in keys])
+            columns = [pa.array(numbers, pa.int64()), pa.array(np.full(len(numbers), segment, np.int64)), blobs_of(levels_in(np.frombuffer(bits, np.uint8), every), ends)]
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "segment", "blob"])
+
+    met = states.mapInArrow(ask, "segment long, piece long, blob binary")
+    if ready:
+        met = model.filter.select("segment", F.lit(-1).cast("long").alias("piece"), F.col("bits").alias("blob")).union(met)
+    return met.repartition("segment").sortWithinPartitions("segment", "piece").mapInArrow(answer, "piece long, segment long, blob binary")
 
 
 def filter_scores(states: DataFrame, model: Model, weight: float) -> DataFrame:
     """(row, score) of the texts in ``states`` (piece, blob); a piece's rows are numbered from its own number."""
     total, segments = model.tokens + model.types + 1, model.segments
 
-    def scored(piece: int, t: Tokens, levels: np.ndarray) -> pa.RecordBatch:
-        g = grams_of(t, segments)
+    def scored(piece: int, t: Tokens, learns: np.ndarray, levels: np.ndarray) -> pa.RecordBatch:
+        g = grams_of(t, learns, segments)
         level = np.empty(len(levels), np.int64)
         level[g.order] = levels
         counts = count_of(level)
@@ -341,24 +353,24 @@ def filter_scores(states: DataFrame, model: Model, weight: float) -> DataFrame:
         now, tokens, levels = None, None, []
         for batch in batches:
             piece, segment = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, at = bytes_in(batch.column(2))
+            data, at = text_bytes(batch.column(2))
             new = np.ones(len(piece), bool)
             new[1:] = piece[1:] != piece[:-1]
             starts = np.flatnonzero(new)
             for a, b in zip(starts, np.append(starts[1:], len(piece))):
                 if segment[a] < 0:
                     if tokens is not None:
-                        yield scored(now, tokens, np.concatenate(levels))
+                        yield scored(now, *tokens, np.concatenate(levels))
                     now, tokens, levels, a = int(piece[a]), held(data[at[a] : at[a + 1]].tobytes()), [], a + 1
                 levels.append(data[at[a] : at[b]].copy())
         if tokens is not None:
-            yield scored(now, tokens, np.concatenate(levels))
+            yield scored(now, *tokens, np.concatenate(levels))
 
     rows = states.select("piece", F.lit(-1).cast("long").alias("segment"), "blob").union(levels_of(states, model))
     return rows.repartition("piece").sortWithinPartitions("piece", "segment").mapInArrow(finish, "row long, score double")
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", weight: float = 0.6) -> DataFrame:
+def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", weight: float = 0.6, learns: Column | None = None) -> DataFrame:
     """For each row: key, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10 probabilities of the text).
 
     ``score`` mixes the relative frequency of a token after the one before it (``weight``) with its add-one frequency; all
@@ -367,7 +379,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     of all text, are looked up in place; the others leave as (row, token, times) and meet the table of counts in
     one join, where no token is common. The rows are numbered once, in a table in the shared folder, so rows repeated
     with their key keep apart and each has its result. A null or empty text is one end token. An empty table gives an empty table.
+
+    A model without filter gets it on the way, from the rows of ``docs`` for which ``learns`` holds (see :func:`learn_and_score`).
     """
+    if (model.filter is None) != (learns is not None):
+        raise ValueError("learns goes with a model without filter")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.frequent)
     total = model.tokens + model.types + 1
@@ -403,7 +419,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows), pa.nulls(n, pa.string())]
                 + [pa.array(result[c], k) if c in result else pa.nulls(n, k) for c, k in columns.items()]
-                + [pa.array([hold(t)] + [None] * (n - 1), pa.binary())],
+                + [pa.array([hold(t, batch.column(2).to_numpy(zero_copy_only=False))] + [None] * (n - 1), pa.binary())],
                 names=schema.names,
             )
             rest = t.doc[~here] * len(t.hashes) + t.codes[~here]
@@ -416,7 +432,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 names=schema.names,
             )
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    learns = F.lit(False) if learns is None else F.coalesce(learns, F.lit(False))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), learns.alias("learns"))
     scored = written(map_texts(rows, run, schema), "lm-scored")
     rare = scored.filter("token IS NOT NULL").select("row", "token", "times").join(model.counts, "token")
     rare = rare.groupBy("row").agg(
@@ -435,11 +452,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     )
 
 
+def learn_and_score(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text", weight: float = 0.6, **options) -> tuple[DataFrame, Model]:
+    """:func:`score` of all rows by a model of those for which ``learns`` holds, and the model.
+
+    Each piece of text goes to the filter's segments once, to be learnt from and to be scored.
+    """
+    model = train(docs.filter(learns), text, build=False, **options)
+    return score(docs, model, key, text, weight, learns), model
+
+
 @query("op6_lm_score")
 def op6_lm_score(spark, folder):
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    model = train(docs.filter(remainder("doc_id", 7) != 2))
-    found = score(docs, model)
+    found, model = learn_and_score(docs, remainder("doc_id", 7) != 2)
     return found.select(
         "doc_id",
         (remainder("doc_id", 7) == 2).alias("held_out"),
