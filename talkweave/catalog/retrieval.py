@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from ..functions.text import retrieval_query as one_query
 from ..operators import ordered as O
 from ..operators import retrieval as R
+from ..operators import vector_index as V
+from ..session import written
 from .derive import sql_tokens
 from .registry import query
 
@@ -124,16 +126,16 @@ def embed_hashed(t):
 
 
 def _sides(t):
+    """Every fiftieth vector asks, all answer."""
     v = t.embeddings
-    q = v.filter(F.col("vec_id") % 2 == 1).select(F.col("vec_id").alias("query_id"), "embedding")
-    return q, v.filter(F.col("vec_id") % 2 == 0).select("vec_id", "embedding")
+    return v.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), "embedding"), v.select("vec_id", "embedding")
 
 
 def _sql_top(distance):
     return f"""found AS (
     SELECT q.vec_id AS query_id, v.vec_id, {distance} AS d,
            CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance}, v.vec_id) AS INTEGER) AS rank
-    FROM embeddings q JOIN embeddings v ON q.vec_id % 2 = 1 AND v.vec_id % 2 = 0
+    FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0
     QUALIFY rank <= 5)"""
 
 
@@ -143,7 +145,7 @@ _COS = "list_cosine_distance(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS
 
 @query("top_k", f"WITH {_sql_top(_L2)} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found")
 def top_k(t):
-    """Odd vectors ask, even vectors answer; the answers are broadcast if they are few enough."""
+    """Every fiftieth vector against all; the answers are broadcast if they are few enough."""
     return R.top_k(*_sides(t)).withColumn("distance", F.round("distance", 6))
 
 
@@ -163,3 +165,18 @@ def top_k_cosine(t):
 )
 def retrieved_wide(t):
     return R.retrieved_wide(R.top_k(*_sides(t)), "vec_id", 5)
+
+
+@query("indexed_top_k", f"WITH {_sql_top(_L2)} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found")
+def indexed_top_k(t):
+    """As ``top_k`` through the inverted index, all cells probed: the exact way of the index."""
+    asked, vectors = _sides(t)
+    return V.search(V.build_index(vectors, cells=32), asked, probe=32).withColumn("distance", F.round("distance", 6))
+
+
+@query("indexed_search")
+def indexed_search(t):
+    """Through the inverted index, part of the cells probed; each row carries the recall of the whole search against ``top_k``."""
+    asked, vectors = _sides(t)
+    found = written(V.search(V.build_index(vectors, cells=32), asked, probe=20), "index-found")
+    return found.select("*", V.recall(found, R.top_k(asked, vectors)).scalar().alias("recall"))

@@ -53,12 +53,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, kept when an executor is lost.
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, kept when an executor is lost. ``codec`` overrides the session's.
 
     The planner knows the size of what it reads back, so it broadcasts a small table and sorts and
     merges a large one, whose skewed keys adaptive execution splits.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
