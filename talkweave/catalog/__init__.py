@@ -7,6 +7,7 @@ from . import (
     features,
     flows,
     joins,
+    language,
     ordered,
     prompts,
     retrieval,
