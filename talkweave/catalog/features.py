@@ -6,6 +6,7 @@ from ..functions.labels import one_hot as hot
 from ..functions.stopwords import ENGLISH
 from ..functions.text import clean_tokens as clean
 from ..functions.text import normalise_text as normalise
+from ..operators import boosting as B
 from ..operators import features as K
 from ..operators.evaluate import classification_report
 from ..operators.splits import merge_splits, stratified_split
@@ -165,3 +166,42 @@ def feature_importance(t):
         (F.size(ranked) == F.count_distinct("feature")).alias("in_order"),
         ((F.sum("importance") <= 1 + 1e-9) & (F.min("importance") >= 0)).alias("shares"),
     )
+
+
+_CUTS = {
+    "l_quantity": [float(x) for x in range(5, 50, 5)],
+    "l_extendedprice": [10_000.0 * x for x in range(1, 10)],
+    "l_discount": [x / 100 - 0.005 for x in range(1, 11)],
+    "l_tax": [x / 100 - 0.005 for x in range(1, 9)],
+}
+
+
+@query(
+    "boosted_root_splits",
+    f"""WITH cuts(feature, place, cuts) AS (VALUES {', '.join(f"('{c}', {i}, {v})" for i, (c, v) in enumerate(_CUTS.items()))}),
+        c AS (SELECT feature, place, i - 1 AS bin, cuts[i] AS cut FROM (SELECT *, unnest(range(1, len(cuts) + 1)) AS i FROM cuts)),
+        x AS (UNPIVOT (SELECT l_returnflag AS y, {', '.join(f'{c}::DOUBLE AS {c}' for c in _CUTS)} FROM lineitem) ON {', '.join(_CUTS)} INTO NAME feature VALUE v),
+        k AS (SELECT DISTINCT l_returnflag AS class FROM lineitem),
+        n AS (SELECT class, 1.0::DOUBLE / (SELECT count(*) FROM k) AS p FROM k),
+        s AS (SELECT class, feature, place, bin, p * (1 - p) AS w,
+                     sum((v < cut)::INT * (p - (y = class)::INT)) AS gl, sum((v < cut)::INT) * any_value(p * (1 - p)) AS hl,
+                     sum((v >= cut)::INT * (p - (y = class)::INT)) AS gr, sum((v >= cut)::INT) * any_value(p * (1 - p)) AS hr
+              FROM x JOIN c USING (feature), n GROUP BY ALL)
+        SELECT class, feature, CAST(bin AS INTEGER) AS bin,
+               round((gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1)) / 2, 6) AS gain
+        FROM s WHERE hl >= 1 AND hr >= 1
+        QUALIFY row_number() OVER (PARTITION BY class ORDER BY round((gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1)) / 2, 9) DESC, place, bin) = 1""",
+)
+def boosted_root_splits(t):
+    """The first split of each class's first tree over all line items."""
+    model = B.boost(t.lineitem, "l_returnflag", None, list(_CUTS), rounds=1, depth=1, cuts=list(_CUTS.values()))
+    return B.splits_of(model, t.spark).select("class", "feature", "bin", F.round("gain", 6).alias("gain"))
+
+
+@query("softmax_trees")
+def softmax_trees(t):
+    """Test rows with the class that trees boosted on the other rows of the vectors give them."""
+    rows = merge_splits(stratified_split(_parity(t), "vec_id", "label"))
+    model = B.boost(rows.filter("split = 'train'"), "label", "embedding", rounds=3, depth=2)
+    done = B.predict_boosted(model, rows.filter("split = 'test'"), "embedding")
+    return done.select("vec_id", F.col("label").cast("string").alias("label"), "predicted")

@@ -9,6 +9,7 @@ from ..functions.labels import parse_delimited as delimited
 from ..operators import evaluate as E
 from ..operators import scoring as M
 from ..operators import shift as D
+from ..operators import transport as T
 from ..operators.joins import join_on_text
 from .derive import KINDS, PREDS, RUNS_SQL, preds, runs, sql_list
 from .registry import query
@@ -258,3 +259,10 @@ def compare_sets(t):
     a, b = _halves(t)
     done = D.compare_sets(a.withColumn("only_here", F.lit(1)), b, ["label"], "embedding")
     return done.withColumn("distance", F.round("distance", 6))
+
+
+@query("label_transport")
+def label_transport(t):
+    """What each kind of vector of one half gives to each of the other, and the cost of the whole plan."""
+    moved = T.label_transport(*_halves(t), "label", "embedding")
+    return moved.select("*", T.transport_distance(moved).scalar().alias("distance"))
