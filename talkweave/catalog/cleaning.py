@@ -304,3 +304,21 @@ def apply_corrections_ties(t):
     df = t.events.select(F.col("event_type").alias("text"), F.lit("raw").alias("label"))
     fixes = [("view", 1, "seen", "A"), ("view", 2, "looked at", "B"), ("click", 1, "pressed", "C")]
     return R.apply_corrections(df, fixes, "text", "label", ["text"])
+
+
+@query(
+    "apply_correction_table",
+    """WITH fix AS (SELECT DISTINCT split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS prefix FROM documents WHERE text LIKE '% % %'),
+       hit AS (SELECT c.conv_id, c.turn, min(f.prefix) AS p FROM conversations c JOIN fix f ON starts_with(c.text, f.prefix) GROUP BY ALL),
+       one AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY p ORDER BY conv_id, turn) = 1)
+       SELECT conv_id, turn, coalesce(x.t, text) AS text, coalesce(x.l, role) AS role, CAST(coalesce(x.n, 0) AS INTEGER) AS part_no
+       FROM conversations LEFT JOIN one USING (conv_id, turn)
+       LEFT JOIN (VALUES ('first', 'A', 0), ('second', 'B', 1)) AS x(t, l, n) ON one.p IS NOT NULL""",
+)
+def apply_correction_table(t):
+    """As many corrections as documents have different openings of two words."""
+    words = F.split("text", " ")
+    openings = t.documents.filter("text LIKE '% % %'").select(F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("prefix")).distinct()
+    parts = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(x).alias("text"), F.lit(y).alias("label")) for i, (x, y) in enumerate([("first", "A"), ("second", "B")])])
+    fixes = openings.select("prefix", F.lit(0).alias("place"), F.inline(parts))
+    return R.apply_correction_table(t.conversations, fixes, "text", "role", KEYS)

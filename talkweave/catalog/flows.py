@@ -282,7 +282,8 @@ def vote_report(t):
 
 _ASKED = """SELECT conv_id || ':' || turn AS id, coalesce(array_to_string(list(text) OVER (PARTITION BY conv_id ORDER BY turn
                ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), chr(10)) || chr(10), '') || text AS text FROM conversations"""
-_STORY = "SELECT 'story:' || conv_id || ':' || turn || ':0' AS id, text FROM conversations WHERE turn = 0 AND length(text) BETWEEN 1 AND 500"
+_STORY = """SELECT 'story:' || conv_id || ':' || turn || ':' || i AS id, text[i * 470 + 1 : i * 470 + 500] AS text
+            FROM conversations, unnest(range(1 + greatest(length(text) - 31, 0) // 470)) AS u(i) WHERE length(text) > 0"""
 
 
 @query(
@@ -296,10 +297,9 @@ _STORY = "SELECT 'story:' || conv_id || ':' || turn || ':0' AS id, text FROM con
         FROM pairs QUALIFY rank <= 5""",
 )
 def retrieve_context(t):
-    """The five opening messages nearest to each message with its history."""
+    """The five passages of all messages, cut into chunks, nearest to each message with its history."""
     df = t.conversations.withColumn("key", F.concat_ws(":", "conv_id", "turn"))
-    story = t.conversations.filter("turn = 0 AND length(text) BETWEEN 1 AND 500")
-    story = story.select(F.concat_ws(":", F.lit("story"), "conv_id", "turn").alias("doc_id"), "text")
+    story = t.conversations.select(F.concat_ws(":", F.lit("story"), "conv_id", "turn").alias("doc_id"), "text")
     found = coding.retrieve_context(
         df, story, "key", "text", ["turn"], ["conv_id"],
         lambda d, c: retrieval.embed_hashed(d, c, dim=64), recursive=False, block=3,

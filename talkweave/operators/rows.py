@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +49,11 @@ def with_row_id(
     return row_position(df, per, order, block, out).withColumn(out, F.col(out) - 1)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns; maps, which have no hash of their own, as text."""
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in df.dtypes])
+
+
 def drop_tail(
     df: DataFrame, n: int, order: Sequence[str], per: Sequence[str] = ()
 ) -> DataFrame:
@@ -62,7 +67,7 @@ def drop_tail(
     """
     if n <= 0:
         return df
-    at = F.struct(*order, F.xxhash64(*df.columns).alias("__hash"))
+    at = F.struct(*order, row_hash(df).alias("__hash"))
     keyed = df.withColumn("__at", at)
     last = Window.partitionBy(*per).orderBy(F.desc("__at"))
     tail = keyed.select(*per, "__at").withColumn("__back", F.row_number().over(last)).filter(F.col("__back") <= n)
@@ -97,6 +102,7 @@ def split_multilabel(
     change_to: str | None = None,
     mode: str = "change",
     part: str = "part_no",
+    cut: Callable[[Column | str], Column] = sentences,
 ) -> DataFrame:
     """Split rows whose label cell lists several labels separated by commas.
 
@@ -106,7 +112,8 @@ def split_multilabel(
     * otherwise ``change_to`` on one row, or with ``mode='duplicate'`` one row per label with
       the whole message.
 
-    Labels are trimmed before they are compared. Row-local: arrays and one ``inline``, no shuffle.
+    Labels are trimmed before they are compared. ``cut`` makes the sentences; one that knows abbreviations is
+    :func:`talkweave.operators.abbreviations.sentences`. Row-local: arrays and one ``inline``, no shuffle.
     """
     if mode not in ("change", "duplicate"):
         raise ValueError(f"mode {mode!r}")
@@ -116,7 +123,7 @@ def split_multilabel(
     ready = df.withColumns(
         {
             "__labels": F.when(listed, F.transform(F.split(column, ","), strip)),
-            "__pieces": F.when(listed, sentences(message)),
+            "__pieces": F.when(listed, cut(message)),
         }
     )
     labels, pieces = F.col("__labels"), F.col("__pieces")
@@ -179,7 +186,7 @@ def apply_corrections(
         ]
         which = F.when(hit, F.lit(i)).otherwise(which)
         parts = F.when(F.col("__which") == i, F.array(*new)).otherwise(parts)
-    tagged = df.withColumn("__which", which).withColumn("__at", F.struct(*order, F.xxhash64(*df.columns).alias("__hash")))
+    tagged = df.withColumn("__which", which).withColumn("__at", F.struct(*order, row_hash(df).alias("__hash")))
     hit = F.col("__which").isNotNull()
     first = tagged.filter(hit).groupBy("__which").agg(F.min("__at").alias("__first"))
     # at most one row per prefix of the given list, hence safe to broadcast
@@ -197,3 +204,48 @@ def apply_corrections(
         .select(*rest, F.col("__p.t").alias(message), F.col("__p.l").alias(label), part)
         .select(*df.columns, part)
     )
+
+
+def apply_correction_table(
+    df: DataFrame,
+    corrections: DataFrame,
+    message: str,
+    label: str,
+    order: Sequence[str],
+    part: str = "part_no",
+) -> DataFrame:
+    """:func:`apply_corrections` with a table of any size: ``corrections(prefix, place, seq, text, label)``.
+
+    Of several prefixes a message starts with, the one of the smallest ``place`` counts (then the first in the alphabet). Messages are hashed once for each length a prefix has, so
+    prefixes and messages meet in one equi-join, and ``startswith`` confirms; only what orders a row and its message travel for that. The
+    plan does not depend on how many corrections there are. NULL messages and NULL or empty prefixes match nothing.
+    """
+    known = corrections.filter(F.length("prefix") > 0)
+    parts = known.groupBy("prefix").agg(
+        F.min("place").alias("place"),
+        F.transform(F.array_sort(F.collect_list(F.struct("seq", "text", "label"))), lambda p: F.struct(p["text"].alias("t"), p["label"].alias("l"))).alias("__parts"),
+    )
+    sizes = known.agg(F.coalesce(F.collect_set(F.length("prefix")), F.array().cast("array<int>")).alias("s"))
+    keyed = df.withColumn("__at", F.struct(*order, row_hash(df).alias("__hash")))
+    sized = keyed.select("__at", F.col(message).alias("__m")).withColumn("__sizes", sizes.scalar())
+    mine = F.filter("__sizes", lambda n: n <= F.length("__m"))
+    probes = sized.select("__at", "__m", F.explode(mine).alias("__n"))
+    probes = probes.withColumn("__key", F.xxhash64("__n", F.substring(F.col("__m"), F.lit(1), F.col("__n"))))
+    keys = parts.select("prefix", "place", F.xxhash64(F.length("prefix"), "prefix").alias("__key"))
+    hits = probes.join(keys, "__key").filter(F.col("__m").startswith(F.col("prefix")))
+    taken = hits.groupBy("__at").agg(F.min(F.struct("place", "prefix")).alias("p")).select("__at", F.col("p.prefix").alias("prefix"))
+    first = taken.groupBy("prefix").agg(F.min("__at").alias("__first")).join(parts.select("prefix", "__parts"), "prefix").drop("prefix")
+    met = keyed.join(first, F.col("__at") == F.col("__first"), "left")
+    rest = [c for c in df.columns if c not in (message, label)]
+    unit = F.array(F.struct(F.col(message).alias("t"), F.col(label).alias("l")))
+    untouched = met.filter(F.col("__parts").isNull()).select(*df.columns, unit.alias("__p"))
+    # rows alike in every column: one is replaced, the others are given back as often as they stood
+    alike = met.filter(F.col("__parts").isNotNull()).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"), F.first("__parts").alias("__new"))
+    replaced = alike.select(*df.columns, F.col("__new").alias("__p"))
+    again = alike.filter("__n > 1").withColumn("__i", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("__n"))))
+    rows = untouched.unionByName(replaced).unionByName(again.select(*df.columns, unit.alias("__p")))
+    return (
+        rows.select(*rest, F.posexplode("__p").alias(part, "__q"))
+        .select(*rest, F.col("__q.t").alias(message), F.col("__q.l").alias(label), part)
+        .select(*df.columns, part)
+    )
