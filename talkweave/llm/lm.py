@@ -277,7 +277,7 @@ def build_filter(docs: DataFrame, text: str, segments: int) -> DataFrame:
     return written(packed.repartition("segment").sortWithinPartitions("segment").mapInArrow(fill, "segment long, bits binary"), "lm-filter")
 
 
-def train(docs: DataFrame, text: str = "text", frequent: int = 200_000, per_segment: int = 500_000, build: bool = True) -> Model:
+def train(docs: DataFrame, text: str = "text", frequent: int = 400_000, per_segment: int = 500_000, build: bool = True) -> Model:
     """Exact token counts as a table, and, unless it is to be made while scoring, the filter. ``frequent`` bounds how many tokens every worker holds with their count.
 
     There are as many segments as give each about ``per_segment`` occurrences: a segment's work does not grow with the corpus. Null texts are empty ones. An empty table gives a model that has seen nothing.
@@ -374,7 +374,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """For each row: key, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10 probabilities of the text).
 
     ``score`` mixes the relative frequency of a token after the one before it (``weight``) with its add-one frequency; all
-    counts in it come from the filter: pieces of about 3 MB of text are kept as word numbers and hashes, their distinct n-grams
+    counts in it come from the filter: pieces of about 4 MB of text are kept as word numbers and hashes, their distinct n-grams
     meet the segments of the filter in Spark, and the levels come back to the piece. ``base_score`` needs the exact count of every token. Frequent tokens, which make up most
     of all text, are looked up in place; the others leave as (row, token, times) and meet the table of counts in
     one join, where no token is common. The rows are numbered once, in a table in the shared folder, so rows repeated
@@ -404,7 +404,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         frequent = shared.value
         names, exact = pa.array(frequent["token"], pa.string()), frequent["c"].to_numpy(np.int64)
         row = TaskContext.get().partitionId() << 40
-        for batch in pieces(batches, 1, 3_000_000):
+        for batch in pieces(batches, 1, 4_000_000):
             t = tokens_of(batch.column(1))
             n = len(t.counts)
             distinct = pa.concat_arrays([t.words, pa.array([""], pa.string())])
@@ -434,7 +434,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     learns = F.lit(False) if learns is None else F.coalesce(learns, F.lit(False))
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), learns.alias("learns"))
-    scored = written(map_texts(rows, run, schema), "lm-scored")
+    scored = written(map_texts(rows, run, schema), "lm-scored", "zstd")
     rare = scored.filter("token IS NOT NULL").select("row", "token", "times").join(model.counts, "token")
     rare = rare.groupBy("row").agg(
         F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more")

@@ -415,6 +415,18 @@ def test_filter_grows_with_the_ngrams(spark):
     assert sum(scores.values()) == pytest.approx(sum(want.values()), rel=2e-3)
 
 
+def test_learning_while_scoring_gives_the_same(odd, none):
+    learns = F.col("text").isNotNull() & (F.col("size") == 1) & (F.coalesce("doc_id", F.lit(1)) % 3 != 0)
+    found, model = lm.learn_and_score(odd, learns, frequent=3, per_segment=500)
+    apart = lm.score(odd, lm.train(odd.filter(learns), frequent=3, per_segment=500))
+    key = lambda r: (str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
+    assert sorted(map(key, found.collect())) == sorted(map(key, apart.collect()))
+    assert model.filter is None and found.count() == len(rows())
+    assert lm.learn_and_score(none, learns)[0].count() == 0
+    with pytest.raises(ValueError):
+        lm.score(odd, model)
+
+
 def test_pem_with_headers_or_escaped_lines():
     text = base64.b64encode(rsa_key()).decode()
     lines = [text[i : i + 64] for i in range(0, len(text), 64)]
