@@ -2,8 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.text import length_bucket
 from ..operators import abbreviations as A
 from ..operators import spelling as S
+from ..operators import stemming as ST
+from ..operators import word_pieces as WP
+from ..session import written
 from .registry import query
 
 _ASCII = "[a-z]+"
@@ -62,3 +66,16 @@ def learnt_sentences(t):
     """Sentences of all documents, cut with the abbreviations learnt from them."""
     known = A.learn_abbreviations(t.documents, "text")
     return t.documents.select("doc_id", F.posexplode(A.sentences("text", known)).alias("sentence_no", "sentence"))
+
+
+@query("stemmed_counts")
+def stemmed_counts(t):
+    """Stems of all words of the documents, with how many words and occurrences each stands for."""
+    return ST.stemmed_counts(t.documents, "text")
+
+
+@query("piece_lengths")
+def piece_lengths(t):
+    """How many word pieces each document has, and its length bucket, by pieces common in the documents."""
+    pieces = written(WP.common_pieces(t.documents, "text"), "pieces")
+    return WP.piece_lengths(t.documents, "doc_id", "text", pieces).withColumn("bucket", length_bucket("n_pieces"))

@@ -7,6 +7,7 @@ from ..functions.labels import argmax_label as argmax
 from ..functions.labels import find_first as first_named
 from ..functions.labels import parse_delimited as delimited
 from ..operators import evaluate as E
+from ..operators import rater_weights as W
 from ..operators import scoring as M
 from ..operators import shift as D
 from ..operators import transport as T
@@ -266,3 +267,11 @@ def label_transport(t):
     """What each kind of vector of one half gives to each of the other, and the cost of the whole plan."""
     moved = T.label_transport(*_halves(t), "label", "embedding")
     return moved.select("*", T.transport_distance(moved).scalar().alias("distance"))
+
+
+@query("learned_votes")
+def learned_votes(t):
+    """Each event's class by votes weighted with what the runs seem to get right, and how likely it is."""
+    found = preds(t)
+    model = W.rater_model(found, "event_id", "run_id", "label")
+    return W.weighted_vote(found, model, "event_id", "run_id", "label").withColumn("share", F.round("share", 6))

@@ -116,9 +116,8 @@ ENTITY_NAMES = {f"&{name};": chr(point) for name, point in (*name2codepoint.item
 def _unescape(c: Column) -> Column:
     """Character references decoded once, left to right; unknown names stay as they are.
 
-    Numbers that are no characters become U+FFFD.
+    Numbers that are no characters become U+FFFD. ``c`` is named once, as the only element of an array: what it says is computed once for all uses.
     """
-    found = F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0))
     names = F.create_map(*[F.lit(x) for pair in ENTITY_NAMES.items() for x in pair])
 
     def decoded(entity: Column) -> Column:
@@ -128,8 +127,10 @@ def _unescape(c: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(real, point).otherwise(0xFFFD)), 8, "0")), "UTF-32")
         return F.when(entity.startswith("&#"), char).otherwise(F.coalesce(F.try_element_at(names, entity), entity))
 
-    parts = F.arrays_zip(F.split(c, ENTITY, -1).alias("gap"), found.alias("entity"))
-    joined = F.array_join(
-        F.transform(parts, lambda p: F.concat(p["gap"], F.when(p["entity"].isNull(), "").otherwise(decoded(p["entity"])))), ""
-    )
-    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
+    def joined(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+        parts = F.arrays_zip(F.split(text, ENTITY, -1).alias("gap"), found.alias("entity"))
+        pieces = F.transform(parts, lambda p: F.concat(p["gap"], F.when(p["entity"].isNull(), "").otherwise(decoded(p["entity"]))))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+    return F.get(F.transform(F.array(c), joined), F.lit(0))

@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 
 BLOCK, HALO, CARRY = "__block", "__halo", "__carry"
 AUTO = "auto"
-SPLITS, STEP = 1024, 32
+#: boundaries, rows of a sample for them, and rows of a block from which there are more
+SPLITS, SAMPLE, BLOCK_ROWS = 1024, 65_536, 1_000_000
+PLAIN = {"bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz"}
 Block = Column | float | str | None
 
 
@@ -46,33 +48,32 @@ def order_block(df: DataFrame, order: str, width: float) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def order_number(df: DataFrame, order: str) -> Column:
-    """A number that never decreases with the order column: times by microseconds, texts by their first seven bytes."""
-    kind, c = df.schema[order].dataType, F.col(order)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("bigint")
-    if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(c), 1, 14), 14, "0"), 16, 10).cast("bigint")
-    return c
-
-
-def add_quantile_block(df: DataFrame, order: str) -> DataFrame:
-    """As block, how many of ``SPLITS`` - 1 approximate quantiles of the order column a row has reached.
+def add_quantile_block(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """As block, how many boundaries a row has reached in the whole ``order``, compared as one value.
 
-    The quantiles are of all rows, so whatever group holds most rows is cut most finely, bursts in time too, and there are
-    never more than ``SPLITS`` blocks however sparse the values are. One aggregation to a single small row; a row is
-    placed by two short searches. Values that are equal (texts with seven equal bytes) stay in one block.
+    The boundaries are quantiles of a sample of ``SAMPLE`` rows: those with the smallest hash of order and other plain columns, so a task that
+    runs again draws the same. There are ``SPLITS`` of them, or one for each ``BLOCK_ROWS`` rows if that is more; the number of rows follows from how small
+    the sample's hashes are. Texts, common beginnings and coarse first columns are cut like numbers: only rows with
+    equal order stay together. One top-k to a single small row; a row is placed by two short searches.
     """
-    number = order_number(df, order)
-    shares = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
-    points = df.agg(F.percentile_approx(number, shares, F.lit(10_000)).alias("b"))
-    points = points.select(F.struct(F.filter("b", lambda _, i: i % STEP == STEP - 1).alias("few"), F.col("b").alias("all")).alias("s"))
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    plain = [c for c, kind in df.dtypes if kind in PLAIN and c not in order]
+    luck = F.xxhash64(*order, *plain)
+    drawn = df.select(key.alias("k"), luck.alias("luck")).orderBy("luck").limit(SAMPLE)
+    held = drawn.agg(F.array_sort(F.collect_list("k")).alias("k"), F.count(F.lit(1)).alias("n"), F.max("luck").alias("top"))
+    reached_share = (F.col("top").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    rows = F.when(F.col("n") < SAMPLE, F.col("n")).otherwise(F.col("n") / F.greatest(reached_share, F.lit(1e-18)))
+    wanted = F.least(F.size("k"), F.greatest(F.lit(SPLITS), F.ceil(rows / BLOCK_ROWS))).cast("int")
+    held = held.select("k", wanted.alias("n"))
+    at = lambda i: F.get("k", F.floor(i * F.size("k") / F.col("n")).cast("int"))
+    held = held.select(F.when(F.col("n") > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("n") - 1), at))).alias("all"))
+    step = F.ceil(F.sqrt(F.size("all").cast("double"))).cast("int")
+    held = held.withColumn("step", step)
+    points = held.select(F.struct(F.filter("all", lambda _, i: i % F.col("step") == F.col("step") - 1).alias("few"), "all", "step").alias("s"))
     found = F.col("__points")  # a column of its own: no subquery may stand inside a lambda
-    reached = STEP * F.size(F.filter(found["few"], lambda b: b <= number))
-    rest = F.size(F.filter(F.slice(found["all"], reached + 1, F.lit(STEP)), lambda b: b <= number))
-    block = F.coalesce(reached + rest, F.lit(0)).cast("bigint")
+    reached = found["step"] * F.size(F.filter(found["few"], lambda b: b <= key))
+    rest = F.size(F.filter(F.slice(found["all"], reached + 1, found["step"]), lambda b: b <= key))
+    block = F.coalesce(F.when(found["all"].isNotNull(), reached + rest), F.lit(0)).cast("bigint")
     return df.withColumn("__points", points.scalar()).withColumn(BLOCK, block).drop("__points")
 
 
@@ -82,7 +83,7 @@ def add_block(df: DataFrame, order: Sequence[str], block: Block) -> DataFrame:
     if isinstance(block, str):
         if block != AUTO:
             raise ValueError(f"block {block!r}")
-        return add_quantile_block(df, order[0])
+        return add_quantile_block(df, order)
     if isinstance(block, (int, float)):
         block = order_block(df, order[0], block)
     return df.withColumn(BLOCK, block)

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from talkweave.functions.labels import find_first
 from talkweave.functions.text import sentences as plain_sentences
+from talkweave.functions.text import tokens
 from talkweave.operators import abbreviations as A
 from talkweave.operators import rows as R
 from talkweave.operators import spelling as S
+from talkweave.operators import stemming as ST
+from talkweave.operators import word_pieces as WP
 
 
 def distance(a, b):
@@ -120,3 +123,107 @@ def test_correction_table_equals_the_list(spark):
 def test_rows_with_maps(spark):
     df = spark.createDataFrame([(i, {"a": str(i)}) for i in range(6)], "at int, m map<string, string>")
     assert sorted(r.at for r in R.drop_tail(df, 2, ["at"]).collect()) == [0, 1, 2, 3]
+
+
+def plain_stem(word):
+    """The cascade one word at a time."""
+    if not re.fullmatch("[a-z]{3,}", word):
+        return word
+
+    def vowel(w, i):
+        return w[i] in "aeiou" or (w[i] == "y" and i > 0 and w[i - 1] not in "aeiou")
+
+    def kinds(w):
+        # a y after a consonant is a vowel, by letters alone
+        return "".join("V" if vowel(w, i) else "C" for i in range(len(w)))
+
+    def m(w):
+        return len(re.findall("V+C", kinds(w)))
+
+    has = lambda w: "V" in kinds(w)
+
+    def short(w):
+        return len(w) > 2 and kinds(w)[-3:-1] == "CV" and w[-3] not in "aeiou" and w[-1] not in "aeiouwxy"
+
+    def rules(w, table, ok):
+        for suffix, new in sorted(table, key=lambda r: -len(r[0])):
+            if w.endswith(suffix):
+                s = w[: len(w) - len(suffix)]
+                return s + new if ok(s, suffix) else w
+        return w
+
+    w = rules(word, ST.PLURALS, lambda s, x: True)
+    fix = False
+    if w.endswith("eed"):
+        w = w[:-1] if m(w[:-3]) > 0 else w
+    elif w.endswith("ed") and has(w[:-2]):
+        w, fix = w[:-2], True
+    elif w.endswith("ing") and has(w[:-3]):
+        w, fix = w[:-3], True
+    if fix:
+        if w.endswith(("at", "bl", "iz")):
+            w += "e"
+        elif re.search(r"([^aeioulsz])\1$", w):
+            w = w[:-1]
+        elif m(w) == 1 and short(w):
+            w += "e"
+    if w.endswith("y") and has(w[:-1]):
+        w = w[:-1] + "i"
+    w = rules(w, ST.DOUBLE, lambda s, x: m(s) > 0)
+    w = rules(w, ST.SINGLE, lambda s, x: m(s) > 0)
+    w = rules(w, [(x, "") for x in ST.LAST], lambda s, x: m(s) > 1 and (x != "ion" or s[-1:] in ("s", "t")))
+    if w.endswith("e") and (m(w[:-1]) > 1 or (m(w[:-1]) == 1 and not short(w[:-1]))):
+        w = w[:-1]
+    if w.endswith("ll") and m(w[:-1]) > 1:
+        w = w[:-1]
+    return w
+
+
+def test_stems_equal_plain_python(spark):
+    texts = [r[0] or "" for r in duckdb.sql(f"SELECT text FROM '{DATA / 'sf0.001' / 'documents.parquet'}'").fetchall()]
+    words = {w for t in texts for w in re.findall("[a-z]+", t.lower())}
+    known = "caresses ponies ties cats feed agreed plastered motoring sing conflated hopping falling hissing filing happy sky relational rational digitizer operator feudalism decisiveness formaliti triplicate formative electrical hopeful goodness revival allowance inference airliner adjustable replacement adoption communism effective probate rate cease controll roll yes yyy saying discussions dialogic deliberately".split()
+    words |= set(known) | {"Étage", "", "ab", "x1y"}
+    got = {r.word: r.stem for r in ST.stems(column(spark, [*words, None])).collect()}
+    want = {w: plain_stem(w) for w in words}
+    assert got == want and len(words) > 2_000
+    assert [got[w] for w in ("caresses", "ponies", "motoring", "hopping", "relational", "discussions", "adjustable", "happy")] == ["caress", "poni", "motor", "hop", "relat", "discuss", "adjust", "happi"]
+    counts = ST.stemmed_counts(spark.createDataFrame([("He discussed discussions.",), ("Discuss, discuss!",), (None,)], "text string"), "text")
+    assert {tuple(r) for r in counts.collect()} == {("he", 1, 1), ("discuss", 3, 4)}
+
+
+def test_pieces_equal_greedy_matching(spark):
+    rng = random.Random(7)
+    pieces = {"un", "##aff", "##able", "a", "##b", "##a", "b", "ab", "##bab", "字", "un##", "x" * 30, "c" * 20}
+    words = {"unaffable", "unaffablex", "字", "", "c" * 20, "c" * 21, "x" * 30} | {"".join(rng.choice("abu") for _ in range(rng.randrange(1, 9))) for _ in range(200)}
+
+    def cut(word):
+        at, out = 0, []
+        while at < len(word):
+            fits = [n for n in range(min(20, len(word) - at), 0, -1) if ("##" if at else "") + word[at : at + n] in pieces]
+            if not fits:
+                return ["[UNK]"], False
+            out.append(("##" if at else "") + word[at : at + fits[0]])
+            at += fits[0]
+        return out, True
+
+    table = spark.createDataFrame([(p,) for p in [*pieces, None, "a"]], "piece string")
+    got = {r.word: (r.pieces, r.known) for r in WP.pieces_of(column(spark, [*words, None, "ab"]), table).collect()}
+    assert got == {w: cut(w) for w in words if w}
+    df = spark.createDataFrame([(1, "ab AB zz"), (2, None), (3, ""), (4, "unaffable")], "id int, text string")
+    assert {tuple(r) for r in WP.piece_lengths(df, "id", "text", table).collect()} == {(1, 3), (2, 0), (3, 0), (4, 3)}
+
+
+def test_every_document_word_has_pieces(spark):
+    docs = spark.read.parquet(str(DATA / "sf0.001" / "documents.parquet"))
+    pieces = {r[0] for r in WP.common_pieces(docs, "text").collect()}
+    words = {r[0] for r in docs.select(F.explode(tokens(F.lower("text")))).collect()}
+    table = spark.createDataFrame([(p,) for p in pieces], "piece string")
+    got = {r.word: r.pieces for r in WP.pieces_of(column(spark, words), table).collect()}
+    for w in words:
+        at, out = 0, []
+        while at < len(w):
+            n = next(n for n in range(min(20, len(w) - at), 0, -1) if ("##" if at else "") + w[at : at + n] in pieces)
+            out.append(("##" if at else "") + w[at : at + n])
+            at += n
+        assert got[w] == out

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkweave.operators import boosting as B
+from talkweave.operators import rater_weights as W
 from talkweave.operators import transport as T
 
 
@@ -141,3 +142,61 @@ def test_transport_equals_numpy(spark):
     assert T.label_transport(frame(a).limit(0), frame(b), "kind", "v").count() == 0
     same = T.label_transport(frame(a), frame(a), "kind", "v", 0.01)
     assert same.filter("label_a = label_b").agg(F.max("cost")).first()[0] < 1e-6
+
+
+def rated(n=400, seed=11):
+    """Rows of a hidden class, five raters of different care, some votes missing."""
+    rng = np.random.default_rng(seed)
+    classes, care = ["a", "b", "c"], [0.95, 0.9, 0.5, 0.4, 0.35]
+    rows, truth = [], {}
+    for k in range(n):
+        truth[k] = classes[rng.choice(3, p=[0.5, 0.3, 0.2])]
+        for r, p in enumerate(care):
+            if rng.random() > 0.1:
+                rows.append((k, f"r{r}", truth[k] if rng.random() < p else classes[rng.integers(3)]))
+    return rows, truth
+
+
+def plain_raters(rows, rounds, smooth=0.01):
+    keys, raters, classes = (sorted({r[i] for r in rows}) for i in range(3))
+    votes = {k: [] for k in keys}
+    for k, r, c in rows:
+        votes[k].append((raters.index(r), classes.index(c)))
+    own = {k: np.bincount([c for _, c in v], minlength=len(classes)) / len(v) for k, v in votes.items()}
+    for turn in range(rounds):
+        shares = sum(own.values()) / len(keys)
+        confusion = np.full((len(classes), len(raters), len(classes)), smooth)
+        for k, v in votes.items():
+            for r, c in v:
+                confusion[:, r, c] += own[k]
+        confusion /= confusion.sum(axis=2, keepdims=True)
+        chances = {k: shares * np.prod([confusion[:, r, c] for r, c in v], axis=0) for k, v in votes.items()}
+        own = {k: p / p.sum() for k, p in chances.items()}
+    return shares, confusion, {k: classes[int(np.argmax(np.round(np.log(p), 9)))] for k, p in own.items()}, own
+
+
+def test_rater_weights_equal_numpy(spark):
+    rows, truth = rated()
+    df = spark.createDataFrame([*rows, (1, "r9", None), (9_999, "r1", None)], "key int, rater string, label string").repartition(5)
+    model = W.rater_model(df, rounds=6, close=0.0)
+    shares, confusion, voted, own = plain_raters(rows, 6)
+    assert model[2] == ["a", "b", "c"] and model[3] == 6
+    assert model[0]["share"].to_numpy() == pytest.approx(shares, rel=1e-6)
+    assert model[1]["share"].to_numpy() == pytest.approx(confusion.ravel(), rel=1e-6)
+    got = {r.key: (r.label, r.share) for r in W.weighted_vote(df, model).collect()}
+    assert {k: v[0] for k, v in got.items()} == voted
+    assert all(got[k][1] == pytest.approx(own[k].max(), rel=1e-6) for k in got)
+    settled = W.rater_model(df)
+    assert 2 < settled[3] < 100
+    learnt = {r.key: r.label for r in W.weighted_vote(df, settled).collect()}
+    assert sum(learnt[k] == c for k, c in truth.items()) > 0.9 * len(truth)
+    with pytest.raises(ValueError):
+        W.rater_model(df.filter("label IS NULL"))
+
+
+def test_raters_alike_give_the_majority(spark):
+    rows = [(k, f"r{r}", "x" if (k + r) % 3 else "y") for k in range(30) for r in range(3)]
+    df = spark.createDataFrame(rows, "key int, rater string, label string")
+    model = W.rater_model(df, rounds=1)
+    got = {r.key: r.label for r in W.weighted_vote(df, model).collect()}
+    assert set(got.values()) == {"x"} and len(got) == 30
