@@ -133,12 +133,14 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 29, block_rows: int = 50
 
 @query("op2_sharding")
 def op2_sharding(spark, folder):
-    text = F.col("text")
-    light = load(spark, folder, "documents").select(
+    done = shard(load(spark, folder, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return done.select(
         "doc_id",
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-    )
-    return shard(light).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
