@@ -86,14 +86,19 @@ def mix_copies(
     return joined.withColumn("copies", copies)
 
 
+def emitted(taken: DataFrame, dropped: bool = False) -> DataFrame:
+    """Each row of ``taken`` ``copies`` times, with ``mix_copy`` from 1; with ``dropped`` also, once and with a NULL there, those that are taken 0 times."""
+    numbers = F.when(F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return taken.withColumn("mix_copy", F.explode_outer(numbers) if dropped else F.explode(numbers))
+
+
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as :func:`mix_copies` takes it, with all of ``docs``' own columns."""
     # by number: no column of ``docs`` meets one of mix_copies' own
     names = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
     own = [names[c.lower()] for c in (key, source, text)]
-    taken = mix_copies(docs.toDF(*names.values()), key=own[0], source=own[1], text=own[2], **options).filter("copies > 0")
-    out = taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(*names.values()).toDF(*docs.columns)
+    taken = mix_copies(docs.toDF(*names.values()), key=own[0], source=own[1], text=own[2], **options)
+    return emitted(taken).select(*names.values()).toDF(*docs.columns)
 
 
 @query(
@@ -116,6 +121,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 )
 def op1_mixing(spark, folder):
     docs = load(spark, folder, "documents").select("doc_id", "source", "text")
-    return mix_copies(docs).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
-    )
+    copies = emitted(mix_copies(docs).withColumn("row", F.monotonically_increasing_id()), dropped=True)
+    words = F.when(F.col("mix_copy").isNull(), 0).otherwise(word_count(F.col("text"))).alias("words")
+    kept = ["doc_id", "size", "source_size", "target"]
+    done = copies.select("row", *kept, words).groupBy("row", *kept).agg(F.sum("words").alias("taken"))
+    return done.select(*kept, "taken")
