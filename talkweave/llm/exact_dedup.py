@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK, load, written
+from .common import BLANK, fresh, load, written
 from .registry import query
 
 
@@ -30,41 +30,55 @@ def exact_groups(
 ) -> DataFrame:
     """For each row: key, keep_key, group_size, kept and the digest of its normalised text.
 
-    Rows meet by the 128-bit ``content_hash`` (with the digest, which the result carries anyway). Only
-    hashes, lengths and keys travel for that; counts and the best row combine before the shuffle, so a
-    group of any size is one row there. The bytes are compared by grouping (hash, normalised
-    text): copies collapse where they are read and each text moves once; should two texts
-    ever share both digests, the job fails instead of dropping one. Of a group the row with the most code points
-    in its original text stays, then the smallest key.
+    Rows meet by the 128-bit ``content_hash``; only hashes, lengths and keys travel for that, and counts and the
+    best row combine before the shuffle, so a group of any size is one row there. The bytes are compared by grouping
+    (hash, normalised text): copies collapse where they are read and each text moves once. Texts that share a hash get a number each, and rows meet by
+    hash and number; usually there are none. Of a group the row with the most code points
+    in its original text stays, then the smallest key, then the row that stands first in the table.
 
-    A null text is an empty one. A null key sorts before all others. Rows repeated with their key count in
-    ``group_size`` and are alike in every column, so all of them carry ``kept``. An empty table gives an empty table.
+    A null text is an empty one. A null key sorts before all others. Rows repeated with their key, or without one, are rows of their own: they count in
+    ``group_size``, and one row of a group is ``kept``. An empty table gives an empty table.
     """
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = rows.select("key", F.length(F.coalesce("text", F.lit(""))).alias("n"), normalise(F.col("text")).alias("norm"))
-    hashed = rows.select("key", "n", "norm", content_hash(F.col("norm")).alias("h"), digest(F.col("norm")).alias("sha"))
-    light = written(hashed.select("key", "n", "h", "sha"), "exact-keys")
-    groups = light.groupBy("h", "sha").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("n")).alias("n"), F.col("key"))).alias("best")
+    done = _decided(docs.withColumn("exact_row", F.monotonically_increasing_id()), "exact_row", key, text, normalise, content_hash, digest)
+    return done.select(F.col("key").alias(key), "keep_key", "group_size", "kept", "digest")
+
+
+def _decided(rows: DataFrame, row: str, key: str, text: str, normalise: Callable, content_hash: Callable, digest: Callable) -> DataFrame:
+    """(row, key, keep_key, group_size, kept, digest) of numbered rows."""
+    rows = rows.select(F.col(f"`{row}`").alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    rows = rows.select("row", "key", F.length(F.coalesce("text", F.lit(""))).alias("n"), normalise(F.col("text")).alias("norm"))
+    hashed = rows.withColumn("h", content_hash(F.col("norm")))
+    texts = hashed.select("h", "norm").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("texts"))
+    shared = written(texts.filter("texts > 1").select("h"), "exact-shared")
+    some = hashed.join(shared, "h").select("h", "norm").distinct()
+    nth = some.withColumn("nth", F.row_number().over(Window.partitionBy("h").orderBy("norm")))
+    nth = written(nth, "exact-collisions")
+    told = hashed.join(nth, ["h", "norm"], "left").withColumn("nth", F.coalesce("nth", F.lit(0)))
+    light = written(told.select("row", "key", "n", "h", "nth", digest(F.col("norm")).alias("sha")), "exact-keys")
+    groups = light.groupBy("h", "nth").agg(
+        F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("n")).alias("n"), F.col("key"), F.col("row"))).alias("best")
     )
-    texts = hashed.select("h", "sha", "norm").distinct().groupBy("h", "sha").agg(F.count(F.lit(1)).alias("texts"))
-    proven = F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share both digests")).cast("long")).otherwise(F.col("size"))
-    groups = groups.filter("size > 1").join(texts, ["h", "sha"]).select("h", "sha", proven.alias("size"), F.col("best.key").alias("best"))
-    groups = written(groups, "exact-groups")
-    keep = F.when(F.col("size").isNull(), F.col("key")).otherwise(F.col("best"))
-    return light.join(groups, ["h", "sha"], "left").select(
-        F.col("key").alias(key),
-        keep.alias("keep_key"),
+    groups = written(groups.filter("size > 1").select("h", "nth", "size", "best.key", "best.row").toDF("h", "nth", "size", "best", "best_row"), "exact-groups")
+    alone = F.col("size").isNull()
+    return light.join(groups, ["h", "nth"], "left").select(
+        "row",
+        "key",
+        F.when(alone, F.col("key")).otherwise(F.col("best")).alias("keep_key"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("key").eqNullSafe(keep).alias("kept"),
+        (alone | (F.col("row") == F.col("best_row"))).alias("kept"),
         F.col("sha").alias("digest"),
     )
 
 
 def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row for each normalised text. Keys are taken to be unique; rows repeated with their key stay together."""
-    kept = exact_groups(docs, key, text).filter("kept").select(F.col(key).alias("kept_key")).distinct()
-    return docs.join(kept, F.col(f"`{key}`").eqNullSafe(F.col("kept_key")), "left_semi")
+    """``docs`` with one row for each normalised text, whatever its key.
+
+    The rows are numbered in a table in the shared folder, and the decisions meet them by number.
+    """
+    (row,) = fresh(docs, "exact_row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "exact-rows")
+    kept = _decided(numbered, row, key, text, squeeze, F.md5, sha256).filter("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @query(

@@ -303,8 +303,20 @@ def test_exact(odd, none):
 def test_exact_with_colliding_hashes(odd):
     weak = exact_dedup.exact_groups(odd, content_hash=lambda c: F.lit("same"))
     assert sorted(map(str, weak.collect())) == sorted(map(str, exact_dedup.exact_groups(odd).collect()))
-    with pytest.raises(Exception, match="share both digests"):
-        exact_dedup.exact_groups(odd, content_hash=lambda c: F.lit("h"), digest=lambda c: F.lit("d")).collect()
+    bare = lambda d: sorted(map(str, d.drop("digest").collect()))
+    blind = exact_dedup.exact_groups(odd, content_hash=lambda c: F.lit("h"), digest=lambda c: F.lit("d"))
+    assert bare(blind) == bare(exact_dedup.exact_groups(odd))
+
+
+def test_exact_with_null_and_repeated_keys(spark):
+    data = [(1, "alpha beta"), (1, "alpha  beta"), (None, "u"), (None, "u"), (None, "v"), (2, "v "), (2, "w"), (2, "w")]
+    df = spark.createDataFrame(data, "`Doc id` int, text string").repartition(3)
+    for kind in (F.md5, lambda c: F.lit("same")):
+        got = [(r["Doc id"], r.keep_key, r.group_size, r.kept) for r in exact_dedup.exact_groups(df, "Doc id", content_hash=kind).collect()]
+        want = [(1, 1, 2, True), (1, 1, 2, False), (None, None, 2, True), (None, None, 2, False), (None, 2, 2, False), (2, 2, 2, True), (2, 2, 2, True), (2, 2, 2, False)]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    kept = [(r["Doc id"], r.text) for r in exact_dedup.drop_exact(df, "Doc id").collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, "alpha  beta"), (None, "u"), (2, "v "), (2, "w")]))
 
 
 def test_simhash(odd, none):
