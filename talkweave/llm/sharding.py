@@ -76,17 +76,17 @@ def even_parts(total: int, parts: int) -> np.ndarray:
     return np.full(parts, total // parts, dtype=np.int64) + (np.arange(parts) < total % parts)
 
 
-def shard(docs: DataFrame, shards: int = 8, seed: int = 29, block_rows: int = 50_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, seed: int = 29, block_rows: int = 50_000, block_bytes: int = 32_000_000) -> DataFrame:
     """``docs`` in uniformly random order: ``shard`` (0 to ``shards`` - 1, sizes at most one apart) and ``slot`` (gapless from 0).
 
     First each partition permutes its rows by a random number and numbers them; this is written to the shared
     folder, so what follows does not change when a task runs again. Then the communication matrix
     says how many rows each partition sends to each block of a shard: a multivariate hypergeometric
     draw whose row sums are the partitions' counts and whose column sums are the blocks' sizes. The n-th
-    row of a partition goes where the n-th place of its matrix row is. Blocks (at most ``block_rows`` rows) are permuted
+    row of a partition goes where the n-th place of its matrix row is. Blocks (at most ``block_rows`` rows, and as many as make about ``block_bytes`` of texts) are permuted
     again, and a row's slot is its block's first slot plus its rank. Blocks keep every task bounded however large a shard.
 
-    Only the partitions' row counts go to the driver, one number per partition. Rows that are equal, null or empty
+    Only the partitions' row counts and sizes go to the driver, two numbers per partition. Rows that are equal, null or empty
     are rows like others; columns of ``docs`` called shard or slot (in any case) are replaced. An empty table gives an empty table.
     The order depends on how the input is partitioned; with the same partitions it is the same again.
     """
@@ -97,9 +97,12 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 29, block_rows: int = 50
     mixed = docs.withColumn(luck, F.rand(seed)).sortWithinPartitions(luck).drop(luck)
     pinned = written(mixed.withColumn(place, F.monotonically_increasing_id()), "shard-local")
     parted = pinned.withColumn(part, F.shiftright(place, 33)).withColumn(rank, F.col(place).bitwiseAND((1 << 33) - 1))
-    counts = parted.groupBy(part).agg(F.count(F.lit(1)).alias("n")).orderBy(part).toPandas()
+    texts = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)).cast("long") for c, kind in docs.dtypes if kind in ("string", "binary")]
+    width = sum(texts, F.lit(32).cast("long"))
+    counts = parted.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).orderBy(part).toPandas()
     ids, rows = counts[part].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
     sizes = even_parts(int(rows.sum()), shards)
+    block_rows = max(1, min(block_rows, int(block_bytes * rows.sum() / max(1, counts["bytes"].sum()))))
     blocks = [even_parts(int(n), max(1, -(-int(n) // block_rows))) for n in sizes]
     columns = np.concatenate(blocks)
     owners = np.repeat(np.arange(shards), [len(b) for b in blocks])
