@@ -64,13 +64,13 @@ def mix_copies(
     """``docs`` with ``size``, ``source_size``, ``target``, ``rate`` and ``copies`` (how often the mix takes each row).
 
     Sources in code point order, null last, take ``weights`` in turn. A row is taken floor(rate) times, and once more
-    with a probability equal to the fraction, drawn by its key. Words are summed per task before they are shuffled, so a
+    with a probability equal to the fraction, drawn by its key and text. Words are summed per task before they are shuffled, so a
     source that holds most rows is one row per task. The totals, one row per source, are a small table in the
     shared folder: documents are joined where they are read, or by a sorted join with split skew if
     the sources are too many to broadcast.
 
     Columns of ``docs`` with those five names (in any case) are replaced. Null or empty texts have size 0 and
-    are drawn like others. Rows repeated with their key share one draw. An empty table gives an empty table.
+    are drawn like others. Rows repeated with key and text share one draw. An empty table gives an empty table.
     """
     docs = without(docs, "size", "source_size", "target", "rate", "copies")
     size, name, order = fresh(docs, "size", "mix_source", "mix_order")
@@ -82,7 +82,8 @@ def mix_copies(
     plan = plan.select(F.col("source").alias(name), F.col("size").alias("source_size"), "target", "rate")
     joined = sized.join(plan, F.col(f"`{source}`").eqNullSafe(F.col(name)), "left").drop(name)
     whole = F.floor("rate")
-    copies = whole + (draw(seed, F.col(f"`{key}`")) < F.col("rate") - whole).cast("long")
+    luck = draw(seed, F.col(f"`{key}`"), F.md5(F.col(f"`{text}`")))
+    copies = whole + (luck < F.col("rate") - whole).cast("long")
     return joined.withColumn("copies", copies)
 
 
@@ -103,8 +104,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 @query(
     "op1_mixing",
-    r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
-                   FROM documents),
+    r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                          coalesce(md5(text), '') AS digest FROM documents),
         s AS (SELECT source, sum(size)::DOUBLE AS size,
                      [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
               FROM d GROUP BY source),
@@ -115,7 +116,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
               FROM g),
         r AS (SELECT d.doc_id, d.size, t.size::BIGINT AS source_size, t.target,
                      CASE WHEN t.size > 0 THEN t.target / t.size ELSE 0 END AS rate,
-                     ('0x' || substr(md5('17:' || d.doc_id::VARCHAR), 1, 12))::BIGINT / 281474976710656.0 AS u
+                     ('0x' || substr(md5('17:' || d.doc_id::VARCHAR || ':' || d.digest), 1, 12))::BIGINT / 281474976710656.0 AS u
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target, (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken FROM r""",
 )

@@ -484,3 +484,18 @@ def test_mixed_languages_are_kept(spark):
     df = spark.createDataFrame([(1, text), (2, "12 --"), (3, None)], "doc_id int, text string")
     assert langid.detect(df.filter("doc_id = 1"), model).first().score < 0.5
     assert [r.doc_id for r in langid.keep_identified(df, model).collect()] == [1]
+
+
+def test_rows_without_key_are_drawn_apart(spark):
+    data = [(None, f"s{i % 2}", f"w{i} " * 5) for i in range(1000)]
+    got = mixing.mix_copies(spark.createDataFrame(data, "doc_id int, source string, text string"))
+    taken = {r.source: (r.target, r.taken) for r in got.groupBy("source").agg(F.max("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken")).collect()}
+    assert all(abs(taken[s][1] - taken[s][0]) < 0.1 * taken[s][0] for s in taken) and len(taken) == 2
+
+
+def test_blocks_of_shards_hold_few_bytes(spark):
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(400)], "doc_id int, text string").repartition(4)
+    got = sharding.shard(df, shards=3, block_bytes=20_000).collect()
+    by = {s: sorted(r.slot for r in got if r.shard == s) for s in range(3)}
+    assert sorted(map(len, by.values())) == [133, 133, 134] and all(v == list(range(len(v))) for v in by.values())
+    assert len({r.doc_id for r in got}) == 400
