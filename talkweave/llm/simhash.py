@@ -49,54 +49,64 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     return map_texts(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), run, schema)
 
 
-class BKTree:
-    """A BK-tree over distinct 64-bit numbers: a node's children are keyed by their Hamming distance to it.
+class BKForest:
+    """BK-trees over 64-bit numbers, distinct within a group, one tree for each group and all of them side by side.
 
-    Small subtrees stay unsplit lists. A search takes many numbers at once down the tree and follows, from
-    each node, only the edges within the radius of a number's distance to that node.
+    A node is a number, its children are keyed by their Hamming distance to it: one child for each distance.
+    ``groups`` (sorted; one group if left out) says whose tree a number is in. A group's first number is its root, and
+    a child always comes later in ``items`` than its parent. All trees grow by one level at a time.
     """
 
-    LEAF = 32
-
-    def __init__(self, items: np.ndarray):
-        self.nodes: list[tuple] = []
-        waiting = [(items, np.arange(len(items)), None)]
-        while waiting:
-            values, ids, parent = waiting.pop()
-            number = len(self.nodes)
-            if parent is not None:
-                self.nodes[parent[0]][2][parent[1]] = number
-            if len(values) <= self.LEAF:
-                self.nodes.append((values, ids, None))
-                continue
-            self.nodes.append((values[0], ids[0], {}))
-            far = np.bitwise_count(values[1:] ^ values[0])
-            for distance in np.unique(far):
-                here = np.flatnonzero(far == distance) + 1
-                waiting.append((values[here], ids[here], (number, int(distance))))
-
-    def search(self, wanted: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (place in ``wanted``, place in the tree's items) at most ``radius`` bits apart, in portions."""
-        waiting = [(0, np.arange(len(wanted)))]
+    #: a search holds this many (asked, node) places at a time and goes deep first
+    PORTION = 1 << 15
+
+    def __init__(self, items: np.ndarray, groups: np.ndarray | None = None):
+        self.items, self.groups = items, np.zeros(len(items), np.int64) if groups is None else groups
+        root = np.searchsorted(self.groups, self.groups)
+        rest = np.flatnonzero(root != np.arange(len(items)))
+        above, edges, children = root[rest], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(rest):
+            edge = above * 65 + np.bitwise_count(items[rest] ^ items[above])
+            order = np.argsort(edge, kind="stable")
+            rest, edge = rest[order], edge[order]
+            first = np.diff(edge, prepend=-1) != 0
+            edges.append(edge[first])
+            children.append(rest[first])
+            above, rest = rest[first][np.cumsum(first) - 1][~first], rest[~first]
+        edges, children = np.concatenate(edges), np.concatenate(children)
+        order = np.argsort(edges)
+        self.edges, self.children = edges[order], children[order]
+
+    def search(
+        self, wanted: np.ndarray, radius: int, groups: np.ndarray | None = None, before: np.ndarray | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (place in ``wanted``, place in ``items``) at most ``radius`` bits apart, in portions.
+
+        Each number goes down the tree of its group and follows, from a node, only the edges within ``radius`` of its distance
+        to that node. With ``before``, only items before that place are asked for; as children follow their parents, what
+        lies under a later item is left out as well.
+        """
+        groups = np.zeros(len(wanted), np.int64) if groups is None else groups
+        before = np.full(len(wanted), len(self.items)) if before is None else before
+        node = np.searchsorted(self.groups, groups)
+        asked = np.flatnonzero(node < before)
+        asked = asked[self.groups[node[asked]] == groups[asked]]
+        waiting = [(asked, node[asked])]
         while waiting:
-            number, rows = waiting.pop()
-            value, ids, edges = self.nodes[number]
-            if edges is None:
-                for at in range(0, len(rows), 4096):
-                    some = rows[at : at + 4096]
-                    near = np.bitwise_count(wanted[some][:, None] ^ value[None, :]) <= radius
-                    left, right = np.nonzero(near)
-                    if len(left):
-                        yield some[left], ids[right]
+            asked, node = waiting.pop()
+            if len(asked) > self.PORTION:
+                waiting += [(asked[at : at + self.PORTION], node[at : at + self.PORTION]) for at in range(0, len(asked), self.PORTION)]
                 continue
-            far = np.bitwise_count(wanted[rows] ^ value)
-            hits = rows[far <= radius]
-            if len(hits):
-                yield hits, np.full(len(hits), ids)
-            for distance, child in edges.items():
-                follow = rows[np.abs(far.astype(np.int16) - distance) <= radius]
-                if len(follow):
-                    waiting.append((child, follow))
+            far = np.bitwise_count(wanted[asked] ^ self.items[node]).astype(np.int64)
+            near = far <= radius
+            yield asked[near], node[near]
+            low = np.searchsorted(self.edges, node * 65 + np.maximum(far - radius, 0))
+            many = np.searchsorted(self.edges, node * 65 + np.minimum(far + radius, 64), "right") - low
+            asked = np.repeat(asked, many)
+            node = self.children[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(len(asked))]
+            follow = node < before[asked]
+            if follow.any():
+                waiting.append((asked[follow], node[follow]))
 
 
 def roots(n: int, portions: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -140,25 +150,22 @@ def group_starts(keys: list[np.ndarray]) -> np.ndarray:
 
 
 def group_pairs(items, mine, low, high, starts, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Near pairs inside groups, as row numbers: small groups side by side, larger ones through a BK-tree each."""
-    ends = np.append(starts[1:], len(items))
-    sizes = ends - starts
-    end_of_row = np.repeat(ends, sizes)
-    short = np.repeat((sizes <= BKTree.LEAF) & (low[starts] == high[starts]), sizes)
-    left = np.flatnonzero(short)
-    for shift in range(1, BKTree.LEAF):
-        left = left[left + shift < end_of_row[left]]
-        if not len(left):
-            break
-        near = np.bitwise_count(items[left] ^ items[left + shift]) <= bits
-        yield left[near], left[near] + shift
-    for start, end in zip(starts, ends):
-        if end - start > 1 and not short[start]:
-            shard = mine[start:end]
-            tree, asked = start + np.flatnonzero(shard == low[start]), start + np.flatnonzero(shard == high[start])
-            if len(tree) and len(asked):
-                for a, b in BKTree(items[tree]).search(items[asked], bits):
-                    yield asked[a], tree[b]
+    """Near pairs inside groups, as row numbers: one shard of each group is its BK-tree, the other goes down it."""
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(items))))
+    tree, asked = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+    forest = BKForest(items[tree], group[tree])
+    # a shard that meets itself is asked for what comes before each of its rows
+    before = np.where(low[asked] == high[asked], np.searchsorted(tree, asked), len(tree))
+    for a, b in forest.search(items[asked], bits, group[asked], before):
+        yield asked[a], tree[b]
+
+
+def bands_for(n: int, bits: int, bucket: int = 64) -> int:
+    """The fewest bands, two more than ``bits`` at least, whose buckets hold about ``bucket`` of ``n`` well spread fingerprints at most."""
+    bands = bits + 2
+    while bands < 64 and n >> (bands - bits) * (64 // bands) > bucket:
+        bands += 1
+    return bands
 
 
 def edges_of(low, high, mine, fps, starts, bits: int) -> pa.RecordBatch:
@@ -168,14 +175,16 @@ def edges_of(low, high, mine, fps, starts, bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(fps[linked]), pa.array(fps[root[linked]])], names=["a", "b"])
 
 
-def links(fps: DataFrame, bits: int = 4, bands: int = 6, tree_size: int = 20_000) -> DataFrame:
+def links(fps: DataFrame, bits: int = 4, bands: int | None = None, tree_size: int = 20_000) -> DataFrame:
     """Edges (a, b) between distinct fingerprints whose components are those of all pairs within ``bits`` bits.
 
     Buckets (see :func:`signatures`) with more than ``tree_size`` fingerprints are dealt into shards of about that
-    many; every two shards of a bucket meet in one group, so no group exceeds about twice that. A group builds the
-    BK-tree of one shard, sends the other shard (or the same) down it, and returns one edge from each linked fingerprint
-    to the smallest of its component in the group, never all pairs.
+    many; every two shards of a bucket meet in one group, so no group exceeds about twice that. A group, of two
+    fingerprints or of many, builds the BK-tree of one shard, sends the other shard (or the same) down it, and returns one edge from
+    each linked fingerprint to the smallest of its component in the group, never all pairs. ``bands`` follows from the
+    number of fingerprints where it is left out (see :func:`bands_for`).
     """
+    bands = bands_for(fps.count(), bits) if bands is None else bands
     spread = signatures(fps, bits, bands)
     sizes = spread.groupBy("choice", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     sizes = written(sizes.withColumn("shards", F.ceil(F.col("n") / tree_size).cast("int")), "simhash-buckets")
@@ -237,7 +246,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, bits: int = 4, bands: int = 6, tree_size: int = 20_000
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, bits: int = 4, bands: int | None = None, tree_size: int = 20_000
 ) -> DataFrame:
     """For each row: key, ``fp`` and ``component``, the smallest key reachable over fingerprints within ``bits`` bits.
 
@@ -245,8 +254,8 @@ def near_duplicates(
     without words (null, empty, blank) has fingerprint 0 and is linked like any other. Copies
     collapse to one fingerprint before any search. BK-trees of all fingerprints on every worker would be
     a broadcast that grows with the corpus, and a radius of ``bits`` visits most of such a tree. So trees are built per
-    bucket and shard, and each is sent only to the fingerprints that can be near it. More ``bands`` make
-    buckets smaller for larger corpora; the result does not depend on ``bands`` and ``tree_size``.
+    bucket and shard, and each is sent only to the fingerprints that can be near it. Every link comes from a search in such
+    a tree. More ``bands`` make buckets smaller for larger corpora; the result does not depend on ``bands`` and ``tree_size``.
     Rows repeated with their key share a result. An empty table gives an empty table.
     """
     prints = written(fingerprints(docs, key, text, width), "fingerprints")

@@ -330,9 +330,9 @@ def test_simhash(odd, none):
     assert kept.columns == odd.columns and kept.filter("doc_id in (2, 3)").count() == 0
 
 
-@pytest.mark.parametrize("bands,tree_size", [(6, 20_000), (6, 40), (5, 100), (8, 30)])
+@pytest.mark.parametrize("bands,tree_size", [(None, 20_000), (6, 20_000), (6, 40), (5, 100), (8, 30)])
 def test_simhash_links(spark, bands, tree_size):
-    rng = random.Random(bands)
+    rng = random.Random(bands or 7)
     values = {0, 2**64 - 1, 2**63}
     for _ in range(12):
         value = rng.getrandbits(64)
@@ -353,11 +353,35 @@ def test_bk_tree_finds_exactly_the_near_ones():
     rng = np.random.default_rng(2)
     items = np.unique(rng.integers(0, 2**64, 800, dtype=np.uint64) & np.uint64(0xFFFF))
     asked = rng.integers(0, 2**64, 50, dtype=np.uint64) & np.uint64(0xFFFF)
-    pairs = {(int(a), int(b)) for left, right in simhash.BKTree(items).search(asked, 3) for a, b in zip(left, right)}
+    pairs = {(int(a), int(b)) for left, right in simhash.BKForest(items).search(asked, 3) for a, b in zip(left, right)}
     want = {(i, j) for i, a in enumerate(asked) for j, b in enumerate(items) if (int(a) ^ int(b)).bit_count() <= 3}
     assert pairs == want
 
 
+def test_bk_trees_of_many_groups_side_by_side(monkeypatch):
+    monkeypatch.setattr(simhash.BKForest, "PORTION", 50)
+    rng = np.random.default_rng(4)
+    items = rng.permutation(1 << 12)[:900].astype(np.uint64)
+    groups = np.sort(rng.integers(0, 200, 900)) * 2
+    forest = simhash.BKForest(items, groups)
+    for edge, child in zip(forest.edges.tolist(), forest.children.tolist()):  # one child for each distance, after its parent
+        parent, distance = divmod(edge, 65)
+        assert parent < child and groups[parent] == groups[child] and (int(items[parent]) ^ int(items[child])).bit_count() == distance
+    assert len(set(forest.edges.tolist())) == len(forest.edges) == 900 - len(set(groups.tolist()))
+    asked, theirs = rng.integers(0, 1 << 12, 300).astype(np.uint64), rng.integers(-1, 402, 300)
+    near = [(i, j) for i, a in enumerate(asked) for j, b in enumerate(items) if theirs[i] == groups[j] and (int(a) ^ int(b)).bit_count() <= 4]
+    pairs = [(int(a), int(b)) for left, right in forest.search(asked, 4, theirs) for a, b in zip(left, right)]
+    assert sorted(pairs) == near
+    own = [(int(a), int(b)) for left, right in forest.search(items, 4, groups, np.arange(900)) for a, b in zip(left, right)]
+    assert sorted(own) == [
+        (i, j) for i in range(900) for j in range(i) if groups[i] == groups[j] and (int(items[i]) ^ int(items[j])).bit_count() <= 4
+    ]
+
+
+def test_bands_grow_with_the_fingerprints():
+    assert [simhash.bands_for(n, 4) for n in (0, 10**4, 10**7, 10**9, 10**11)] == [6, 6, 6, 7, 8]
+
+
 @pytest.mark.parametrize("nodes", [1, 2, 300])
 def test_components_of_a_path_and_a_star(spark, nodes):
     order = list(range(nodes))
