@@ -14,16 +14,26 @@ from pyspark.sql import types as T
 from .common import load, map_texts, pieces, remainder, split_words
 from .registry import query
 
-#: cells for words by hash, cells for word shapes, and length of a vector
-WORDS, SHAPES, DIM = 1 << 13, 256, 32
+#: word shapes, and the length of a vector
+SHAPES, DIM = 256, 32
 
+#: a task's sums are kept as 32-bit numbers and passed on after this many words
+FLUSH = 1 << 26
 
-def index_vectors(seed: int = 7) -> np.ndarray:
-    """The fixed sparse vector of each cell: four ones and four minus ones."""
-    rng = np.random.default_rng(seed)
-    places = np.argsort(rng.random((WORDS + SHAPES, DIM)), axis=1)[:, :8]
-    out = np.zeros((WORDS + SHAPES, DIM), np.float32)
-    np.put_along_axis(out, places, np.tile(np.float32([1, -1]), 4)[None, :], axis=1)
+
+def mixed(hashed: np.ndarray) -> np.ndarray:
+    """64-bit numbers whose bits all depend on all of theirs."""
+    hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return hashed ^ (hashed >> np.uint64(32))
+
+
+def index_vectors(hashed: np.ndarray) -> np.ndarray:
+    """The sparse index vector of each hash: eight places of plus or minus one, from bits of the hash alone."""
+    out, rows = np.zeros((len(hashed), DIM), np.int8), np.arange(len(hashed))
+    start, step = (hashed >> np.uint64(40)) % np.uint64(DIM), 2 * ((hashed >> np.uint64(45)) % np.uint64(DIM // 2)) + 1
+    for k in range(8):  # an odd step never meets a place twice
+        places = ((start + np.uint64(k) * step) % np.uint64(DIM)).astype(np.int64)
+        out[rows, places] = 1 - 2 * ((hashed >> np.uint64(49 + k)) & np.uint64(1)).astype(np.int8)
     return out
 
 
@@ -37,15 +47,14 @@ def byte_hash(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.arange(len(data)) - np.repeat(starts, np.diff(offsets))
     powers = np.cumprod(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
     hashed = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[place], starts)
-    hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return hashed ^ (hashed >> np.uint64(32)), data, starts
+    return mixed(hashed), data, starts
 
 
-def cells_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The word cell and the shape cell (without repetition) of distinct words."""
+def hashes_and_shapes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hash and the shape (without repetition) of distinct words."""
     hashed, data, starts = byte_hash(words)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return hashed, np.zeros(0, np.int64)
     small = ((data >= 97) & (data <= 122)) | (data >= 128)
     large = (data >= 65) & (data <= 90)
     digit = (data >= 48) & (data <= 57)
@@ -55,64 +64,92 @@ def cells_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     case = np.where(n[1] == 0, 0, np.where(n[0] > 0, 1, np.where(n[1] > 1, 2, 3)))
     # by letter case, digits, how many other characters, and length
     shape = case + 4 * (n[2] > 0) + 8 * np.minimum(other, 3) + 32 * np.digitize(size, [2, 5, 13])
-    return (hashed % np.uint64(WORDS)).astype(np.int64), shape
+    return hashed, shape
 
 
-def symbols(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words per text, and of each word its cell and its shape's cell (one bit of which says: as the word before)."""
+@dataclass
+class Words:
+    """The words of some texts: how many each text has, the distinct ones' hashes and, word for word, which one and its shape."""
+
+    counts: np.ndarray
+    hashed: np.ndarray
+    codes: np.ndarray
+    shape: np.ndarray
+
+    def symbols(self, cells: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word, the row of its own vector and of its shape's in a table of ``SHAPES + cells`` rows."""
+        return SHAPES + (self.hashed % np.uint64(cells)).astype(np.int64)[self.codes], self.shape
+
+
+def words_of(batch: pa.RecordBatch, column: int) -> Words:
+    """One bit of a word's shape says that it is the word before it again."""
     counts, words = split_words(batch.column(column))
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy()
-    cell, shape = cells_of(coded.dictionary)
+    hashed, shape = hashes_and_shapes(coded.dictionary)
     again = np.zeros(len(codes), bool)
     again[1:] = codes[1:] == codes[:-1]
-    return counts, cell[codes], WORDS + shape[codes] + 128 * again
+    return Words(counts, hashed, codes, shape[codes] + 128 * again)
 
 
-def word_vectors(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndarray:
-    """A vector for each cell: the sum of the index vectors around its words, over the whole corpus, at unit length.
+def word_vectors(docs: DataFrame, text: str = "text", cells: int = 1 << 18, reach: int = 2) -> np.ndarray:
+    """A vector for each shape and each of ``cells`` cells of word hashes: the sum of the index vectors around, over the whole
+    corpus, at unit length.
 
-    Tasks add up their rows; Spark sums the tables by cell. The table has a fixed size, and only it goes to the driver.
+    Every word has an index vector of its own; words whose hashes fall into one cell share what is learnt from their
+    neighbours. Tasks add up their rows in whole numbers; Spark sums the tables by cell, and the same
+    documents give the same table. Its size does not depend on the corpus, and only it goes to the driver.
     """
 
+    def rows_of(total: np.ndarray) -> pa.RecordBatch:
+        some = np.flatnonzero(total.any(axis=1))
+        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * DIM), pa.array(total[some].ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(some), vectors], names=["cell", "v"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, total = index_vectors(), np.zeros((WORDS + SHAPES, DIM))
+        shapes = index_vectors(mixed(np.arange(1, SHAPES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        total, seen = np.zeros((SHAPES + cells, DIM), np.int32), 0
         for batch in pieces(batches, 0):
-            counts, cell, shape = symbols(batch, 0)
-            if not len(cell):
+            words = words_of(batch, 0)
+            if not len(words.codes):
                 continue
-            own = index[cell] + index[shape]
-            doc = np.repeat(np.arange(len(counts)), counts)
+            own = index_vectors(words.hashed)[words.codes] + shapes[words.shape]
+            doc = np.repeat(np.arange(len(words.counts)), words.counts)
             near = np.zeros_like(own)
             for step in range(1, reach + 1):
                 same = (doc[step:] == doc[:-step])[:, None]
                 near[:-step] += own[step:] * same
                 near[step:] += own[:-step] * same
-            for symbol in (cell, shape):
+            for symbol in words.symbols(cells):
                 order = np.argsort(symbol, kind="stable")
                 ranked = symbol[order]
                 starts = np.flatnonzero(np.diff(ranked, prepend=-1))
-                total[ranked[starts]] += np.add.reduceat(near[order], starts, axis=0)
-        cells = np.flatnonzero(total.any(axis=1))
-        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(cells) + 1, dtype=np.int32) * DIM), pa.array(total[cells].ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(cells), vectors], names=["cell", "v"])
-
-    tables = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "cell long, v array<double>")
-    total = tables.groupBy("cell").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(DIM)]).toPandas()
-    out = np.zeros((WORDS + SHAPES, DIM))
-    out[total["cell"].to_numpy(np.int64)] = total[[f"v{i}" for i in range(DIM)]].to_numpy()
-    return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+                total[ranked[starts]] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
+            seen += len(words.codes)
+            if seen > FLUSH:
+                yield rows_of(total)
+                total, seen = np.zeros_like(total), 0
+        yield rows_of(total)
+
+    tables = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "cell long, v array<int>")
+    names = [f"v{i}" for i in range(DIM)]
+    total = tables.groupBy("cell").agg(*[F.sum(F.col("v")[i]).cast("double").alias(name) for i, name in enumerate(names)])
+    length = F.sqrt(sum((F.col(name) * F.col(name) for name in names), F.lit(1e-9)))
+    found = total.select("cell", *[(F.col(name) / length).cast("float").alias(name) for name in names]).toPandas()
+    out = np.zeros((SHAPES + cells, DIM), np.float32)
+    out[found["cell"].to_numpy(np.int64)] = found[names].to_numpy(np.float32)
+    return out
 
 
 def pooled(batch: pa.RecordBatch, column: int, vectors: np.ndarray) -> np.ndarray:
     """Per text the mean vector of its words and of their shapes; zeros where it has none."""
-    counts, cell, shape = symbols(batch, column)
-    out = np.zeros((len(counts), 2 * DIM), np.float32)
-    some = np.flatnonzero(counts)
+    words = words_of(batch, column)
+    out = np.zeros((len(words.counts), 2 * DIM), np.float32)
+    some = np.flatnonzero(words.counts)
     if len(some):
-        starts = (np.cumsum(counts) - counts)[some]
-        for half, symbol in enumerate((cell, shape)):
-            out[some, half * DIM : (half + 1) * DIM] = np.add.reduceat(vectors[symbol], starts, axis=0) / counts[some, None]
+        starts = (np.cumsum(words.counts) - words.counts)[some]
+        for half, symbol in enumerate(words.symbols(len(vectors) - SHAPES)):
+            out[some, half * DIM : (half + 1) * DIM] = np.add.reduceat(vectors[symbol], starts, axis=0) / words.counts[some, None]
     return out
 
 
@@ -178,28 +215,37 @@ class Classifier:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 20_000
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    sample: int = 20_000,
+    cells: int = 1 << 18,
 ) -> Classifier:
-    """Word vectors from all ``docs``, a network from at most ``sample`` labelled ones.
+    """Word vectors from all ``docs`` (see :func:`word_vectors` for ``cells``), a network from at most ``sample`` labelled ones.
 
-    ``sample`` bounds what the driver fits on: the labelled rows with the smallest hash of their key. A key with several labels
-    has their majority (ties count as 1). Labels or keys that are null teach nothing.
+    ``sample`` bounds what the driver fits on: the labelled keys with the smallest hash, one row for each. A key with several labels
+    has their majority (ties count as 1); of several texts under a key, the one whose pooled vector comes first teaches. Labels
+    or keys that are null teach nothing.
     """
-    vectors = word_vectors(docs, text)
+    vectors = word_vectors(docs, text, cells)
     known = labels.filter(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull())
     known = known.groupBy(F.col(f"`{key}`").alias("label_key")).agg((F.avg(F.col(f"`{label}`")) >= 0.5).cast("double").alias("y"))
     chosen = known.orderBy(F.xxhash64(F.lit(11), "label_key"), "label_key").limit(sample)
+    chosen = chosen.withColumn("place", F.xxhash64(F.lit(11), "label_key")).select("label_key", "place", "y")
     # the limit above bounds this broadcast
-    rows = docs.join(F.broadcast(chosen), F.col(f"`{key}`") == F.col("label_key")).select("y", F.col(f"`{text}`").alias("text"))
+    rows = docs.join(F.broadcast(chosen), F.col(f"`{key}`") == F.col("label_key")).select("place", "y", F.col(f"`{text}`").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
-            x = pooled(batch, 1, shared.value).astype(np.float64)
+        for batch in pieces(batches, 2):
+            x = pooled(batch, 2, shared.value).astype(np.float64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["place", "y", "x"])
 
-    found = map_texts(rows, run, "y double, x array<double>").toPandas()
+    found = map_texts(rows, run, "place long, y double, x array<double>")
+    found = found.groupBy("place").agg(F.min(F.struct("x", "y")).alias("row")).select("row.y", "row.x").toPandas()
     x = np.array(found["x"].tolist()).reshape(len(found), 2 * DIM)
     order = np.lexsort((x[:, 0], x[:, -1])) if len(x) else np.zeros(0, int)  # the same rows in the same order on each run
     return Classifier(vectors, fit(x[order], found["y"].to_numpy(np.float64)[order]))

@@ -7,6 +7,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +153,7 @@ def test_viterbi_against_all_paths():
         at += n
 
 
-def test_quality(spark, odd, none):
+def test_quality(spark, odd, none, monkeypatch):
     labels = spark.createDataFrame([(5, 1), (5, 1), (6, 1), (9, 0), (12, 0), (None, 1), (7, None)], "doc_id bigint, quality int")
     model = quality.train(odd, labels)
     got = quality.score(odd, model).collect()
@@ -160,6 +161,11 @@ def test_quality(spark, odd, none):
     assert quality.score(none, model).count() == 0
     nothing = quality.train(none, labels.limit(0))
     assert {r.score for r in quality.score(odd, nothing).collect()} == {0.5}
+    few = spark.createDataFrame([(i % 2, f"text {i}") for i in range(400)], "doc_id bigint, text string")
+    fitted, real_fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append(len(y)) or real_fit(x, y))
+    quality.train(few, spark.createDataFrame([(0, 1), (1, 0)], "doc_id bigint, quality int"), sample=2)
+    assert fitted == [2]  # one row for each key, however many share it
     one = quality.train(odd, labels.filter("quality = 1"))
     assert all(r.score > 0.5 for r in quality.score(odd, one).collect())
 
@@ -319,6 +325,29 @@ def test_exact_with_null_and_repeated_keys(spark):
     assert sorted(map(str, kept)) == sorted(map(str, [(1, "alpha  beta"), (None, "u"), (2, "v "), (2, "w")]))
 
 
+def test_word_vectors_are_sums_of_the_index_vectors_around(spark, odd):
+    texts = [r[1] or "" for r in rows()]
+    words = sorted({w for t in texts for w in t.split()})
+    cells = 64  # so few that words share cells
+    own = quality.words_of(pa.RecordBatch.from_arrays([pa.array(words)], names=["t"]), 0)
+    assert len(own.hashed) == len(words) and (np.abs(quality.index_vectors(own.hashed)).sum(axis=1) == 8).all()
+    index = dict(zip(words, quality.index_vectors(own.hashed).astype(int)))
+    cell = dict(zip(words, (own.hashed % np.uint64(cells)).astype(int)))
+    shapes = quality.index_vectors(quality.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))).astype(int)
+    want = np.zeros((quality.SHAPES + cells, quality.DIM))
+    for text in texts:
+        line = text.split()
+        if not line:
+            continue
+        shape = quality.words_of(pa.RecordBatch.from_arrays([pa.array([text])], names=["t"]), 0).shape
+        for i in range(len(line)):
+            for j in [j for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < len(line)]:
+                for row in (shape[i], quality.SHAPES + cell[line[i]]):
+                    want[row] += index[line[j]] + shapes[shape[j]]
+    want /= np.sqrt((want**2).sum(axis=1, keepdims=True) + 1e-9)
+    assert np.allclose(quality.word_vectors(odd, cells=cells), want, atol=1e-6)
+
+
 def test_simhash(odd, none):
     got = simhash.near_duplicates(odd).collect()
     prints = [(i, brute.fingerprint(r[1])) for i, r in enumerate(rows())]
