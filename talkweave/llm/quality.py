@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,9 @@ from .registry import query
 #: word shapes, and the length of a vector
 SHAPES, DIM = 256, 32
 
+#: vectors are kept in bytes, this much to a length of one
+UNIT = 127
+
 #: a task's sums are kept as 32-bit numbers and passed on after this many words
 FLUSH = 1 << 26
 
@@ -92,20 +96,35 @@ def words_of(batch: pa.RecordBatch, column: int) -> Words:
     return Words(counts, hashed, codes, shape[codes] + 128 * again)
 
 
+def sums(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a table of sums that are not zero, as (cell, v), in numbers of one, two or four bytes as each row needs."""
+    most = np.abs(total).max(axis=1)
+    for kind, least, top in ((np.int8, 0, 127), (np.int16, 127, 32767), (np.int32, 32767, 2**31 - 1)):
+        some = np.flatnonzero((most > least) & (most <= top))
+        ends = pa.array(np.arange(len(some) + 1, dtype=np.int32) * (DIM * np.dtype(kind).itemsize))
+        values = pa.Array.from_buffers(pa.binary(), len(some), [None, ends.buffers()[1], pa.py_buffer(total[some].astype(kind))])
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), values], names=["cell", "v"])
+
+
+def add_sums(total: np.ndarray, batch: pa.RecordBatch) -> None:
+    """Adds rows that :func:`sums` made to ``total``."""
+    cell, sizes = batch.column(0).to_numpy(), pc.binary_length(batch.column(1)).to_numpy()
+    for kind in (np.int8, np.int16, np.int32):
+        some = np.flatnonzero(sizes == DIM * np.dtype(kind).itemsize)
+        data = b"".join(batch.column(1).take(pa.array(some)).to_pylist())
+        np.add.at(total, cell[some], np.frombuffer(data, kind).reshape(-1, DIM))
+
+
 def word_vectors(docs: DataFrame, text: str = "text", cells: int = 1 << 18, reach: int = 2) -> np.ndarray:
     """A vector for each shape and each of ``cells`` cells of word hashes: the sum of the index vectors around, over the whole
     corpus, at unit length.
 
     Every word has an index vector of its own; words whose hashes fall into one cell share what is learnt from their
-    neighbours. Tasks add up their rows in whole numbers; Spark sums the tables by cell, and the same
-    documents give the same table. Its size does not depend on the corpus, and only it goes to the driver.
+    neighbours. Tasks add up their rows in whole numbers, so the same documents give the same table; the sums of a cell then meet
+    in one task, a row from each task before. Directions are rounded to bytes. The table's size, 32 bytes a cell, does not depend
+    on the corpus, and only it goes to the driver.
     """
 
-    def rows_of(total: np.ndarray) -> pa.RecordBatch:
-        some = np.flatnonzero(total.any(axis=1))
-        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * DIM), pa.array(total[some].ravel()))
-        return pa.RecordBatch.from_arrays([pa.array(some), vectors], names=["cell", "v"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = index_vectors(mixed(np.arange(1, SHAPES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         total, seen = np.zeros((SHAPES + cells, DIM), np.int32), 0
@@ -127,17 +146,26 @@ def word_vectors(docs: DataFrame, text: str = "text", cells: int = 1 << 18, reac
                 total[ranked[starts]] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
             seen += len(words.codes)
             if seen > FLUSH:
-                yield rows_of(total)
+                yield from sums(total)
                 total, seen = np.zeros_like(total), 0
-        yield rows_of(total)
-
-    tables = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "cell long, v array<int>")
-    names = [f"v{i}" for i in range(DIM)]
-    total = tables.groupBy("cell").agg(*[F.sum(F.col("v")[i]).cast("double").alias(name) for i, name in enumerate(names)])
-    length = F.sqrt(sum((F.col(name) * F.col(name) for name in names), F.lit(1e-9)))
-    found = total.select("cell", *[(F.col(name) / length).cast("float").alias(name) for name in names]).toPandas()
-    out = np.zeros((SHAPES + cells, DIM), np.float32)
-    out[found["cell"].to_numpy(np.int64)] = found[names].to_numpy(np.float32)
+        yield from sums(total)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((SHAPES + cells, DIM), np.int64)
+        for batch in batches:
+            add_sums(total, batch)
+        some = np.flatnonzero(total.any(axis=1))
+        found = total[some].astype(np.float64)
+        found = np.rint(UNIT * found / np.linalg.norm(found, axis=1, keepdims=True)).astype(np.int8)
+        ends = pa.array(np.arange(len(some) + 1, dtype=np.int32) * DIM)
+        values = pa.Array.from_buffers(pa.binary(), len(some), [None, ends.buffers()[1], pa.py_buffer(found)])
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), values], names=["cell", "v"])
+
+    tables = map_texts(docs.select(F.col(f"`{text}`").alias("text")), run, "cell int, v binary")
+    found = tables.repartition("cell").mapInArrow(merge, "cell int, v binary").toArrow()
+    out = np.zeros((SHAPES + cells, DIM), np.int8)
+    for batch in found.to_batches():
+        out[batch.column(0).to_numpy()] = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int8).reshape(-1, DIM)
     return out
 
 
@@ -149,7 +177,9 @@ def pooled(batch: pa.RecordBatch, column: int, vectors: np.ndarray) -> np.ndarra
     if len(some):
         starts = (np.cumsum(words.counts) - words.counts)[some]
         for half, symbol in enumerate(words.symbols(len(vectors) - SHAPES)):
-            out[some, half * DIM : (half + 1) * DIM] = np.add.reduceat(vectors[symbol], starts, axis=0) / words.counts[some, None]
+            out[some, half * DIM : (half + 1) * DIM] = (
+                np.add.reduceat(vectors[symbol], starts, axis=0, dtype=np.int64) / (UNIT * words.counts[some, None])
+            )
     return out
 
 
