@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import load, map_texts, pieces, remainder, split_words
+from .common import load, map_texts, pieces, remainder, split_words, written
 from .registry import query
 
 #: first code point of each stretch and the script it belongs to; 0 is everything else
@@ -87,11 +87,12 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
+def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = 200) -> Model:
     """A model of all rows whose language and text are not null.
 
     Tasks count hashed trigrams of their rows per language; the sums are at most three small tables per language, whatever the
-    corpus' size, and these go to the driver. No language at all gives a model that knows none.
+    corpus' size, and these go to the driver. No language at all gives a model that knows none. A table with more than ``most``
+    languages is an error before anything is collected: every worker holds the model, 1 MB a language.
     """
 
     def flush(tables: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,11 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
     known = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     counted = map_texts(known, run, "lang string, cell long, n long")
-    total = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
+    total = written(counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")), "language-counts")
+    n_langs = total.select("lang").distinct().count()
+    if n_langs > most:
+        raise ValueError(f"{n_langs} languages to learn, {most} at most: raise `most` where workers can hold the model")
+    total = total.toPandas()
     langs = sorted(total["lang"].unique())
     counts = np.zeros((len(langs), 2 * CELLS + N_SCRIPTS))
     counts[np.searchsorted(langs, total["lang"]) if langs else [], total["cell"].to_numpy(np.int64)] = total["n"]
