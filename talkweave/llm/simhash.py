@@ -269,18 +269,22 @@ def near_duplicates(
 
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest key, null last; of equal keys, the first.
+    """``docs`` with one row of each component: the one with the smallest key, null last; of equal keys, that whose text hashes lowest.
 
-    The rows are numbered once, in a table in the shared folder, and told apart by that number.
+    Rows are told apart by key and text, of which alone the decision depends, so no text is written again to number them.
+    Of rows that repeat both, one stays.
     """
-    row, gone_row = fresh(docs, "near_row", "gone_row")
-    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
-    name = F.col(f"`{key}`")
-    who = F.struct(name.isNull().alias("none"), name.alias("key"), F.col(row).alias("row"))
-    found = near_duplicates(numbered.select(who.alias("who"), F.col(f"`{text}`").alias("text")), "who", "text", **options)
-    gone = found.filter(F.col("who.row") != F.col("component.row")).select(F.col("who.row").alias(gone_row))
-    gone = written(gone, "simhash-gone")
-    return numbered.join(gone, F.col(row) == F.col(gone_row), "left_anti").drop(row)
+    name, print_of = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))
+    who = F.struct(name.isNull().alias("none"), name.alias("key"), print_of.alias("print"))
+    found = near_duplicates(docs.select(who.alias("who"), F.col(f"`{text}`").alias("text")), "who", "text", **options)
+    met = found.groupBy("who").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("who") != F.col("component")).alias("gone"))
+    near_key, near_print, gone = fresh(docs, "near_key", "near_print", "near_gone")
+    met = met.filter("gone OR n > 1").select(F.col("who.key").alias(near_key), F.col("who.print").alias(near_print), F.col("gone").alias(gone))
+    met = written(met, "simhash-decided")
+    same = (print_of == F.col(near_print)) & name.eqNullSafe(F.col(near_key))
+    once = docs.join(met, same, "left_anti")
+    again = docs.join(met.filter(~F.col(gone)), same, "left_semi").withColumn(near_print, print_of)
+    return once.union(again.dropDuplicates([key, near_print]).drop(near_print))
 
 
 @query("op8_simhash")

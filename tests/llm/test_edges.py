@@ -525,6 +525,26 @@ def test_pem_with_headers_or_escaped_lines():
         assert all(text[a:b] == v for _, a, b, v in found)
 
 
+def test_languages_beyond_the_bound_are_an_error(spark):
+    df = spark.createDataFrame([(k, f"word{k} " * 5, f"lang{k}") for k in range(4)], "doc_id int, text string, lang string")
+    assert len(langid.train(df, most=4).langs) == 4
+    with pytest.raises(ValueError, match="4 languages"):
+        langid.train(df, most=3)
+
+
+def test_near_rows_alike_in_key_and_text_keep_one_with_all_columns(spark):
+    words = lambda n: " ".join(f"{chr(97 + n)}{i}" for i in range(40))
+    same = [(1, words(0), None, {"a": k}) for k in range(300)]
+    rows = [*same, (None, words(1), 5, None), (None, words(1), 6, None), (2, None, 7, None), (2, "", 8, None), (3, words(2), 9, None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, near_key int, `near.gone` map<string, int>").repartition(4)
+    got = simhash.drop_near(df)
+    assert got.columns == df.columns
+    kept = got.collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2, 3]
+    assert {(r.doc_id, r.text) for r in kept} <= {(r[0], r[1]) for r in rows}
+    assert simhash.drop_near(df.limit(0)).count() == 0
+
+
 def test_rows_with_null_or_repeated_keys_are_told_apart(spark):
     words = lambda n: " ".join(f"{chr(97 + n)}{i}" for i in range(40))
     rows = [(1, words(0)), (None, words(0)), (None, words(1)), (2, words(2)), (2, words(2)), (1, words(3)), (2, words(0))]
