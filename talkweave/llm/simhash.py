@@ -272,7 +272,8 @@ def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **option
     """``docs`` with one row of each component: the one with the smallest key, null last; of equal keys, that whose text hashes lowest.
 
     Rows are told apart by key and text, of which alone the decision depends, so no text is written again to number them.
-    Of rows that repeat both, one stays.
+    Of rows that repeat both, one stays. The rows that go are as many as the copies of the corpus, so they are never broadcast: texts
+    move once, at every size, to the task that knows which of them go.
     """
     name, print_of = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))
     who = F.struct(name.isNull().alias("none"), name.alias("key"), print_of.alias("print"))
@@ -282,7 +283,7 @@ def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **option
     met = met.filter("gone OR n > 1").select(F.col("who.key").alias(near_key), F.col("who.print").alias(near_print), F.col("gone").alias(gone))
     met = written(met, "simhash-decided")
     same = (print_of == F.col(near_print)) & name.eqNullSafe(F.col(near_key))
-    once = docs.join(met, same, "left_anti")
+    once = docs.join(met.hint("merge"), same, "left_anti")
     again = docs.join(met.filter(~F.col(gone)), same, "left_semi").withColumn(near_print, print_of)
     return once.union(again.dropDuplicates([key, near_print]).drop(near_print))
 
