@@ -6,14 +6,17 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_token_array
+from ..session import text_batches
 from .scoring import batch_function
 
 SEPARATORS = ("\n\n", "\n", " ", "")
-BROADCAST_LIMIT = 128 << 20  # bytes of vectors one Python worker may hold whole
+BROADCAST_LIMIT = 32 << 20  # bytes of vectors one Python worker may hold whole, of either side
 
 
 # --- chunks -----------------------------------------------------------------
@@ -92,6 +95,7 @@ def chunk_recursive(
     def make():
         return lambda s: s.map(lambda t: [] if t is None else split_recursive(t, size, overlap))
 
+    text_batches(df.sparkSession)
     rest = [c for c in df.columns if c != text]
     chunks = batch_function(make, "array<string>")(F.col(text))
     # outer: a plain explode would infer a filter on the array and cut every text twice for it
@@ -114,6 +118,7 @@ def embed(
         encode = make()
         return lambda s: pd.Series(list(np.asarray(encode(s), dtype="float32")), index=s.index)
 
+    text_batches(df.sparkSession)
     return df.withColumn(out, batch_function(wrapped, "array<float>")(text))
 
 
@@ -159,26 +164,41 @@ def best_of(ids: np.ndarray, hits: np.ndarray, dist: np.ndarray, k: int) -> np.n
     return order[np.arange(len(order)) - start[np.cumsum(new) - 1] < k]
 
 
-def nearest(qid, q, vid, v, k: int, step: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def nearest(qid, q, vid, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` rows of ``v`` nearest to each row of ``q`` (squared distance, id on ties).
 
-    A matrix product screens, a direct difference decides, so equal vectors tie exactly.
+    A matrix product screens, a direct difference decides, so equal vectors tie exactly. Only ``step`` times ``width`` distances
+    are held at a time, however many rows either side has; what is already found bounds the next tile.
     """
     vv = (v * v).sum(axis=1)
     found = []
-    take = min(k, len(v))
-    for i in range(0, len(q), step):
-        part = q[i : i + step]
+    for i in range(0, len(q) if len(v) else 0, step):
+        part, ids = q[i : i + step], qid[i : i + step]
         own = (part * part).sum(axis=1)
-        rough = own[:, None] + vv - 2.0 * (part @ v.T)
-        edge = np.partition(rough, take - 1, axis=1)[:, take - 1]
-        slack = 1e-9 * (1.0 + vv.max(initial=0.0) + own)
-        row, at = np.nonzero(rough <= (edge + slack)[:, None])
-        exact = np.concatenate(
-            [((v[at[j : j + 65_536]] - part[row[j : j + 65_536]]) ** 2).sum(axis=1) for j in range(0, len(at), 65_536)]
-        )
-        best = best_of(row, vid[at], exact, take)
-        found.append((qid[i + row[best]], vid[at[best]], exact[best]))
+        bound = np.full(len(part), np.inf)  # distance of the k-th found so far
+        rows, hits, dist = np.empty(0, np.int64), vid[:0], np.empty(0)
+        for s in range(0, len(v), width):
+            some, sizes = v[s : s + width], vv[s : s + width]
+            rough = part @ some.T
+            rough *= -2.0
+            rough += sizes
+            rough += own[:, None]
+            slack = 1e-9 * (1.0 + sizes.max() + own)
+            if len(some) >= k and np.isinf(bound).any():
+                edge = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
+            else:
+                edge = bound
+            row, at = np.nonzero(rough <= (np.minimum(edge, bound) + slack)[:, None])
+            if not len(row):
+                continue
+            exact = np.concatenate([((some[at[j : j + 8_192]] - part[row[j : j + 8_192]]) ** 2).sum(axis=1) for j in range(0, len(at), 8_192)])
+            rows, hits, dist = np.concatenate([rows, row]), np.concatenate([hits, vid[s + at]]), np.concatenate([dist, exact])
+            best = best_of(rows, hits, dist, k)
+            rows, hits, dist = rows[best], hits[best], dist[best]
+            last = np.searchsorted(rows, np.arange(len(part)), "right")
+            full = np.bincount(rows, minlength=len(part)) == k
+            bound[full] = dist[last[full] - 1]
+        found.append((ids[rows], hits, dist))
     if not found:
         return np.array([]), np.array([]), np.array([])
     return tuple(map(np.concatenate, zip(*found)))
@@ -287,21 +307,35 @@ def _by_blocks(
 
     left = block(q, "query_id", "qb", q_blocks, "vb", v_blocks).groupBy("qb", "vb")
     right = block(v, "vec_id", "vb", v_blocks, "qb", q_blocks).groupBy("qb", "vb")
+    names = ("query_id", "vec_id", "d2")
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return _frame((np.array([]), np.array([]), np.array([])))
-        return _frame(
-            nearest(
-                a["query_id"].to_numpy(),
-                _stack(a["embedding"], metric),
-                b["vec_id"].to_numpy(),
-                _stack(b["embedding"], metric),
-                k,
-            )
-        )
+    # tables of Arrow: a block is held as plain numbers, not as one object per row
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if a.num_rows and b.num_rows:
+            found = nearest(_column(a, "query_id"), _matrix(a, metric), _column(b, "vec_id"), _matrix(b, metric), k)
+        else:
+            found = (_column(a, "query_id")[:0], _column(b, "vec_id")[:0], np.empty(0))
+        kinds = (a.schema.field("query_id").type, b.schema.field("vec_id").type, pa.float64())
+        return pa.table({name: pa.array(x, kind) for name, x, kind in zip(names, found, kinds)})
+
+    return left.cogroup(right).applyInArrow(run, schema)
 
-    return left.cogroup(right).applyInPandas(run, schema)
+
+def _column(t: pa.Table, name: str) -> np.ndarray:
+    return t.column(name).to_numpy()
+
+
+def _matrix(t: pa.Table, metric: str) -> np.ndarray:
+    """The vectors of a block as one array; as :func:`_stack`, vectors of several lengths are an error."""
+    lists = t.column("embedding").combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    if len(set(pc.unique(pc.list_value_length(lists)).to_pylist())) > 1:
+        raise ValueError("all vectors must have the same length")
+    m = flat.reshape(len(lists), -1)
+    if metric == "cosine":
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+    return m
 
 
 def retrieved_wide(found: DataFrame, value: str, k: int, key: str = "query_id") -> DataFrame:

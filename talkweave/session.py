@@ -32,6 +32,16 @@ def get_session(app: str = "talkweave", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Where the session leaves Spark's default of 10,000 rows to an Arrow batch, 1,000 for the session.
+
+    For rows that hold whole texts: the JVM and the worker each hold a batch several times over.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
