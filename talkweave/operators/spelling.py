@@ -55,7 +55,8 @@ def near_words(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFram
     """(left, right, distance): all pairs of words from ``left(word)`` and ``right(word)`` at an edit distance of up to ``distance``.
 
     Two words that near have a text in common after as many deletions on either side, so both sides' deletions meet in one equi-join by
-    hash, and the true distance decides. Words over ``LONGEST`` characters meet by their parts instead.
+    hash, and the true distance decides. The join sorts and merges: the planner knows the size of the files, not how many pieces
+    come of their words, and would broadcast them. Words over ``LONGEST`` characters meet by their parts instead.
     Each word counts once; NULL words are left out.
     """
     sides = []
@@ -66,7 +67,7 @@ def near_words(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFram
     b = _by_deletions(sides[1], distance).unionAll(_thirds(sides[1], distance, True))
     a = a.select(F.xxhash64("piece").alias("at"), F.col("word").alias("left"))
     b = b.select(F.xxhash64("piece").alias("at"), F.col("word").alias("right"))
-    met = a.join(b, "at").filter(F.abs(F.length("left") - F.length("right")) <= distance).select("left", "right").distinct()
+    met = a.join(b.hint("merge"), "at").filter(F.abs(F.length("left") - F.length("right")) <= distance).select("left", "right").distinct()
     far = F.levenshtein("left", "right", distance)
     return met.withColumn("distance", far).filter(F.col("distance") >= 0)
 
@@ -80,9 +81,9 @@ def reach(word: Column) -> Column:
 def corrections(words: DataFrame, known: DataFrame) -> DataFrame:
     """(word, replacement, distance): for each of ``words(word)`` that ``known(word, count)`` lacks, the nearest known word within its
     :func:`reach`; of several the commonest, then the first in the alphabet. Words without one are left out."""
-    missing = words.select("word").filter(F.col("word").isNotNull()).distinct().join(known.select("word"), "word", "left_anti")
+    missing = words.select("word").filter(F.col("word").isNotNull()).distinct().join(known.select("word").hint("merge"), "word", "left_anti")
     pairs = near_words(missing, known, 2).filter(F.col("distance") <= reach(F.col("left")))
-    ranked = pairs.join(known.select(F.col("word").alias("right"), F.col("count")), "right")
+    ranked = pairs.join(known.select(F.col("word").alias("right"), F.col("count")).hint("merge"), "right")
     best = ranked.groupBy("left").agg(F.min(F.struct("distance", (-F.col("count")).alias("n"), F.col("right"))).alias("b"))
     return best.select(F.col("left").alias("word"), F.col("b.right").alias("replacement"), F.col("b.distance").alias("distance"))
 

@@ -40,3 +40,11 @@ def test_blocks_with_text_ids(spark, metric):
     asked = vectors.withColumnRenamed("vec_id", "query_id")
     found = [sorted(map(tuple, R.top_k(asked, vectors, 4, metric, limit).collect())) for limit in (1 << 20, 600)]
     assert found[0] == found[1] and len(found[0]) == 240
+
+
+def test_corrections_broadcast_no_pieces(spark):
+    words = spark.createDataFrame([("hause",), ("house",), (None,)], "word string")
+    known = spark.createDataFrame([("house", 30), ("mouse", 40)], "word string, count long")
+    done = S.corrections(words, known)
+    assert "BroadcastHashJoin" not in plan_of(done)
+    assert [tuple(r) for r in done.collect()] == [("hause", "house", 1)]
