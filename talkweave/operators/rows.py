@@ -218,6 +218,7 @@ def apply_correction_table(
 
     Of several prefixes a message starts with, the one of the smallest ``place`` counts (then the first in the alphabet). Messages are hashed once for each length a prefix has, so
     prefixes and messages meet in one equi-join, and ``startswith`` confirms; only what orders a row and its message travel for that. The
+    joins sort and merge: a planner that goes by the size of the files would broadcast the hashed messages, many for each row. The
     plan does not depend on how many corrections there are. NULL messages and NULL or empty prefixes match nothing.
     """
     known = corrections.filter(F.length("prefix") > 0)
@@ -232,10 +233,10 @@ def apply_correction_table(
     probes = sized.select("__at", "__m", F.explode(mine).alias("__n"))
     probes = probes.withColumn("__key", F.xxhash64("__n", F.substring(F.col("__m"), F.lit(1), F.col("__n"))))
     keys = parts.select("prefix", "place", F.xxhash64(F.length("prefix"), "prefix").alias("__key"))
-    hits = probes.join(keys, "__key").filter(F.col("__m").startswith(F.col("prefix")))
+    hits = probes.join(keys.hint("merge"), "__key").filter(F.col("__m").startswith(F.col("prefix")))
     taken = hits.groupBy("__at").agg(F.min(F.struct("place", "prefix")).alias("p")).select("__at", F.col("p.prefix").alias("prefix"))
-    first = taken.groupBy("prefix").agg(F.min("__at").alias("__first")).join(parts.select("prefix", "__parts"), "prefix").drop("prefix")
-    met = keyed.join(first, F.col("__at") == F.col("__first"), "left")
+    first = taken.groupBy("prefix").agg(F.min("__at").alias("__first")).join(parts.select("prefix", "__parts").hint("merge"), "prefix").drop("prefix")
+    met = keyed.join(first.hint("merge"), F.col("__at") == F.col("__first"), "left")
     rest = [c for c in df.columns if c not in (message, label)]
     unit = F.array(F.struct(F.col(message).alias("t"), F.col(label).alias("l")))
     untouched = met.filter(F.col("__parts").isNull()).select(*df.columns, unit.alias("__p"))

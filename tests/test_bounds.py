@@ -42,6 +42,14 @@ def test_blocks_with_text_ids(spark, metric):
     assert found[0] == found[1] and len(found[0]) == 240
 
 
+def test_correction_table_broadcasts_no_messages(spark):
+    df = spark.createDataFrame([(1, "one two", "x"), (2, "one two", "y"), (3, None, "z")], "at int, text string, label string")
+    fixes = spark.createDataFrame([("one", 0, 0, "new", "A")], "prefix string, place int, seq int, text string, label string")
+    done = W.apply_correction_table(df, fixes, "text", "label", ["at"])
+    assert "BroadcastHashJoin" not in plan_of(done)
+    assert sorted(map(tuple, done.select("at", "label").collect())) == [(1, "A"), (2, "y"), (3, "z")]
+
+
 def test_corrections_broadcast_no_pieces(spark):
     words = spark.createDataFrame([("hause",), ("house",), (None,)], "word string")
     known = spark.createDataFrame([("house", 30), ("mouse", 40)], "word string, count long")
