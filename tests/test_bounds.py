@@ -56,3 +56,19 @@ def test_corrections_broadcast_no_pieces(spark):
     done = S.corrections(words, known)
     assert "BroadcastHashJoin" not in plan_of(done)
     assert [tuple(r) for r in done.collect()] == [("hause", "house", 1)]
+
+
+def test_transport_with_empty_tasks(spark):
+    rng = np.random.default_rng(2)
+    data = [("ab"[i % 3 == 0], [float(x) for x in rng.random(2)]) for i in range(9)]
+    one = spark.createDataFrame(data, "kind string, v array<float>").coalesce(1)
+    a, b = (sorted(map(tuple, T.label_moments(d, "kind", "v").collect())) for d in (one, one.repartition(32)))
+    assert [x[0] for x in a] == [x[0] for x in b] == ["a", "b"]
+    assert np.allclose([x[1] for x in a], [x[1] for x in b], rtol=1e-12)
+
+
+def test_plan_settles_where_labels_hardly_exchange():
+    cost = np.array([[0.0, 1.0, 1.5], [1.0, 0.0, 2.0], [1.5, 2.0, 0.0]])
+    for p, q in (([0.2, 0.3, 0.5], [0.2, 0.3, 0.5]), ([0.2, 0.3, 0.5], [0.3, 0.3, 0.4])):
+        plan = T.scaled_plan(cost, np.array(p), np.array(q), 0.04, rounds=1_000)
+        assert np.abs(plan.sum(axis=1) - p).max() < 1e-12 and np.abs(plan.sum(axis=0) - q).max() < 1e-12
