@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -12,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.labels import as_class
 from ..functions.text import clean_token_array
 from .blocks import AUTO, row_position
-from .explore import row_term_counts
+
+#: bytes of text, and of the sums that come of it, that one block of texts holds (on average; texts are dealt by hash)
+BLOCK_BYTES = 16 << 20
 
 
 def embedding_sum(
@@ -23,21 +28,32 @@ def embedding_sum(
     dim: int,
     stop_words: Sequence[str] = (),
     out: str = "embedding",
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Sum of the vectors of a text's in-vocabulary words, every occurrence counted.
 
-    ``vectors(word, vector)``. A text without known words gets the zero vector. A word joins
-    once per row with its number, not once per occurrence, and the vectors are added by a
-    mergeable aggregate.
+    ``vectors(word, vector)``. A text without known words gets the zero vector. Texts are dealt into blocks of about ``block_bytes``
+    by a hash. A word's vector goes once to each block that holds the word, not to each text that does, and a block adds
+    up its texts as one array; texts of one key are added by a mergeable aggregate.
     """
-    words = row_term_counts(df, text, [key], clean_token_array(text, stop_words))
-    vocabulary = vectors.select(
-        F.col("word").alias("term"), array_to_vector(F.col("vector").cast("array<double>")).alias("__v")
-    )
-    known = words.join(vocabulary, "term")
-    sums = known.groupBy(key).agg(
-        vector_to_array(Summarizer.sum(F.col("__v"), F.col("n").cast("double"))).alias(out),
-        F.sum("n").alias("known_words"),
+    blocks = df.agg(F.ceil(F.sum(F.octet_length(text) + 8 * dim) / F.lit(block_bytes)).alias("n")).scalar()
+    block = F.pmod(F.xxhash64(key, text), F.greatest(F.coalesce(blocks, F.lit(1)), F.lit(1)))
+    told = df.filter(F.col(key).isNotNull() & F.col(text).isNotNull())
+    told = told.select(block.alias("block"), F.col(key).alias("key"), clean_token_array(text, stop_words).alias("terms"))
+    wanted = told.select("block", F.explode(F.array_distinct("terms")).alias("term")).distinct()
+    vocabulary = vectors.filter(F.col("vector").isNotNull()).select(F.col("word").alias("term"), F.col("vector"))
+    known = wanted.join(vocabulary, "term").select(F.col("block").alias("at"), "term", "vector")
+
+    def add(texts: pa.Table, words: pa.Table) -> pa.Table:
+        total, number = _block_sums(texts.column("terms"), words.column("term"), words.column("vector"), dim)
+        some = np.flatnonzero(number)
+        sums = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * dim, total[some].ravel())
+        return pa.table({"key": texts.column("key").take(pa.array(some)), "sums": sums, "n": number[some]})
+
+    kind = dict(told.dtypes)["key"]
+    parts = told.groupBy("block").cogroup(known.groupBy("at")).applyInArrow(add, f"key {kind}, sums array<double>, n bigint")
+    sums = parts.groupBy(F.col("key").alias(key)).agg(
+        vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias(out), F.sum("n").alias("known_words")
     )
     zero = F.array_repeat(F.lit(0.0), dim)
     return df.join(sums, key, "left").withColumns(
@@ -45,6 +61,27 @@ def embedding_sum(
     )
 
 
+def _block_sums(terms: pa.ChunkedArray, words: pa.ChunkedArray, vectors: pa.ChunkedArray, dim: int, step: int = 16_384) -> tuple[np.ndarray, np.ndarray]:
+    """Per text the sum of its words' vectors, and how many words that were; a word listed twice counts twice."""
+    total, number = np.zeros((len(terms), dim)), np.zeros(len(terms), np.int64)
+    if not len(words):
+        return total, number
+    listed = words.combine_chunks().dictionary_encode()
+    at = listed.indices.to_numpy()
+    table, times = np.zeros((len(listed.dictionary), dim)), np.bincount(at)
+    np.add.at(table, at, pc.list_flatten(vectors).to_numpy().astype("float64").reshape(-1, dim))
+    found = pc.index_in(pc.list_flatten(terms), value_set=listed.dictionary)
+    rows = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy())
+    hit = pc.is_valid(found).to_numpy()
+    rows, found = rows[hit], pc.drop_null(found).to_numpy()
+    for start in range(0, len(found), step):
+        row, word = rows[start : start + step], found[start : start + step]
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        total[row[first]] += np.add.reduceat(table[word], first)
+        number[row[first]] += np.add.reduceat(times[word], first)
+    return total, number
+
+
 def unknown_words(
     df: DataFrame, vectors: DataFrame, text: str, key: str, stop_words: Sequence[str] = ()
 ) -> DataFrame:

@@ -72,3 +72,15 @@ def test_plan_settles_where_labels_hardly_exchange():
     for p, q in (([0.2, 0.3, 0.5], [0.2, 0.3, 0.5]), ([0.2, 0.3, 0.5], [0.3, 0.3, 0.4])):
         plan = T.scaled_plan(cost, np.array(p), np.array(q), 0.04, rounds=1_000)
         assert np.abs(plan.sum(axis=1) - p).max() < 1e-12 and np.abs(plan.sum(axis=0) - q).max() < 1e-12
+
+
+def test_embedding_sum_in_blocks(spark):
+    """Repeated and missing keys, a word listed twice; a vector goes to a block, not to a text."""
+    docs = [(1, "a b a."), (1, "b"), (2, "zzz"), (3, None), (None, "a"), (4, "A c")]
+    vec = [("a", [1.0, 2.0]), ("b", [10.0, 20.0]), ("c", [100.0, 0.0]), ("c", [0.5, 0.5]), (None, [9.0, 9.0])]
+    df, vectors = spark.createDataFrame(docs, "i int, t string"), spark.createDataFrame(vec, "word string, vector array<float>")
+    want = [(None, [0.0, 0.0], 0), (1, [22.0, 44.0], 4), (1, [22.0, 44.0], 4), (2, [0.0, 0.0], 0), (3, [0.0, 0.0], 0), (4, [101.5, 2.5], 3)]
+    for size in (1, 20, 1 << 20):
+        done = K.embedding_sum(df, vectors, "t", "i", 2, block_bytes=size)
+        assert "CoGroup" in plan_of(done)
+        assert sorted(((r.i, r.embedding, r.known_words) for r in done.collect()), key=lambda r: r[0] or 0) == want
