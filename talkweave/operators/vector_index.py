@@ -129,15 +129,17 @@ def search(index: VectorIndex, queries: DataFrame, k: int = 5, probe: int = 8, c
         for batch in batches:
             if batch.empty:
                 continue
-            m = np.stack(batch["embedding"].to_numpy()).astype("float64")
-            near = np.argpartition(distances(m, own), probe - 1, axis=1)[:, :probe]
-            yield pd.DataFrame(
-                {
-                    "cell": near.ravel().astype("int32"),
-                    "query_id": batch["query_id"].repeat(probe).to_numpy(),
-                    "embedding": [row for row in m for _ in range(probe)],
-                }
-            )
+            for start in range(0, len(batch), 256):  # each question comes out once per cell it looks into
+                some = batch.iloc[start : start + 256]
+                m = np.stack(some["embedding"].to_numpy()).astype("float64")
+                near = np.argpartition(distances(m, own), probe - 1, axis=1)[:, :probe]
+                yield pd.DataFrame(
+                    {
+                        "cell": near.ravel().astype("int32"),
+                        "query_id": some["query_id"].repeat(probe).to_numpy(),
+                        "embedding": [row for row in m for _ in range(probe)],
+                    }
+                )
 
     looked = written(asked.mapInPandas(probes, f"cell int, query_id {types['query_id']}, embedding array<double>"), "index-probes")
     counts = looked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toPandas()  # one row per cell
@@ -157,8 +159,8 @@ def search(index: VectorIndex, queries: DataFrame, k: int = 5, probe: int = 8, c
         m = shared.value[codes["cell"].iloc[0]] + rest
         err, reps = codes["err"].to_numpy(), codes["rep"].to_numpy()
         out = []
-        for start in range(0, len(questions), 256):
-            some = questions.iloc[start : start + 256]
+        for start in range(0, len(questions), 64):
+            some = questions.iloc[start : start + 64]
             away = np.sqrt(distances(np.stack(some["embedding"].to_numpy()), m))
             slack = 1e-6 * (1.0 + away)
             last = min(k, len(m)) - 1
