@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import written  # noqa: F401
+from ..session import text_batches, written  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,14 +55,8 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 
 def map_texts(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` over rows that hold whole texts.
-
-    Where the session leaves Spark's default of 10,000 rows to a batch, it is set to 1,000 for the session: the JVM and
-    the worker each hold a batch several times over.
-    """
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(name) == "10000":
-        conf.set(name, "1000")
+    """``mapInArrow`` over rows that hold whole texts, in small batches."""
+    text_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

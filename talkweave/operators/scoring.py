@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import text_batches
+
 Scorer = Callable[[pd.Series], pd.Series]
 
 
@@ -39,7 +41,11 @@ def score(
     returns: T.DataType | str = "string",
     out: str = "response",
 ) -> DataFrame:
-    """Add a caller-supplied model's answer (text, label or per-class scores) to every row."""
+    """Add a caller-supplied model's answer (text, label or per-class scores) to every row.
+
+    A worker holds one batch of texts, however long the table is.
+    """
+    text_batches(df.sparkSession)
     return df.withColumn(out, batch_function(make, returns)(text))
 
 

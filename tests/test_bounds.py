@@ -74,6 +74,12 @@ def test_plan_settles_where_labels_hardly_exchange():
         assert np.abs(plan.sum(axis=1) - p).max() < 1e-12 and np.abs(plan.sum(axis=0) - q).max() < 1e-12
 
 
+def test_score_sees_small_batches(spark):
+    sizes = lambda: lambda s: pd.Series([str(len(s))] * len(s))
+    seen = M.score(spark.range(5_000).selectExpr("cast(id as string) as text").coalesce(1), "text", sizes)
+    assert seen.selectExpr("max(cast(response as int))").first()[0] <= 1_000
+
+
 def test_embedding_sum_in_blocks(spark):
     """Repeated and missing keys, a word listed twice; a vector goes to a block, not to a text."""
     docs = [(1, "a b a."), (1, "b"), (2, "zzz"), (3, None), (None, "a"), (4, "A c")]
