@@ -17,7 +17,7 @@ from ..functions.text import clean_token_array
 from .blocks import AUTO, row_position
 
 #: bytes of text, and of the sums that come of it, that one block of texts holds (on average; texts are dealt by hash)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 
 
 def embedding_sum(
