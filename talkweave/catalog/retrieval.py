@@ -126,16 +126,22 @@ def embed_hashed(t):
 
 
 def _sides(t):
-    """Every fiftieth vector asks, all answer."""
+    """Every vector asks, all answer."""
     v = t.embeddings
-    return v.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), "embedding"), v.select("vec_id", "embedding")
+    return v.select(F.col("vec_id").alias("query_id"), "embedding"), v.select("vec_id", "embedding")
+
 
+def _indexed_sides(t):
+    """Every fiftieth vector asks, all answer."""
+    asked, vectors = _sides(t)
+    return asked.filter(F.col("query_id") % 50 == 0), vectors
 
-def _sql_top(distance):
+
+def _sql_top(distance, asks="true"):
     return f"""found AS (
     SELECT q.vec_id AS query_id, v.vec_id, {distance} AS d,
            CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance}, v.vec_id) AS INTEGER) AS rank
-    FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0
+    FROM embeddings q JOIN embeddings v ON {asks}
     QUALIFY rank <= 5)"""
 
 
@@ -145,38 +151,38 @@ _COS = "list_cosine_distance(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS
 
 @query("top_k", f"WITH {_sql_top(_L2)} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found")
 def top_k(t):
-    """Every fiftieth vector against all; the answers are broadcast if they are few enough."""
+    """Every vector against all; the answers are broadcast if they are few enough."""
     return R.top_k(*_sides(t)).withColumn("distance", F.round("distance", 6))
 
 
 @query(
     "top_k_cosine",
-    f"WITH {_sql_top(_COS)} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found",
+    f"WITH {_sql_top(_COS, 'q.vec_id % 50 = 0')} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found",
 )
 def top_k_cosine(t):
-    return R.top_k(*_sides(t), metric="cosine").withColumn("distance", F.round("distance", 6))
+    return R.top_k(*_indexed_sides(t), metric="cosine").withColumn("distance", F.round("distance", 6))
 
 
 @query(
     "retrieved_wide",
-    f"""WITH {_sql_top(_L2)}
+    f"""WITH {_sql_top(_L2, 'q.vec_id % 50 = 0')}
         SELECT query_id, {', '.join(f'max(vec_id) FILTER (WHERE rank = {i}) AS doc_{i}' for i in range(1, 6))}
         FROM found GROUP BY 1""",
 )
 def retrieved_wide(t):
-    return R.retrieved_wide(R.top_k(*_sides(t)), "vec_id", 5)
+    return R.retrieved_wide(R.top_k(*_indexed_sides(t)), "vec_id", 5)
 
 
-@query("indexed_top_k", f"WITH {_sql_top(_L2)} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found")
+@query("indexed_top_k", f"WITH {_sql_top(_L2, 'q.vec_id % 50 = 0')} SELECT query_id, rank, vec_id, round(d, 6) AS distance FROM found")
 def indexed_top_k(t):
     """As ``top_k`` through the inverted index, all cells probed: the exact way of the index."""
-    asked, vectors = _sides(t)
+    asked, vectors = _indexed_sides(t)
     return V.search(V.build_index(vectors, cells=32), asked, probe=32).withColumn("distance", F.round("distance", 6))
 
 
 @query("indexed_search")
 def indexed_search(t):
     """Through the inverted index, part of the cells probed; each row carries the recall of the whole search against ``top_k``."""
-    asked, vectors = _sides(t)
+    asked, vectors = _indexed_sides(t)
     found = written(V.search(V.build_index(vectors, cells=32), asked, probe=20), "index-found")
     return found.select("*", V.recall(found, R.top_k(asked, vectors)).scalar().alias("recall"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from talkweave.catalog import QUERIES
 from talkweave.operators import agreement as A
 from talkweave.operators import blocks as B
 from talkweave.operators import evaluate as E
@@ -493,3 +494,15 @@ def test_energy_distance_over_all_rows(spark):
     assert D.energy_distance(frame(x), frame(y), "v").first().distance == pytest.approx(total / 16)
     assert D.energy_distance(frame(x), frame(x), "v").first().distance == pytest.approx(0, abs=1e-12)
     assert D.energy_distance(frame(x), frame(x[:0]), "v").first().distance is None
+
+
+@pytest.mark.parametrize("name", ["top_k"])
+def test_every_vector_asks_and_answers(spark, tmp_path, name):
+    """Each vector, whatever its id, is a question and may be an answer."""
+    rng = np.random.default_rng(5)
+    data = [(i, [float(x) for x in rng.integers(1, 99, 4)], 0) for i in range(1, 40)]
+    spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r.query_id for r in got} == {i for i, *_ in data}
+    first = {r.query_id: r.doc_1 for r in got} if name == "retrieved_wide" else {r.query_id: r.vec_id for r in got if r.rank == 1}
+    assert len(got) == (39 if name == "retrieved_wide" else 39 * 5) and all(a == b for a, b in first.items())
