@@ -496,7 +496,7 @@ def test_energy_distance_over_all_rows(spark):
     assert D.energy_distance(frame(x), frame(x[:0]), "v").first().distance is None
 
 
-@pytest.mark.parametrize("name", ["top_k", "top_k_cosine"])
+@pytest.mark.parametrize("name", ["top_k", "top_k_cosine", "retrieved_wide"])
 def test_every_vector_asks_and_answers(spark, tmp_path, name):
     """Each vector, whatever its id, is a question and may be an answer."""
     rng = np.random.default_rng(5)
