@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_token_array
@@ -17,6 +18,7 @@ from .scoring import batch_function
 
 SEPARATORS = ("\n\n", "\n", " ", "")
 BROADCAST_LIMIT = 32 << 20  # bytes of vectors one Python worker may hold whole, of either side
+PAIRS = 1 << 28  # comparisons worth a task of their own, about a second
 
 
 # --- chunks -----------------------------------------------------------------
@@ -123,89 +125,148 @@ def embed(
 
 
 def embed_hashed(df: DataFrame, text: str, dim: int = 256, out: str = "embedding") -> DataFrame:
-    """Offline default: L2-normalised word counts by md5 bucket, computed in the JVM.
+    """Offline default: L2-normalised word counts by md5 bucket.
 
-    A word's bucket is the number in the first eight digits of its md5, modulo ``dim``. Buckets are sorted inside the row and
-    counted by run length. A text without words, or none at all, has the zero vector.
+    A word's bucket is the number in the first eight digits of its md5, modulo ``dim``. Words are found in the JVM and cross to
+    Python as Arrow lists, where each different word of a batch is hashed once. A text without words, or none at all, has the zero vector.
     """
-    bucket = F.transform(clean_token_array(text), lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int"))
-    rows = df.withColumn("__b", F.coalesce(F.array_sort(bucket), F.array().cast("array<int>")))
-    places = F.sequence(F.lit(0), F.size("__b") - 1)
-    ends = F.filter(places, lambda i: ~F.get("__b", i).eqNullSafe(F.get("__b", i + 1)))
-    rows = rows.withColumn("__e", F.when(F.size("__b") > 0, ends).otherwise(F.array().cast("array<int>")))
-    values = F.transform("__e", lambda e: F.get("__b", e))
-    counts = F.transform("__e", lambda e, j: (e - F.coalesce(F.get("__e", j - 1), F.lit(-1))).cast("double"))
-    rows = rows.withColumn("__n", F.map_from_arrays(values, counts))
-    norm = F.sqrt(F.aggregate(F.map_values("__n"), F.lit(0.0), lambda s, n: s + n * n))
-    rows = rows.withColumn("__norm", norm)
-    length = F.col("__norm")  # named twice below: a column used once would be computed anew for each element
-    unit = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.when(length > 0, F.coalesce(F.try_element_at("__n", i), F.lit(0.0)) / length).otherwise(0.0).cast("float"),
-    )
-    return rows.withColumn(out, unit).drop("__b", "__e", "__n", "__norm")
-
-
-def _stack(s: pd.Series, metric: str) -> np.ndarray:
-    m = np.stack(s.to_numpy()).astype("float64")
-    if metric == "cosine":
-        m /= np.linalg.norm(m, axis=1, keepdims=True)
-    return m
-
-
-def best_of(ids: np.ndarray, hits: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` nearest hits of each id, by id, distance, hit."""
-    order = np.lexsort((hits, dist, ids))
-    if not len(order):
-        return order
-    ranked = ids[order]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    start = np.flatnonzero(new)
-    return order[np.arange(len(order)) - start[np.cumsum(new) - 1] < k]
-
 
-def nearest(qid, q, vid, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` rows of ``v`` nearest to each row of ``q`` (squared distance, id on ties).
-
-    A matrix product screens, a direct difference decides, so equal vectors tie exactly. Only ``step`` times ``width`` distances
-    are held at a time, however many rows either side has; what is already found bounds the next tile.
+    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for words in batches:
+            n = len(words)
+            named = words.flatten().dictionary_encode()
+            distinct = named.dictionary.cast(pa.binary()).to_pylist()
+            bucket = np.array([int.from_bytes(hashlib.md5(w).digest()[:4], "big") % dim for w in distinct], np.int64)
+            row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+            counts = np.bincount(row * dim + bucket[named.indices.to_numpy(zero_copy_only=False)], minlength=n * dim).reshape(n, dim)
+            norm = np.sqrt((counts * counts).sum(axis=1).astype("float64"))
+            unit = (counts / np.where(norm > 0, norm, 1.0)[:, None]).astype("float32")
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), pa.array(unit.ravel()))
+
+    hashed.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    text_batches(df.sparkSession)
+    vector = F.arrow_udf(hashed, returnType="array<float>").asNondeterministic()
+    return df.withColumn(out, vector(clean_token_array(text)))
+
+
+def _rows(side, places) -> np.ndarray:
+    """Vectors of a side (rows, their lengths or None) in double precision, at unit length where lengths are given."""
+    m, norms = side
+    out = m[places].astype("float64")
+    if norms is not None:
+        out /= norms[places][:, None]
+    return out
+
+
+def _slices(n: int, step: int = 8_192) -> list[slice]:
+    return [slice(i, min(i + step, n)) for i in range(0, n, step)]
+
+
+def _few_copies(side, k: int) -> np.ndarray | None:
+    """Places of all vectors but those that equal ``k`` earlier ones, which ties by place leave out; None if there are none."""
+    m = side[0]
+    if len(m) <= k or not m.shape[1]:
+        return None
+    odd = 2 * np.random.default_rng(0).integers(0, 1 << 62, m.shape[1] * m.itemsize // 4, dtype=np.uint64) + 1
+    bits = np.ascontiguousarray(m).view(np.uint32)
+    mixed = np.concatenate([(bits[part] * odd).sum(axis=1, dtype=np.uint64) for part in _slices(len(m))])
+    order = np.argsort(mixed, kind="stable")
+    start = np.searchsorted(mixed[order], mixed[order], "left")
+    late = np.arange(len(order)) - start >= k
+    again, first = order[late], order[start[late]]
+    if not len(again) or not all((bits[again[part]] == bits[first[part]]).all() for part in _slices(len(again))):
+        return None
+    return np.setdiff1d(np.arange(len(m)), again)
+
+
+def _set_places(hits: np.ndarray) -> np.ndarray:
+    """As ``np.flatnonzero`` of a table of few hits, eight cells at a time."""
+    flat = hits.ravel()
+    if flat.size % 8:
+        return np.flatnonzero(flat)
+    cells = (np.flatnonzero(flat.view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return cells[flat[cells]]
+
+
+def closest(q, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``q``, row of ``v``, squared distance) of the ``k`` rows of ``v`` nearest to each row of ``q``, the smaller row on ties.
+
+    A side is ``(rows, lengths)``, see :func:`_rows`. A matrix product in single precision screens: around a common middle and at most 1
+    in size, so its rounding, for which ``g`` is a bound, is small beside the distances. Direct differences in double precision
+    decide, so equal vectors tie exactly. Only ``step`` times ``width`` products are held at a time, however many rows either side has;
+    what is already found bounds the next tile.
     """
-    vv = (v * v).sum(axis=1)
-    found = []
-    for i in range(0, len(q) if len(v) else 0, step):
-        part, ids = q[i : i + step], qid[i : i + step]
-        own = (part * part).sum(axis=1)
-        bound = np.full(len(part), np.inf)  # distance of the k-th found so far
-        rows, hits, dist = np.empty(0, np.int64), vid[:0], np.empty(0)
-        for s in range(0, len(v), width):
-            some, sizes = v[s : s + width], vv[s : s + width]
-            rough = part @ some.T
-            rough *= -2.0
-            rough += sizes
-            rough += own[:, None]
-            slack = 1e-9 * (1.0 + sizes.max() + own)
-            if len(some) >= k and np.isinf(bound).any():
-                edge = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
-            else:
-                edge = bound
-            row, at = np.nonzero(rough <= (np.minimum(edge, bound) + slack)[:, None])
-            if not len(row):
-                continue
-            exact = np.concatenate([((some[at[j : j + 8_192]] - part[row[j : j + 8_192]]) ** 2).sum(axis=1) for j in range(0, len(at), 8_192)])
-            rows, hits, dist = np.concatenate([rows, row]), np.concatenate([hits, vid[s + at]]), np.concatenate([dist, exact])
-            best = best_of(rows, hits, dist, k)
-            rows, hits, dist = rows[best], hits[best], dist[best]
-            last = np.searchsorted(rows, np.arange(len(part)), "right")
-            full = np.bincount(rows, minlength=len(part)) == k
-            bound[full] = dist[last[full] - 1]
-        found.append((ids[rows], hits, dist))
-    if not found:
-        return np.array([]), np.array([]), np.array([])
-    return tuple(map(np.concatenate, zip(*found)))
+    n, places = len(q[0]), _few_copies(v, k)
+    if places is not None:
+        v = (v[0][places], None if v[1] is None else v[1][places])
+    total, dim = v[0].shape
+    with np.errstate(all="ignore"):
+        mid = sum((_rows(v, part).sum(axis=0) for part in _slices(total)), np.zeros(dim)) / max(total, 1)
+        size = max([np.abs(_rows(side, part) - mid).max(initial=0.0) for side in (v, q) for part in _slices(len(side[0]))], default=0.0)
+        finite = bool(np.isfinite(size * size))
+        if not finite:  # no middle and no scale; vectors with a NaN are never found
+            mid, size = np.zeros(dim), 1.0
+            real = np.concatenate([~np.isnan(_rows(v, part)).any(axis=1) for part in _slices(total)])
+            places = np.flatnonzero(real) if places is None else places[real]
+            v = (v[0][real], None if v[1] is None else v[1][real])
+            total = len(v[0])
+        size = size or 1.0
+        kind = np.float32 if finite else np.float64
+        g = (dim + 16) * float(np.finfo(np.float32).eps)
+        loose = 1e-36 + 8 * dim * float(np.finfo(np.float64).eps) * float(np.abs(mid).max(initial=0.0)) / size
+        # the product of (-2 q, 1) and (v, |v|^2) is what distances to one q differ by
+        screen = np.empty((total, dim + 1), kind)
+        for part in _slices(total):
+            m = (_rows(v, part) - mid) / size
+            screen[part, :dim] = m
+            screen[part, dim] = (m * m).sum(axis=1) * (1 - 2 * g)
+        held = np.empty((step, width), kind)
+        out = []
+        for i in range(0, n if total else 0, step):
+            m = (_rows(q, slice(i, i + step)) - mid) / size
+            own = (m * m).sum(axis=1)
+            asks = np.ones((len(m), dim + 1), kind)
+            asks[:, :dim] = -2.0 * m
+            far, hit = np.full((len(m), k), np.nan), np.full((len(m), k), -1)
+            bound = np.full(len(m), np.inf)  # squared distance of the k-th found so far, scaled
+            for s in range(0, total, width):
+                tile = screen[s : s + width]
+                rough = np.matmul(asks, tile.T, out=held if held.shape == (len(m), len(tile)) else None)
+                below = bound
+                if len(tile) >= k and np.isinf(bound).any():
+                    edge = np.partition(rough, k - 1, axis=1)[:, k - 1] + own * (1 + g) + 4 * g * tile[:, dim].max()
+                    below = np.minimum(bound, edge)
+                limit = (below * (1 + g) - own * (1 - 2 * g) + loose).astype(kind)[:, None]
+                flat = _set_places(rough <= limit if finite else ~(rough > limit))
+                if not len(flat):
+                    continue
+                row, at = np.divmod(flat, len(tile))
+                at += s
+                dist = np.concatenate([((_rows(v, at[part]) - _rows(q, i + row[part])) ** 2).sum(axis=1) for part in _slices(len(at))])
+                if not finite:
+                    row, at, dist = (x[~np.isnan(dist)] for x in (row, at, dist))
+                some, row = np.unique(row, return_inverse=True)
+                # what was found before comes first: its places are smaller
+                row = np.concatenate([np.repeat(np.arange(len(some)), k), row])
+                dist, at = np.concatenate([far[some].ravel(), dist]), np.concatenate([hit[some].ravel(), at])
+                order = np.lexsort((dist, row))
+                row = row[order]
+                best = order[np.arange(len(order)) - np.searchsorted(row, row, "left") < k]
+                far[some], hit[some] = dist[best].reshape(-1, k), at[best].reshape(-1, k)
+                bound = np.where(hit[:, -1] < 0, np.inf, far[:, -1]) / size / size
+            got = hit >= 0
+            out.append((np.nonzero(got)[0] + i, hit[got], far[got]))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    row, at, dist = map(np.concatenate, zip(*out))
+    return row, at if places is None else places[at], dist
 
 
-def _frame(found) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip(("query_id", "vec_id", "d2"), found)))
+def nearest(qid, q, vid, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` rows of ``v`` nearest to each row of ``q`` (squared distance, id on ties): ids of both and the distance."""
+    order = np.argsort(vid, kind="stable")
+    row, at, dist = closest((q, None), (v[order], None), k, step, width)
+    return qid[row], vid[order][at], dist
 
 
 def top_k(
@@ -221,8 +282,9 @@ def top_k(
     pair table is ever formed; three shapes, chosen by measured size:
 
     * the vectors fit ``limit`` (a story's passages): they are broadcast, queries stream past
-      them, nothing is shuffled;
-    * the queries fit ``limit``: they are broadcast, each task returns ``k`` per query at its end;
+      them, dealt over all cores where there are many vectors;
+    * the queries fit ``limit``: they are broadcast, the vectors are dealt into blocks below ``limit``, each
+      returns ``k`` per query;
     * neither fits: both are cut into hash blocks below ``limit``; a block of queries meets each
       block of vectors in a group of its own.
     """
@@ -234,28 +296,29 @@ def top_k(
         for_dir = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x) > 0
         q, v = q.filter(for_dir), v.filter(for_dir)
 
-    def bytes_of(df: DataFrame) -> int:
-        row = df.agg(F.sum(F.size("embedding").cast("bigint") * 8 + 16)).first()
-        return row[0] or 0
+    def measured(df: DataFrame) -> tuple[int, int]:
+        width = 4 if dict(df.dtypes)["embedding"] == "array<float>" else 8
+        row = df.agg(F.count(F.lit(1)), F.sum(F.size("embedding").cast("bigint") * width + 16)).first()
+        return row[0], row[1] or 0
 
     id_types = f"query_id {dict(q.dtypes)['query_id']}, vec_id {dict(v.dtypes)['vec_id']}"
     schema = f"{id_types}, d2 double"
-    v_bytes = bytes_of(v)
-    if v_bytes <= limit:
-        found = _against_small(q, v, "query_id", "vec_id", k, metric, schema)
-        ranked_in_task = True
+    (n_v, v_bytes), (n_q, q_bytes) = measured(v), measured(q)
+    v_blocks, q_blocks = -(-v_bytes // limit), -(-q_bytes // limit)
+    # as many tasks as there is work for, or cores; more where blocks are to stay below the limit
+    tasks = min(2 * q.sparkSession.sparkContext.defaultParallelism, -(-n_q * n_v // PAIRS))
+    ranked_in_task = v_bytes <= limit
+    if ranked_in_task:
+        found = _against_vectors(_dealt(q, "query_id", max(q_blocks, tasks)) if tasks > 1 else q, v, k, metric, schema)
+    elif q_bytes <= limit:
+        found = _against_queries(q, _dealt(v, "vec_id", max(v_blocks, tasks)), k, metric, schema)
     else:
-        ranked_in_task = False
-        q_bytes = bytes_of(q)
-        if q_bytes <= limit:
-            found = _against_small(v, q, "vec_id", "query_id", k, metric, schema)
-        else:
-            found = _by_blocks(q, v, -(-q_bytes // limit), -(-v_bytes // limit), k, metric, schema)
+        found = _by_blocks(q, v, q_blocks, max(v_blocks, -(-tasks // q_blocks)), k, metric, schema)
     dist = F.sqrt("d2") if metric == "l2" else F.col("d2") / 2
     if ranked_in_task:
         # every query was compared with all vectors in one call, best first
         return found.select("query_id", "rank", "vec_id", dist.alias("distance"))
-    w = Window.partitionBy("query_id").orderBy("d2", "vec_id")
+    w = Window.partitionBy("query_id").orderBy("d2", F.asc_nulls_last("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
@@ -263,81 +326,106 @@ def top_k(
     )
 
 
-def _against_small(
-    stream: DataFrame, small: DataFrame, stream_id: str, small_id: str, k: int, metric: str, schema: str
-) -> DataFrame:
-    held = small.toPandas()  # at most the checked limit
-    shared = stream.sparkSession.sparkContext.broadcast(
-        (held[small_id].to_numpy(), _stack(held["embedding"], metric) if len(held) else None)
-    )
-    by_query = stream_id == "query_id"
+def _spot(ident: str) -> Column:
+    """Where a row is dealt to: by its id, rows without one by their vector."""
+    return F.when(F.col(ident).isNull(), F.xxhash64("embedding")).otherwise(F.xxhash64(ident))
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, m = shared.value
-        held = None
+def _dealt(df: DataFrame, ident: str, parts: int) -> DataFrame:
+    return df.repartition(int(parts), _spot(ident))
+
+
+def _side(t: pa.Table, metric: str):
+    """The vectors of a table as one array, and by 'cosine' their lengths; vectors of several lengths are an error."""
+    lists = t.column("embedding").combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    if len(pc.unique(pc.list_value_length(lists))) > 1:
+        raise ValueError("all vectors must have the same length")
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    m = (flat if flat.dtype == np.float32 else flat.astype("float64")).reshape(len(lists), -1)
+    if metric != "cosine":
+        return m, None
+    return m, np.concatenate([np.linalg.norm(m[part].astype("float64"), axis=1) for part in _slices(len(m))])
+
+
+def _by_id(t: pa.Table, ident: str) -> pa.Table:
+    """In the order of the ids, rows without one last: ties go by place."""
+    t = t.combine_chunks()
+    return t.take(pc.sort_indices(t.column(ident)))
+
+
+def _pairs(query_ids, vec_ids, found) -> pa.Table:
+    row, at, dist = found
+    return pa.table({"query_id": query_ids.take(pa.array(row)), "vec_id": vec_ids.take(pa.array(at)), "d2": pa.array(dist)})
+
+
+def _against_vectors(q: DataFrame, v: DataFrame, k: int, metric: str, schema: str) -> DataFrame:
+    held = _by_id(v.toArrow(), "vec_id")  # at most the checked limit
+    shared = q.sparkSession.sparkContext.broadcast((held.column("vec_id"), _side(held, metric) if held.num_rows else None))
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        some: list[pa.RecordBatch] = []
         for b in batches:
-            if m is None or b.empty:
-                continue
-            mine, mat = b[stream_id].to_numpy(), _stack(b["embedding"], metric)
-            if by_query:
-                out = _frame(nearest(mine, mat, ids, m, k))
-                out["rank"] = (out.groupby("query_id").cumcount() + 1).astype("int32")
-                yield out
+            if b.num_rows:
+                some.append(b)
+            if sum(x.num_rows for x in some) >= 16_384:
+                yield pa.Table.from_batches(some)
+                some = []
+        if some:
+            yield pa.Table.from_batches(some)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, side = shared.value
+        for t in tables(batches):
+            if side is None:
                 continue
-            found = nearest(ids, m, mine, mat, k)
-            if held is not None:
-                found = tuple(map(np.concatenate, zip(held, found)))
-            best = best_of(*found, k)
-            held = tuple(x[best] for x in found)
-        if held is not None:
-            yield _frame(held)
+            asked = t.column("query_id").combine_chunks()
+            found = closest(_side(t, metric), side, k)
+            code = np.asarray(pd.factorize(asked.to_pandas(), use_na_sentinel=False)[0])[found[0]]
+            rank = (pd.Series(code).groupby(code).cumcount() + 1).to_numpy("int32")
+            yield from _pairs(asked, ids, found).append_column("rank", pa.array(rank)).to_batches()
+
+    return q.mapInArrow(run, schema + ", rank int")
+
+
+def _against_queries(q: DataFrame, v: DataFrame, k: int, metric: str, schema: str) -> DataFrame:
+    held = q.toArrow()  # at most the checked limit
+    shared = q.sparkSession.sparkContext.broadcast((held.column("query_id"), _side(held, metric) if held.num_rows else None))
 
-    if by_query:
-        schema += ", rank int"
-    return stream.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, side = shared.value
+        block = [b for b in batches if b.num_rows]  # below the limit, as the vectors were dealt
+        if block and side is not None:
+            t = _by_id(pa.Table.from_batches(block), "vec_id")
+            yield from _pairs(ids, t.column("vec_id"), closest(side, _side(t, metric), k)).to_batches(65_536)
+
+    return v.mapInArrow(run, schema)
 
 
 def _by_blocks(
     q: DataFrame, v: DataFrame, q_blocks: int, v_blocks: int, k: int, metric: str, schema: str
 ) -> DataFrame:
+    # three times as many tasks as groups: few of them get two
+    tasks = int(3 * q_blocks * v_blocks)
+
     def block(df: DataFrame, ident: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(ident), F.lit(n_own)).cast("int")).withColumn(
+        return df.withColumn(own, F.pmod(_spot(ident), F.lit(int(n_own))).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(int(n_other) - 1)))
         )
 
-    left = block(q, "query_id", "qb", q_blocks, "vb", v_blocks).groupBy("qb", "vb")
-    right = block(v, "vec_id", "vb", v_blocks, "qb", q_blocks).groupBy("qb", "vb")
-    names = ("query_id", "vec_id", "d2")
+    left = block(q, "query_id", "qb", q_blocks, "vb", v_blocks).repartition(tasks, "qb", "vb").groupBy("qb", "vb")
+    right = block(v, "vec_id", "vb", v_blocks, "qb", q_blocks).repartition(tasks, "qb", "vb").groupBy("qb", "vb")
 
     # tables of Arrow: a block is held as plain numbers, not as one object per row
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        if a.num_rows and b.num_rows:
-            found = nearest(_column(a, "query_id"), _matrix(a, metric), _column(b, "vec_id"), _matrix(b, metric), k)
-        else:
-            found = (_column(a, "query_id")[:0], _column(b, "vec_id")[:0], np.empty(0))
-        kinds = (a.schema.field("query_id").type, b.schema.field("vec_id").type, pa.float64())
-        return pa.table({name: pa.array(x, kind) for name, x, kind in zip(names, found, kinds)})
+        b = _by_id(b, "vec_id")
+        none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        found = closest(_side(a, metric), _side(b, metric), k) if a.num_rows and b.num_rows else none
+        return _pairs(a.column("query_id"), b.column("vec_id"), found)
 
     return left.cogroup(right).applyInArrow(run, schema)
 
 
-def _column(t: pa.Table, name: str) -> np.ndarray:
-    return t.column(name).to_numpy()
-
-
-def _matrix(t: pa.Table, metric: str) -> np.ndarray:
-    """The vectors of a block as one array; as :func:`_stack`, vectors of several lengths are an error."""
-    lists = t.column("embedding").combine_chunks()
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
-    if len(set(pc.unique(pc.list_value_length(lists)).to_pylist())) > 1:
-        raise ValueError("all vectors must have the same length")
-    m = flat.reshape(len(lists), -1)
-    if metric == "cosine":
-        m /= np.linalg.norm(m, axis=1, keepdims=True)
-    return m
-
-
 def retrieved_wide(found: DataFrame, value: str, k: int, key: str = "query_id") -> DataFrame:
     """One column per rank, for export."""
     wide = found.groupBy(key).pivot("rank", list(range(1, k + 1))).agg(F.first(value))

@@ -1,5 +1,6 @@
 """What a worker holds, what is moved, and what is broadcast stays bounded as the tables grow."""
 
+import hashlib
 import tracemalloc
 
 import numpy as np
@@ -90,3 +91,66 @@ def test_embedding_sum_in_blocks(spark):
         done = K.embedding_sum(df, vectors, "t", "i", 2, block_bytes=size)
         assert "CoGroup" in plan_of(done)
         assert sorted(((r.i, r.embedding, r.known_words) for r in done.collect()), key=lambda r: r[0] or 0) == want
+
+
+@pytest.mark.parametrize("kind", ["float32", "float64"])
+def test_closest_decides_in_double_precision(kind):
+    """Far from zero, of any size, with copies, NaN, infinities and fewer rows than asked for: as by direct differences."""
+    rng = np.random.default_rng(3)
+    for turn in range(60):
+        n, m, dim, k = (int(x) for x in rng.integers(1, (20, 300, 6, 8)))
+        v = (rng.integers(-2, 3, (m, dim)) if turn % 2 else rng.normal(size=(m, dim))).astype(kind)
+        q = np.concatenate([v[:n], rng.normal(size=(n, dim)).astype(kind)])
+        for side in (q, v):
+            side *= np.array(10.0 ** ((turn % 5) * 4 - 8), kind)
+            side += np.array((turn % 3) * 1e3, kind)
+        if turn % 4 == 3:
+            v[0], v[m // 2] = np.inf, np.nan
+        row, at, dist = R.closest((q, None), (v, None), k, step=7, width=64)
+        for i in range(len(q)):
+            with np.errstate(all="ignore"):
+                away = ((v.astype("float64") - q[i].astype("float64")) ** 2).sum(axis=1)
+            want = [j for j in np.lexsort((np.arange(m), away)) if not np.isnan(away[j])][:k]
+            assert at[row == i].tolist() == want and dist[row == i].tolist() == away[want].tolist()
+
+
+def test_closest_looks_at_few_copies():
+    """A vector that makes up most of a side is compared a few times, not once for each copy."""
+    v = np.zeros((40_000, 16), "float32")
+    v[:100] = np.random.default_rng(4).normal(size=(100, 16))
+    kept = R._few_copies((v, None), 5)
+    assert kept.tolist() == list(range(105))
+    row, at, dist = R.closest((v[[0, 200]], None), (v, None), 5)
+    assert at[row == 1].tolist() == [100, 101, 102, 103, 104] and at[0] == 0 and not dist[row == 1].any()
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 300, 100])
+def test_top_k_deals_work_and_keeps_null_ids(spark, monkeypatch, limit):
+    """Where there is work for several tasks, one scanned partition does not mean one task; ids may be large or missing."""
+    monkeypatch.setattr(R, "PAIRS", 50)
+    data = [((1 << 60) + i if i else None, [float(i), 1.0]) for i in range(20)]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<float>").coalesce(1)
+    asked = vectors.filter("embedding[0] % 3 = 1").withColumnRenamed("vec_id", "query_id")
+    if limit == 300:
+        asked = asked.limit(4)
+    found = R.top_k(asked, vectors, 3, limit=limit)
+    assert "REPARTITION_BY_NUM" in plan_of(found)
+    got = {(r.query_id, r.rank): r.vec_id for r in found.collect()}
+    for i in [1, 4, 7, 10] if limit == 300 else [1, 4, 7, 10, 13, 16, 19]:
+        want = {1: [1, 2, None], 19: [19, 18, 17]}.get(i, [i, i - 1, i + 1])
+        assert [got.pop(((1 << 60) + i, rank)) for rank in (1, 2, 3)] == [j and (1 << 60) + j for j in want]
+    assert not got
+
+
+def test_embed_hashed_hashes_each_word_once(spark):
+    texts = ["b a, b", "", None, "É é x2", "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    hashed = R.embed_hashed(df, "t", 8)
+    assert "md5" not in plan_of(hashed)
+    done = [r.embedding for r in hashed.collect()]
+    for text, vector in zip(texts, done):
+        words = {None: [], "": [], "b a, b": ["b", "a", ",", "b"], "É é x2": ["é", "é", "x2"], "a": ["a"]}[text]
+        counts = np.zeros(8)
+        for w in words:
+            counts[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 8] += 1
+        assert vector == (counts / max(np.sqrt((counts**2).sum()), 1)).astype("float32").tolist()
