@@ -15,6 +15,7 @@ from ..operators.blocks import AUTO, Block
 from ..operators.explore import first_n_per_class
 from ..operators.joins import attach_context, exclude_examples
 from ..session import written
+from ..sources.tables import spread
 
 
 def retrieve_context(
@@ -36,7 +37,7 @@ def retrieve_context(
     both are written to the shared folder before they are measured and searched.
     """
     cut = retrieval.chunk_recursive if recursive else retrieval.chunk_fixed
-    chunks = cut(texts.select("doc_id", "text"), "text")
+    chunks = cut(spread(texts.select("doc_id", "text"), "doc_id"), "text")
     ident = F.concat_ws(":", "doc_id", "chunk_no")
     passages = written(embed(chunks.select(ident.alias("vec_id"), "chunk"), "chunk"), "passages")
     asked = ordered.history(messages, text, order, within, history, block=block)

@@ -6,6 +6,7 @@ import tracemalloc
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from talkweave.operators import features as K
 from talkweave.operators import retrieval as R
@@ -13,6 +14,7 @@ from talkweave.operators import rows as W
 from talkweave.operators import scoring as M
 from talkweave.operators import spelling as S
 from talkweave.operators import transport as T
+from talkweave.plans import coding
 
 
 def plan_of(df) -> str:
@@ -154,3 +156,14 @@ def test_embed_hashed_hashes_each_word_once(spark):
         for w in words:
             counts[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 8] += 1
         assert vector == (counts / max(np.sqrt((counts**2).sum()), 1)).astype("float32").tolist()
+
+
+def test_passages_of_one_partition_are_embedded_by_all_cores(spark, monkeypatch):
+    told = [(1, i, f"word{i} and more") for i in range(40)]
+    df = spark.createDataFrame(told, "c long, t long, text string").coalesce(1).withColumn("key", F.concat_ws(":", "c", "t"))
+    parts, real = {}, coding.written
+    monkeypatch.setattr(coding, "written", lambda d, name: (parts.update({name: d.rdd.getNumPartitions()}), real(d, name))[1])
+    texts = df.select(F.col("key").alias("doc_id"), "text")
+    found = coding.retrieve_context(df, texts, "key", "text", ["t"], ["c"], lambda d, c: R.embed_hashed(d, c, 16), k=2, history=0, recursive=False, block=3)
+    assert parts["passages"] == 8
+    assert found.count() == 80
