@@ -221,6 +221,11 @@ def closest(q, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarr
             screen[part, :dim] = m
             screen[part, dim] = (m * m).sum(axis=1) * (1 - 2 * g)
         held = np.empty((step, width), kind)
+        # narrow at first: the first neighbours of all are found among few
+        ends = [min(width, 256)]
+        while ends[-1] < total:
+            ends.append(ends[-1] + min(width, ends[-1]))
+        tiles = list(zip([0, *ends], ends))
         out = []
         for i in range(0, n if total else 0, step):
             m = (_rows(q, slice(i, i + step)) - mid) / size
@@ -229,8 +234,8 @@ def closest(q, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarr
             asks[:, :dim] = -2.0 * m
             far, hit = np.full((len(m), k), np.nan), np.full((len(m), k), -1)
             bound = np.full(len(m), np.inf)  # squared distance of the k-th found so far, scaled
-            for s in range(0, total, width):
-                tile = screen[s : s + width]
+            for s, end in tiles:
+                tile = screen[s:end]
                 rough = np.matmul(asks, tile.T, out=held if held.shape == (len(m), len(tile)) else None)
                 below = bound
                 if len(tile) >= k and np.isinf(bound).any():
@@ -245,13 +250,14 @@ def closest(q, v, k: int, step: int = 256, width: int = 2_048) -> tuple[np.ndarr
                 dist = np.concatenate([((_rows(v, at[part]) - _rows(q, i + row[part])) ** 2).sum(axis=1) for part in _slices(len(at))])
                 if not finite:
                     row, at, dist = (x[~np.isnan(dist)] for x in (row, at, dist))
-                some, row = np.unique(row, return_inverse=True)
+                new = np.concatenate([[True], row[1:] != row[:-1]])[: len(row)]
+                some, row = row[new], np.cumsum(new) - 1
                 # what was found before comes first: its places are smaller
                 row = np.concatenate([np.repeat(np.arange(len(some)), k), row])
                 dist, at = np.concatenate([far[some].ravel(), dist]), np.concatenate([hit[some].ravel(), at])
+                counts = np.bincount(row, minlength=len(some))
                 order = np.lexsort((dist, row))
-                row = row[order]
-                best = order[np.arange(len(order)) - np.searchsorted(row, row, "left") < k]
+                best = order[np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts) < k]
                 far[some], hit[some] = dist[best].reshape(-1, k), at[best].reshape(-1, k)
                 bound = np.where(hit[:, -1] < 0, np.inf, far[:, -1]) / size / size
             got = hit >= 0
@@ -306,14 +312,20 @@ def top_k(
     (n_v, v_bytes), (n_q, q_bytes) = measured(v), measured(q)
     v_blocks, q_blocks = -(-v_bytes // limit), -(-q_bytes // limit)
     # as many tasks as there is work for, or cores; more where blocks are to stay below the limit
-    tasks = min(2 * q.sparkSession.sparkContext.defaultParallelism, -(-n_q * n_v // PAIRS))
+    cores, work = q.sparkSession.sparkContext.defaultParallelism, -(-n_q * n_v // PAIRS)
+    tasks = min(2 * cores, work)
     ranked_in_task = v_bytes <= limit
     if ranked_in_task:
         found = _against_vectors(_dealt(q, "query_id", max(q_blocks, tasks)) if tasks > 1 else q, v, k, metric, schema)
     elif q_bytes <= limit:
         found = _against_queries(q, _dealt(v, "vec_id", max(v_blocks, tasks)), k, metric, schema)
     else:
-        found = _by_blocks(q, v, q_blocks, max(v_blocks, -(-tasks // q_blocks)), k, metric, schema)
+        if q_blocks * v_blocks < min(8 * cores, work):  # groups are dealt by hash: more of them, so that tasks are alike
+            groups = min(8 * cores, work)
+            # a group returns ``k`` rows per query, so the queries are cut finer
+            q_blocks = max(q_blocks, min(groups, round((2 * groups * n_q / n_v) ** 0.5)))
+            v_blocks = max(v_blocks, -(-groups // q_blocks))
+        found = _by_blocks(q, v, q_blocks, v_blocks, k, metric, schema)
     dist = F.sqrt("d2") if metric == "l2" else F.col("d2") / 2
     if ranked_in_task:
         # every query was compared with all vectors in one call, best first
